@@ -189,3 +189,50 @@ def q_distinct_users(spark, sf):
 @register("distinct_movies", with_ctes(["rating"], [], "SELECT DISTINCT mid FROM rating"))
 def q_distinct_movies(spark, sf):
     return stats.distinct_movies(load_inputs(spark, sf).ratings)
+
+
+# ---------------------------------------------------------------- content similarity
+
+from reelrank.operators import content  # noqa: E402
+from reelrank.plans.oracle import CONTENT_CTES  # noqa: E402
+
+
+@register("genre_tokens", with_ctes(["movie"], CONTENT_CTES[:1],
+                                    "SELECT mid, CAST(pos - 1 AS INT) AS pos, token FROM tok"))
+def q_genre_tokens(spark, sf):
+    return content.genre_tokens(load_inputs(spark, sf).movies)
+
+
+@register("hashed_tf", with_ctes(["movie"], CONTENT_CTES[:3], "SELECT mid, CAST(term AS INT) AS term, tf FROM tf"))
+def q_hashed_tf(spark, sf):
+    return content.hashed_tf(load_inputs(spark, sf).movies)
+
+
+@register("idf_weights", with_ctes(["movie"], CONTENT_CTES[:4],
+                                   "SELECT CAST(term AS INT) AS term, df, round(idf, 9) AS idf FROM idf"))
+def q_idf_weights(spark, sf):
+    idf = content.idf_weights(load_inputs(spark, sf).movies)
+    return idf.select("term", "df", F.round("idf", 9).alias("idf"))
+
+
+@register("tfidf_weights", with_ctes(["movie"], CONTENT_CTES[:5],
+                                     "SELECT mid, CAST(term AS INT) AS term, tf, round(w, 9) AS weight FROM w"))
+def q_tfidf_weights(spark, sf):
+    w = content.tfidf_weights(load_inputs(spark, sf).movies)
+    return w.select("mid", "term", "tf", F.round("weight", 9).alias("weight"))
+
+
+@register("content_sim_pairs", with_ctes(["movie"], CONTENT_CTES,
+                                         "SELECT mid, other_mid, round(score, 6) AS score FROM sims"))
+def q_content_sim_pairs(spark, sf):
+    pairs = content.content_sim_pairs(load_inputs(spark, sf).movies)
+    return pairs.select("mid", "other_mid", F.round("score", 6).alias("score"))
+
+
+@register("content_movie_recs", with_ctes(["movie"], CONTENT_CTES, """
+SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, other_mid ASC) AS INT) AS rank,
+       other_mid, round(score, 6) AS score FROM sims"""))
+def q_content_movie_recs(spark, sf):
+    recs = content.content_movie_recs(load_inputs(spark, sf).movies)
+    return (content.similarity_entries(recs)
+            .select("mid", "rank", "other_mid", F.round("score", 6).alias("score")))

@@ -35,3 +35,38 @@ def with_ctes(names: list[str], extra: list[str], body: str) -> str:
     """``WITH`` the named base projections, then ``extra`` CTE texts, then ``body``."""
     parts = [BASE_CTES[n] for n in names] + list(extra)
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# Bucket of each fixture token under Spark's SQL ``hash`` mod 50
+# (Murmur3, seed 42).  DuckDB has no Murmur3, so the oracle looks them up.
+TOKEN_BUCKETS = [
+    ("anvil", 46), ("blue", 18), ("bolt", 40), ("brand#1", 26), ("brand#10", 34), ("brand#11", 18),
+    ("brand#12", 0), ("brand#13", 12), ("brand#14", 38), ("brand#15", 44), ("brand#16", 15),
+    ("brand#17", 19), ("brand#18", 8), ("brand#19", 25), ("brand#2", 42), ("brand#20", 43),
+    ("brand#21", 44), ("brand#22", 17), ("brand#23", 22), ("brand#24", 4), ("brand#25", 23),
+    ("brand#3", 21), ("brand#4", 37), ("brand#5", 43), ("brand#6", 21), ("brand#7", 5),
+    ("brand#8", 36), ("brand#9", 6), ("cold", 20), ("economy", 31), ("gear", 45), ("gizmo", 39),
+    ("hot", 31), ("large", 32), ("medium", 25), ("new", 25), ("old", 22), ("plate", 6),
+    ("promo", 24), ("red", 41), ("ring", 46), ("rod", 10), ("small", 42), ("standard", 17),
+    ("widget", 47),
+]
+
+# TF-IDF and cosine in DuckDB.  Sums that feed the cosine are folds over
+# term-ordered lists, the same order the Spark operator uses.
+CONTENT_CTES = [
+    "tok AS (SELECT mid, t.token, t.pos FROM movie, "
+    "unnest(string_split(lower(replace(genres, '|', ' ')), ' ')) WITH ORDINALITY AS t(token, pos))",
+    "bk AS (SELECT * FROM (VALUES " + ", ".join(f"('{t}', {b})" for t, b in TOKEN_BUCKETS)
+    + ") v(token, term))",
+    "tf AS (SELECT mid, term, CAST(count(*) AS DOUBLE) AS tf FROM tok JOIN bk USING (token) GROUP BY mid, term)",
+    "idf AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM movie) + 1) / (count(*) + 1)) AS idf "
+    "FROM tf GROUP BY term)",
+    "w AS (SELECT mid, term, tf, tf * idf AS w FROM tf JOIN idf USING (term))",
+    "norms AS (SELECT mid, sqrt(list_reduce(list(w * w ORDER BY term), lambda x, y: x + y)) AS norm "
+    "FROM w WHERE w != 0 GROUP BY mid)",
+    "uvec AS (SELECT mid, term, w / norm AS u FROM w JOIN norms USING (mid) WHERE w != 0 AND norm > 0)",
+    "sims AS (SELECT a.mid, b.mid AS other_mid, "
+    "list_reduce(list(a.u * b.u ORDER BY a.term), lambda x, y: x + y) AS score "
+    "FROM uvec a JOIN uvec b ON a.term = b.term AND a.mid != b.mid GROUP BY a.mid, b.mid "
+    "HAVING list_reduce(list(a.u * b.u ORDER BY a.term), lambda x, y: x + y) > 0.6)",
+]
