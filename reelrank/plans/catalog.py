@@ -236,3 +236,98 @@ def q_content_movie_recs(spark, sf):
     recs = content.content_movie_recs(load_inputs(spark, sf).movies)
     return (content.similarity_entries(recs)
             .select("mid", "rank", "other_mid", F.round("score", 6).alias("score")))
+
+
+# ---------------------------------------------------------------- real-time scoring (batch form)
+
+from reelrank.operators import realtime  # noqa: E402
+from reelrank.plans.oracle import REALTIME_CTES  # noqa: E402
+
+_RT = ["movie", "rating", "rating_event"]
+
+
+def _rt_inputs(spark, sf):
+    inp = load_inputs(spark, sf)
+    return inp, content.content_sim_pairs(inp.movies)
+
+
+def _rt_sql(n_ctes: int, body: str) -> str:
+    return with_ctes(_RT, CONTENT_CTES + REALTIME_CTES[:n_ctes], body)
+
+
+@register("sim_flatten", with_ctes(["movie"], CONTENT_CTES,
+                                   "SELECT mid, other_mid, round(score, 6) AS score FROM sims"))
+def q_sim_flatten(spark, sf):
+    """Store the per-movie lists, read them back, flatten to the lookup table."""
+    recs = content.content_movie_recs(load_inputs(spark, sf).movies)
+    path = scratch_path(spark, "content_movie_recs")
+    tables.write_table(recs, path)
+    flat = content.similarity_entries(tables.read_table(spark, path))
+    return flat.select("mid", "other_mid", F.round("score", 6).alias("score"))
+
+
+@register("user_recent_ratings", with_ctes(["rating"], [], """
+SELECT uid, CAST(rn - 1 AS INT) AS pos, mid, score, "timestamp" FROM (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid ASC, score DESC) AS rn FROM rating)
+WHERE rn <= 20"""))
+def q_user_recent_ratings(spark, sf):
+    return realtime.recent_ratings(load_inputs(spark, sf).ratings, 20)
+
+
+@register("unseen_candidates", _rt_sql(2, "SELECT uid, mid, round(sim, 6) AS sim FROM unseen"))
+def q_unseen_candidates(spark, sf):
+    inp, sims = _rt_inputs(spark, sf)
+    out = realtime.unseen_candidates(realtime.last_events(inp.rating_events), sims, inp.ratings)
+    return out.select("uid", "mid", F.round("sim", 6).alias("sim"))
+
+
+@register("top_sim_movies", _rt_sql(3, "SELECT uid, CAST(rank AS INT) AS rank, mid, round(sim, 6) AS sim FROM topsim"))
+def q_top_sim_movies(spark, sf):
+    inp, sims = _rt_inputs(spark, sf)
+    out = realtime.top_sim_movies(realtime.last_events(inp.rating_events), sims, inp.ratings, 20)
+    return out.select("uid", "rank", "mid", F.round("sim", 6).alias("sim"))
+
+
+def _rt_pairs(spark, sf):
+    inp, sims = _rt_inputs(spark, sf)
+    cands = realtime.top_sim_movies(realtime.last_events(inp.rating_events), sims, inp.ratings, 20)
+    recents = realtime.batch_recents(inp.rating_events, inp.ratings, 20)
+    return realtime.candidate_pairs(cands, recents, sims)
+
+
+@register("sim_lookup", _rt_sql(6, """
+SELECT uid, mid, recent_mid, recent_score, round(sim, 6) AS sim FROM cpairs"""))
+def q_sim_lookup(spark, sf):
+    return _rt_pairs(spark, sf).withColumn("sim", F.round("sim", 6))
+
+
+@register("boost_counts", _rt_sql(7, "SELECT uid, mid, round(base, 6) AS base, incr, decr FROM boost"))
+def q_boost_counts(spark, sf):
+    out = realtime.boost_counts(_rt_pairs(spark, sf), 0.7)
+    return out.withColumn("base", F.round("base", 6))
+
+
+_FINAL = "SELECT uid, rank, mid, round(score, 6) AS score FROM ranked"
+
+
+@register("stream_scores", _rt_sql(9, _FINAL))
+def q_stream_scores(spark, sf):
+    inp, sims = _rt_inputs(spark, sf)
+    recs = realtime.realtime_recs(inp.rating_events, inp.ratings, sims)
+    flat = stats.flatten_recs(recs, "uid")
+    return flat.withColumn("score", F.round("score", 6))
+
+
+@register("recs_upsert", _rt_sql(9, _FINAL))
+def q_recs_upsert(spark, sf):
+    """The events as two micro-batches split at the middle of their time span:
+    the second batch's lists replace the first's, user by user.  The result
+    must equal one batch over all events."""
+    inp, sims = _rt_inputs(spark, sf)
+    ev = inp.rating_events
+    mid_ts = ev.select((F.min("timestamp").cast("bigint") + F.max("timestamp")) / 2).scalar()
+    first, second = ev.filter(F.col("timestamp") <= mid_ts), ev.filter(F.col("timestamp") > mid_ts)
+    table = realtime.realtime_recs(first, inp.ratings, sims)
+    update = realtime.realtime_recs(second, inp.ratings.unionByName(first), sims, rated=inp.ratings)
+    merged = realtime.upsert_recs(table, update)
+    return stats.flatten_recs(merged, "uid").withColumn("score", F.round("score", 6))

@@ -70,3 +70,29 @@ CONTENT_CTES = [
     "FROM uvec a JOIN uvec b ON a.term = b.term AND a.mid != b.mid GROUP BY a.mid, b.mid "
     "HAVING list_reduce(list(a.u * b.u ORDER BY a.term), lambda x, y: x + y) > 0.6)",
 ]
+
+# Real-time scoring over the whole event table as one batch (needs CONTENT_CTES).
+REALTIME_CTES = [
+    "last_ev AS (SELECT uid, mid, score, \"timestamp\" FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY uid ORDER BY \"timestamp\" DESC, mid DESC, score DESC) AS rn FROM rating_event) WHERE rn = 1)",
+    "unseen AS (SELECT l.uid, s.other_mid AS mid, s.score AS sim FROM last_ev l JOIN sims s ON s.mid = l.mid "
+    "WHERE NOT EXISTS (SELECT 1 FROM rating r WHERE r.uid = l.uid AND r.mid = s.other_mid))",
+    "topsim AS (SELECT * FROM (SELECT uid, mid, sim, row_number() OVER (PARTITION BY uid ORDER BY sim DESC, mid ASC) "
+    "AS rank FROM unseen) WHERE rank <= 20)",
+    "hist AS (SELECT uid, mid, score, \"timestamp\" FROM rating WHERE uid IN (SELECT uid FROM rating_event) "
+    "UNION ALL SELECT uid, mid, score, \"timestamp\" FROM rating_event)",
+    "recents AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY \"timestamp\" DESC, "
+    "mid ASC, score DESC) AS rn FROM hist) WHERE rn <= 20)",
+    "cpairs AS (SELECT t.uid, t.mid, r.mid AS recent_mid, r.score AS recent_score, coalesce(s.score, 0.0) AS sim "
+    "FROM topsim t JOIN recents r ON t.uid = r.uid LEFT JOIN sims s ON s.mid = t.mid AND s.other_mid = r.mid)",
+    "boost AS (SELECT uid, mid, list_reduce(list(sim * recent_score ORDER BY sim * recent_score), "
+    "lambda x, y: x + y) / count(*) AS base, "
+    "count(*) FILTER (WHERE recent_score > 3) AS incr, count(*) FILTER (WHERE recent_score <= 3) AS decr "
+    "FROM cpairs WHERE sim > 0.7 GROUP BY uid, mid)",
+    "scores AS (SELECT uid, mid, base + CASE WHEN x > 0 THEN log10(x) WHEN x = 0 THEN CAST('-inf' AS DOUBLE) "
+    "ELSE CAST('nan' AS DOUBLE) END AS score FROM (SELECT *, "
+    "CAST(CASE WHEN incr = 0 THEN 1 ELSE incr END AS DOUBLE) - "
+    "log10(CAST(CASE WHEN decr = 0 THEN 1 ELSE decr END AS DOUBLE)) AS x FROM boost))",
+    "ranked AS (SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY isnan(score), "
+    "CASE WHEN isnan(score) THEN 0 ELSE -score END, mid) AS INT) AS rank, mid, score FROM scores)",
+]
