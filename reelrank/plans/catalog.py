@@ -331,3 +331,63 @@ def q_recs_upsert(spark, sf):
     update = realtime.realtime_recs(second, inp.ratings.unionByName(first), sims, rated=inp.ratings)
     merged = realtime.upsert_recs(table, update)
     return stats.flatten_recs(merged, "uid").withColumn("score", F.round("score", 6))
+
+
+# ---------------------------------------------------------------- streaming
+
+from reelrank import streaming  # noqa: E402
+
+# Consumer group and topic of the derived offset table.
+OFFSET_GROUP = "recommender"
+OFFSET_TOPIC = "movie-ratings"
+OFFSET_PARTITIONS = 4
+
+
+@register("stream_parse", with_ctes(["rating_event"], [], "SELECT * FROM rating_event"))
+def q_stream_parse(spark, sf):
+    msgs = fixtures.rating_messages(load_inputs(spark, sf).rating_events)
+    return streaming.parse_rating_messages(msgs)
+
+
+@register("stream_recs", _rt_sql(9, _FINAL))
+def q_stream_recs(spark, sf):
+    """The event table written as message files and consumed by the streaming
+    query (file source, availableNow); the result is the StreamRecs table."""
+    inp, sims = _rt_inputs(spark, sf)
+    src = scratch_path(spark, "stream_in")
+    fixtures.rating_messages(inp.rating_events).write.text(src)
+    sims_path = scratch_path(spark, "content_sims")
+    tables.write_table(sims, sims_path)
+    sink, ckpt = scratch_path(spark, "stream_recs"), scratch_path(spark, "stream_ckpt")
+    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), inp.ratings,
+                                       tables.read_table(spark, sims_path), sink, ckpt,
+                                       trigger={"availableNow": True})
+    q.awaitTermination()
+    return stats.flatten_recs(streaming.current_stream_recs(spark, sink), "uid").withColumn(
+        "score", F.round("score", 6))
+
+
+def committed_offsets(events: DataFrame) -> DataFrame:
+    """(group, topic_partition, offset): the offsets a consumer commits after
+    reading the events as a topic keyed (partitioned) by user."""
+    part = F.pmod(F.col("user_id"), F.lit(OFFSET_PARTITIONS))
+    return (events.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("offset"))
+            .select(F.lit(OFFSET_GROUP).alias("group"),
+                    F.concat(F.lit(OFFSET_TOPIC + "-"), F.col("p").cast("string")).alias("topic_partition"),
+                    "offset"))
+
+
+_OFFSETS_SQL = """
+WITH o AS (SELECT 'GROUP' AS "group", 'TOPIC-' || CAST(user_id % NPART AS VARCHAR)
+             AS topic_partition, count(*) AS "offset" FROM events GROUP BY 2),
+p AS (SELECT "group", regexp_extract(topic_partition, '^(.*)-([0-9]+)$', 1) AS topic,
+             CAST(regexp_extract(topic_partition, '^(.*)-([0-9]+)$', 2) AS INT) AS part, "offset" FROM o),
+t AS (SELECT "group", topic, '"' || topic || '":{' || string_agg('"' || CAST(part AS VARCHAR) || '":'
+             || CAST("offset" AS VARCHAR), ',' ORDER BY part) || '}' AS js FROM p GROUP BY 1, 2)
+SELECT "group", '{' || string_agg(js, ',' ORDER BY topic) || '}' AS starting_offsets FROM t GROUP BY 1
+""".replace("GROUP'", OFFSET_GROUP + "'").replace("TOPIC-", OFFSET_TOPIC + "-").replace("NPART", str(OFFSET_PARTITIONS))
+
+
+@register("starting_offsets", _OFFSETS_SQL)
+def q_starting_offsets(spark, sf):
+    return streaming.starting_offsets(committed_offsets(load_inputs(spark, sf).table("events")))
