@@ -259,3 +259,18 @@ def similarity_lookup(pairs: DataFrame, sims: DataFrame) -> DataFrame:
     s = sims.select("mid", "other_mid", F.col("score").alias("sim"))
     return (pairs.join(s, ["mid", "other_mid"], "left")
             .withColumn("sim", F.coalesce(F.col("sim"), F.lit(0.0))))
+
+
+def tfidf_vectors(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES) -> DataFrame:
+    """(mid, features array<double>): dense hashed TF-IDF vector of each movie
+    (the sparse -> dense step), built per class and expanded to movies."""
+    model = content_model(movies, num_features=num_features, term_space="hash")
+    idf = F.broadcast(model.idf.select("term", "idf"))
+    weights = (model.classes.select("ckey", F.explode("sig").alias("e"))
+               .select("ckey", F.col("e.term").alias("term"), F.col("e.tf").alias("tf"))
+               .join(idf, "term")
+               .groupBy("ckey").agg(F.map_from_entries(F.collect_list(
+                   F.struct("term", (F.col("tf") * F.col("idf")).alias("w")))).alias("m")))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)),
+                        lambda i: F.coalesce(F.try_element_at("m", i.cast("bigint")), F.lit(0.0)))
+    return model.members.join(weights, "ckey", "left").select("mid", dense.alias("features"))

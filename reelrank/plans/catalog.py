@@ -391,3 +391,59 @@ SELECT "group", '{' || string_agg(js, ',' ORDER BY topic) || '}' AS starting_off
 @register("starting_offsets", _OFFSETS_SQL)
 def q_starting_offsets(spark, sf):
     return streaming.starting_offsets(committed_offsets(load_inputs(spark, sf).table("events")))
+
+
+# ---------------------------------------------------------------- latent factors
+
+from reelrank.operators import latent  # noqa: E402
+
+_SPLIT_SQL = """split AS (SELECT *, CASE WHEN ((((CAST(uid AS BIGINT) * 1000003 + mid) % 2147483647) * 1000003
+  + "timestamp") % 2147483647) % 10 < 8 THEN 'train' ELSE 'test' END AS split FROM rating)"""
+
+
+@register("rating_split", with_ctes(["rating"], [_SPLIT_SQL], "SELECT * FROM split"))
+def q_rating_split(spark, sf):
+    return latent.rating_split(load_inputs(spark, sf).ratings)
+
+
+@register("rmse", with_ctes(["rating"], [_SPLIT_SQL], """
+SELECT round(sqrt(avg((p.prediction - t.score) * (p.prediction - t.score))), 9) AS rmse
+FROM (SELECT * FROM split WHERE split = 'test') t
+JOIN (SELECT mid, avg(score) AS prediction FROM split WHERE split = 'train' GROUP BY mid) p USING (mid)"""))
+def q_rmse(spark, sf):
+    s = latent.rating_split(load_inputs(spark, sf).ratings)
+    preds = latent.movie_mean_predictions(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"))
+    return latent.rmse(preds).select(F.round("rmse", 9).alias("rmse"))
+
+
+def _als_model(spark, sf):
+    return latent.fit_als(stats.rating_triples(load_inputs(spark, sf).ratings))
+
+
+@register("als_user_recs")
+def q_als_user_recs(spark, sf):
+    return stats.flatten_recs(latent.user_recs(_als_model(spark, sf), 50), "uid")
+
+
+@register("als_item_recs")
+def q_als_item_recs(spark, sf):
+    return stats.flatten_recs(latent.item_recs(_als_model(spark, sf), 50), "mid", "uid")
+
+
+@register("als_predict")
+def q_als_predict(spark, sf):
+    s = latent.rating_split(load_inputs(spark, sf).ratings)
+    model = latent.fit_als(s.filter(F.col("split") == "train"))
+    return latent.predict(model, s.filter(F.col("split") == "test"))
+
+
+@register("als_grid_best")
+def q_als_grid_best(spark, sf):
+    s = latent.rating_split(load_inputs(spark, sf).ratings)
+    grid = latent.als_grid(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"))
+    return latent.best_params(grid)
+
+
+@register("tfidf_vectors")
+def q_tfidf_vectors(spark, sf):
+    return content.tfidf_vectors(load_inputs(spark, sf).movies)
