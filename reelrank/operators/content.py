@@ -35,6 +35,11 @@ from reelrank.functions.columns import java_split, sorted_recs
 # suffix norms can only make prefixes longer (more candidates), never shorter.
 PREFIX_SLACK = 1e-6
 
+# Prefix entries per salt bucket of one term in the candidate join.  A term
+# shared by many classes is split into ceil(count / SALT_ROWS) buckets, so its
+# quadratic pair work spreads over many tasks instead of one.
+SALT_ROWS = 256
+
 
 def _tokens(genres) -> F.Column:
     """Genre string -> lower-cased word tokens.
@@ -94,53 +99,105 @@ class ContentModel:
     vectors: DataFrame
     threshold: float
     term_space: str
+    _class_pairs: DataFrame | None = None
+    _prefix: DataFrame | None = None
+
+    def unpersist(self) -> None:
+        """Release the cached class-level tables."""
+        for df in (self.classes, self.idf, self.vectors, self._prefix, self._class_pairs):
+            if df is not None:
+                df.unpersist()
 
     # ---------------------------------------------------------- candidates
-    def candidate_pairs(self) -> DataFrame:
-        """(ca, cb) with ca < cb sharing a prefix term (exact prefix filter)."""
+    def _prefix_entries(self) -> DataFrame:
+        if self._prefix is None:
+            self._prefix = self._compute_prefix_entries().persist()
+        return self._prefix
+
+    def _compute_prefix_entries(self) -> DataFrame:
+        """(ckey, term, before, vec, vmap): one row per prefix term of each class.
+
+        Terms are ordered rarest first (ties by term) -- one global order, so
+        the prefix argument holds for every pair.  ``before`` lists the
+        class's prefix terms that precede ``term``; ``vec``/``vmap`` carry
+        the full normalised vector for the exact dot product.
+        """
         bound = max(self.threshold - PREFIX_SLACK, 0.0)
-        df_of = self.idf.select("term", "df")
+        ordered = F.sort_array(F.transform("vec", lambda x: F.struct(x["df"], x["term"], x["u"])))
+        suffix = F.transform("p", lambda x, i: F.struct(
+            x["term"].alias("term"),
+            F.aggregate(F.slice("p", i + 1, F.size("p")), F.lit(0.0),
+                        lambda acc, y: acc + y["u"] * y["u"]).alias("suffix")))
+        prefix_terms = F.transform(F.filter("s", lambda x: x["suffix"] > bound * bound), lambda x: x["term"])
+        per_class = (self.vectors
+                     .select("ckey", "vec", ordered.alias("p"))
+                     .select("ckey", "vec", suffix.alias("s"))
+                     .select("ckey", F.transform("vec", lambda x: F.struct(x["term"], x["u"])).alias("vec"),
+                             prefix_terms.alias("prefix")))
+        return (per_class
+                .select("ckey", "vec", F.posexplode("prefix").alias("pos", "term"), "prefix")
+                .select("ckey", "term", F.slice("prefix", 1, F.col("pos")).alias("before"), "vec",
+                        F.map_from_entries("vec").alias("vmap")))
+
+    def _term_join(self) -> DataFrame:
+        """Self-join of prefix entries on a shared term, salted per term.
+
+        Each pair of classes sharing prefix terms is met once, at its first
+        shared prefix term.  A term held by ``c`` classes gets
+        ``ceil(c / SALT_ROWS)`` buckets: the probe side picks one bucket by
+        hash of the class key, the build side is copied to every bucket.
+        The probe side is hash-partitioned to the cluster's parallelism with
+        an explicit count (AQE does not coalesce it), because the work is
+        quadratic in a term's classes while the input is small in bytes.
+        """
+        spark = self.vectors.sparkSession
+        parallelism = max(spark.sparkContext.defaultParallelism,
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+        e = self._prefix_entries()
+        buckets = (e.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+                   .select("term", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("s")))
         if self.term_space == "hash":
-            df_of = F.broadcast(df_of)  # at most num_features rows
-        entries = (self.vectors.select("ckey", F.explode("vec").alias("e"))
-                   .select("ckey", F.col("e.term").alias("term"), F.col("e.u").alias("u"))
-                   .join(df_of, "term"))
-        # Rarest term first; ties by term.  The order is global, so the
-        # prefix argument holds for every pair.
-        ordered = (entries.groupBy("ckey")
-                   .agg(F.sort_array(F.collect_list(F.struct("df", "term", "u"))).alias("p")))
-        with_suffix = ordered.select("ckey", F.transform(
-            "p", lambda x, i: F.struct(
-                x["term"].alias("term"),
-                F.aggregate(F.slice("p", i + 1, F.size("p")), F.lit(0.0),
-                            lambda acc, y: acc + y["u"] * y["u"]).alias("suffix"))).alias("p"))
-        prefix = (with_suffix
-                  .select("ckey", F.explode(F.filter("p", lambda x: x["suffix"] > bound * bound)).alias("e"))
-                  .select("ckey", F.col("e.term").alias("term")))
-        a, b = prefix.alias("a"), prefix.alias("b")
-        return (a.join(b, (F.col("a.term") == F.col("b.term")) & (F.col("a.ckey") < F.col("b.ckey")))
-                .select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"))
-                .distinct())
+            buckets = F.broadcast(buckets)  # one row per term: at most num_features
+        e = e.join(buckets, "term")
+        probe = (e.withColumn("salt", F.pmod(F.xxhash64("ckey"), F.col("s")).cast("int"))
+                 .repartition(parallelism, "term", "salt").alias("a"))
+        build = e.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("s") - 1))).alias("b")
+        cond = ((F.col("a.term") == F.col("b.term")) & (F.col("a.salt") == F.col("b.salt"))
+                & (F.col("a.ckey") < F.col("b.ckey")))
+        return (probe.join(build, cond)
+                .filter(~F.arrays_overlap(F.col("a.before"), F.col("b.before"))))
+
+    def candidate_pairs(self) -> DataFrame:
+        """(ca, cb) with ca < cb sharing a prefix term (exact prefix filter),
+        each pair once."""
+        return self._term_join().select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"))
 
     # ---------------------------------------------------------- class pairs
     def class_pairs(self) -> DataFrame:
         """(ca, cb, score) for every ordered class pair with cosine > threshold,
-        including a class with itself when it holds two or more movies."""
-        va = self.vectors.select(F.col("ckey").alias("ca"), F.col("vec").alias("va"))
-        vb = self.vectors.select(F.col("ckey").alias("cb"),
-                                 F.map_from_entries(F.transform("vec", lambda x: F.struct(x["term"], x["u"])))
-                                 .alias("mb"))
-        dot = F.aggregate("va", F.lit(0.0),
-                          lambda acc, x: acc + x["u"] * F.coalesce(F.try_element_at("mb", x["term"]), F.lit(0.0)))
-        scored = (self.candidate_pairs().join(va, "ca").join(vb, "cb")
-                  .select("ca", "cb", dot.alias("score")))
+        including a class with itself when it holds two or more movies.
+        Computed once per model and kept (one row per similar class pair)."""
+        if self._class_pairs is None:
+            self._class_pairs = self._compute_class_pairs().persist()
+        return self._class_pairs
+
+    def _compute_class_pairs(self) -> DataFrame:
+        # Candidates and verification in one join: a pair is met once (at its
+        # first shared prefix term) and scored there with both full vectors.
+        dot = F.aggregate(F.col("a.vec"), F.lit(0.0), lambda acc, x: acc + x["u"] * F.coalesce(
+            F.try_element_at(F.col("b.vmap"), x["term"]), F.lit(0.0)))
+        scored = self._term_join().select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"),
+                                          dot.alias("score"))
         kept = scored.filter(~F.isnan("score") & (F.col("score") > self.threshold))
-        mirrored = kept.select(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "score")
+        # both directions from one pass over the join
+        both = kept.select(F.explode(F.array(
+            F.struct(F.col("ca").alias("ca"), F.col("cb").alias("cb"), "score"),
+            F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "score"))).alias("p")).select("p.*")
         selfs = (self.vectors.filter(F.col("n") >= 2)
                  .select(F.col("ckey").alias("ca"), F.col("ckey").alias("cb"),
                          F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x["u"] * x["u"]).alias("score"))
                  .filter(~F.isnan("score") & (F.col("score") > self.threshold)))
-        return kept.unionByName(mirrored).unionByName(selfs)
+        return both.unionByName(selfs)
 
     # ---------------------------------------------------------- movie pairs
     def pairs(self) -> DataFrame:
@@ -189,26 +246,41 @@ class ContentModel:
                      .alias("recs")))
 
 
+def _class_key(sig, term_space: str):
+    """Exact text key of a term-frequency vector.  Hash terms and counts are
+    integers, so ``term:tf,...`` is unambiguous; string terms use JSON."""
+    if term_space == "hash":
+        return F.concat_ws(",", F.transform(sig, lambda x: F.concat_ws(
+            ":", x["term"].cast("string"), x["tf"].cast("int").cast("string"))))
+    return F.to_json(sig)
+
+
 def content_model(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                   num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash") -> ContentModel:
-    """Build the class tables and TF-IDF vectors for :class:`ContentModel`."""
+    """Build the class tables and TF-IDF vectors for :class:`ContentModel`.
+
+    The class-level tables (one row per distinct vector, a few rows per
+    term) are persisted: every later step reads them, and they are small
+    next to the movie table however many copies a class holds.
+    """
     per_movie = _tf_vectors(movies, term_space, num_features)
-    members = per_movie.select("mid", F.to_json("sig").alias("ckey"))
-    classes = (per_movie.select(F.to_json("sig").alias("ckey"), "sig")
-               .groupBy("ckey").agg(F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig")))
-    idf = idf_from_classes(classes)
+    members = per_movie.select("mid", _class_key(F.col("sig"), term_space).alias("ckey"))
+    classes = (per_movie.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+               .select(_class_key(F.col("sig"), term_space).alias("ckey"), "n", "sig")).persist()
+    idf = idf_from_classes(classes).persist()
     idf_join = F.broadcast(idf) if term_space == "hash" else idf  # hash: at most num_features rows
     weighted = (classes.select("ckey", "n", F.explode("sig").alias("e"))
                 .select("ckey", "n", F.col("e.term").alias("term"), F.col("e.tf").alias("tf"))
-                .join(idf_join.select("term", "idf"), "term")
-                .select("ckey", "n", "term", (F.col("tf") * F.col("idf")).alias("w"))
+                .join(idf_join, "term")
+                .select("ckey", "n", "term", "df", (F.col("tf") * F.col("idf")).alias("w"))
                 .filter(F.col("w") != 0))
-    grouped = (weighted.groupBy("ckey")
-               .agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("term", "w"))).alias("vec")))
+    grouped = (weighted.groupBy("ckey", "n")
+               .agg(F.sort_array(F.collect_list(F.struct("term", "w", "df"))).alias("vec")))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
     vectors = (grouped.withColumn("norm", norm).filter(F.col("norm") > 0)
                .select("ckey", "n", F.transform("vec", lambda x: F.struct(
-                   x["term"].alias("term"), (x["w"] / F.col("norm")).alias("u"))).alias("vec")))
+                   x["term"].alias("term"), (x["w"] / F.col("norm")).alias("u"), x["df"].alias("df")))
+                   .alias("vec"))).persist()
     return ContentModel(members, classes, idf, vectors, threshold, term_space)
 
 
