@@ -222,10 +222,7 @@ class ContentModel:
         the best ``k+1`` overall, and per movie drop itself and keep ``k``.
         """
         if k is None:
-            pairs = self.pairs()
-            return (pairs.groupBy("mid")
-                    .agg(sorted_recs(F.collect_list(F.struct(F.col("other_mid").alias("mid"), "score")))
-                         .alias("recs")))
+            return lists_from_pairs(self.pairs())
         first_members = (self.members
                          .withColumn("r", F.row_number().over(Window.partitionBy("ckey").orderBy("mid")))
                          .filter(F.col("r") <= k + 1)
@@ -306,6 +303,12 @@ def tfidf_weights(movies: DataFrame, num_features: int = schemas.HASHING_FEATURE
             .select("mid", "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")))
 
 
+def lists_from_pairs(pairs: DataFrame) -> DataFrame:
+    """(mid, recs) from the long pair table: every similar movie, best first."""
+    return (pairs.groupBy("mid")
+            .agg(sorted_recs(F.collect_list(F.struct(F.col("other_mid").alias("mid"), "score"))).alias("recs")))
+
+
 def content_sim_pairs(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                       num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash") -> DataFrame:
     """(mid, other_mid, score): directed pairs of distinct movies with cosine > threshold."""

@@ -95,7 +95,14 @@ def content_job(movies: DataFrame, out_root: str, threshold: float = schemas.CON
     out = {CONTENT_SIMILARITY: _path(out_root, CONTENT_SIMILARITY),
            CONTENT_MOVIE_RECS: _path(out_root, CONTENT_MOVIE_RECS)}
     tables.write_table(model.pairs(), out[CONTENT_SIMILARITY], fmt, sort_by=["mid"])
-    tables.write_table(model.recs(k), out[CONTENT_MOVIE_RECS], fmt)
+    if k is None:
+        # the full lists regroup the stored pairs instead of expanding them again
+        stored = tables.read_table(movies.sparkSession, out[CONTENT_SIMILARITY], fmt=fmt)
+        recs = content.lists_from_pairs(stored)
+    else:
+        recs = model.recs(k)
+    tables.write_table(recs, out[CONTENT_MOVIE_RECS], fmt)
+    model.unpersist()
     return out
 
 
