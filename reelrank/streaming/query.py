@@ -123,11 +123,14 @@ def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFr
                 return
             last = batch.filter(F.col("kind") == "last").select("uid", "mid", "score", "timestamp")
             users = last.select("uid")
-            history = ratings.join(users, "uid", "left_semi")
+            # stored ratings of this batch's users: read once, used for the
+            # recent list and for the already-seen exclusion
+            history = ratings.join(users, "uid", "left_semi").persist()
             streamed = batch.filter(F.col("kind") == "recent").select("uid", "mid", "score", "timestamp")
             recents = realtime.recent_ratings(history.unionByName(streamed), k)
             recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust)
             write_stream_recs(recs, sink_root, batch_id)
+            history.unpersist()
         finally:
             batch.unpersist()
     return handle

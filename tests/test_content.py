@@ -92,3 +92,16 @@ def test_similarity_lookup_defaults_to_zero(spark):
     q = spark.createDataFrame([(1, 2), (2, 1)], "mid int, other_mid int")
     got = {(r.mid, r.other_mid): r.sim for r in content.similarity_lookup(q, sims).collect()}
     assert got == {(1, 2): 0.9, (2, 1): 0.0}
+
+
+def test_salted_term_join_is_exact_on_a_hot_term(spark, monkeypatch):
+    # every movie shares 'common'; tiny buckets force many salt buckets per term
+    monkeypatch.setattr(content, "SALT_ROWS", 2)
+    rnd = random.Random(7)
+    rows = [(m, "common|" + "|".join(rnd.choice(WORDS) for _ in range(rnd.randint(1, 3)))) for m in range(80)]
+    rows += [(100 + m, "solo%d" % m) for m in range(5)]
+    got = {(r.mid, r.other_mid): r.score
+           for r in content.content_sim_pairs(as_df(spark, rows), threshold=0.3, term_space="exact").collect()}
+    want = brute.cosine_pairs(rows, threshold=0.3)
+    assert set(got) == set(want)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
