@@ -60,7 +60,7 @@ def main() -> None:
     timed("user_recent_ratings", lambda: run(realtime.recent_ratings(ratings, 20)))
     out: dict[str, str] = {}
     timed("content_similarity", lambda: out.update(jobs.content_job(movies, f"{root}/content")))
-    sims = tables.read_table(spark, out[jobs.CONTENT_SIMILARITY])
+    sims = content.similarity_entries(tables.read_table(spark, out[jobs.CONTENT_MOVIE_RECS]))
     timed("stream_scores", lambda: run(realtime.realtime_recs(events, ratings, sims)))
     timed("als_user_recs", lambda: run(latent.user_recs(latent.fit_als(stats.rating_triples(ratings)), 50)))
     n_pairs = spark.read.parquet(out[jobs.CONTENT_SIMILARITY]).count()

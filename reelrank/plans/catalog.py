@@ -247,8 +247,10 @@ _RT = ["movie", "rating", "rating_event"]
 
 
 def _rt_inputs(spark, sf):
+    """Inputs and the similarity entries with list positions (rank), taken
+    from the per-movie lists as the real-time job reads them."""
     inp = load_inputs(spark, sf)
-    return inp, content.content_sim_pairs(inp.movies)
+    return inp, content.similarity_entries(content.content_movie_recs(inp.movies))
 
 
 def _rt_sql(n_ctes: int, body: str) -> str:
@@ -276,7 +278,8 @@ def q_user_recent_ratings(spark, sf):
 
 @register("unseen_candidates", _rt_sql(2, "SELECT uid, mid, round(sim, 6) AS sim FROM unseen"))
 def q_unseen_candidates(spark, sf):
-    inp, sims = _rt_inputs(spark, sf)
+    inp = load_inputs(spark, sf)
+    sims = content.content_sim_pairs(inp.movies)
     out = realtime.unseen_candidates(realtime.last_events(inp.rating_events), sims, inp.ratings)
     return out.select("uid", "mid", F.round("sim", 6).alias("sim"))
 

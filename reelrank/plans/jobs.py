@@ -106,12 +106,13 @@ def content_job(movies: DataFrame, out_root: str, threshold: float = schemas.CON
     return out
 
 
-def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, similarity_path: str,
+def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, movie_recs_path: str,
                  out_root: str, checkpoint_location: str, trigger: dict | None = None, fmt: str = "parquet"):
-    """Start the streaming recommender against a stored similarity table;
-    returns the running query (StreamRecs below ``out_root``)."""
+    """Start the streaming recommender against the stored per-movie lists
+    (ContentMovieRecs; list positions let each event fetch only the head of
+    a list); returns the running query (StreamRecs below ``out_root``)."""
     from reelrank.streaming import start_realtime_query
 
-    sims = tables.read_table(spark, similarity_path, fmt=fmt)
+    sims = content.similarity_entries(tables.read_table(spark, movie_recs_path, fmt=fmt))
     return start_realtime_query(spark, messages, ratings, sims, _path(out_root, STREAM_RECS),
                                 checkpoint_location, trigger)
