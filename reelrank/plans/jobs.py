@@ -107,12 +107,18 @@ def content_job(movies: DataFrame, out_root: str, threshold: float = schemas.CON
 
 
 def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, movie_recs_path: str,
-                 out_root: str, checkpoint_location: str, trigger: dict | None = None, fmt: str = "parquet"):
+                 out_root: str, checkpoint_location: str, trigger: dict | None = None, fmt: str = "parquet",
+                 user_buckets: int | None = None):
     """Start the streaming recommender against the stored per-movie lists
     (ContentMovieRecs; list positions let each event fetch only the head of
-    a list); returns the running query (StreamRecs below ``out_root``)."""
+    a list); returns the running query (StreamRecs below ``out_root``).
+
+    For large rating tables store them with ``user_buckets`` and read them
+    with ``keep_layout=True``: each micro-batch then reads only the buckets
+    of its users (dynamic partition pruning) instead of the whole table.
+    """
     from reelrank.streaming import start_realtime_query
 
     sims = content.similarity_entries(tables.read_table(spark, movie_recs_path, fmt=fmt))
     return start_realtime_query(spark, messages, ratings, sims, _path(out_root, STREAM_RECS),
-                                checkpoint_location, trigger)
+                                checkpoint_location, trigger, user_buckets=user_buckets)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reelrank import schemas
 from reelrank.operators import realtime
+from reelrank.sources.tables import user_bucket
 
 
 def parse_rating_messages(messages: DataFrame, strict: bool = True) -> DataFrame:
@@ -114,8 +115,15 @@ def current_stream_recs(spark: SparkSession, root: str) -> DataFrame:
 
 def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFrame, sink_root: str,
                            k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
-                           threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written"):
-    """The ``foreachBatch`` function: score the users of one micro-batch."""
+                           threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written",
+                           user_buckets: int | None = None):
+    """The ``foreachBatch`` function: score the users of one micro-batch.
+
+    ``ratings`` read with ``keep_layout=True`` from a table stored with
+    ``user_buckets`` carries ``uid_bucket``; pass the same ``user_buckets``.
+    """
+    if "uid_bucket" in ratings.columns and not user_buckets:
+        raise ValueError("ratings carry uid_bucket: pass user_buckets")
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -124,8 +132,14 @@ def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFr
             last = batch.filter(F.col("kind") == "last").select("uid", "mid", "score", "timestamp")
             users = last.select("uid")
             # stored ratings of this batch's users: read once, used for the
-            # recent list and for the already-seen exclusion
-            history = ratings.join(users, "uid", "left_semi").persist()
+            # recent list and for the already-seen exclusion.  On a table
+            # partitioned by uid_bucket the join also prunes partitions.
+            if "uid_bucket" in ratings.columns:
+                keyed = users.withColumn("uid_bucket", user_bucket("uid", user_buckets))
+                history = (ratings.join(keyed, ["uid_bucket", "uid"], "left_semi")
+                           .select("uid", "mid", "score", "timestamp").persist())
+            else:
+                history = ratings.join(users, "uid", "left_semi").persist()
             streamed = batch.filter(F.col("kind") == "recent").select("uid", "mid", "score", "timestamp")
             recents = realtime.recent_ratings(history.unionByName(streamed), k)
             recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust)
@@ -139,14 +153,15 @@ def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFr
 def start_realtime_query(spark: SparkSession, messages: DataFrame, ratings: DataFrame, sims: DataFrame,
                          sink_root: str, checkpoint_location: str, trigger: dict | None = None,
                          k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
-                         threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written"):
+                         threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written",
+                         user_buckets: int | None = None):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``trigger`` defaults to a 20 second processing-time cadence (the
     reference's batch interval); tests pass ``{"availableNow": True}``.
     """
     state = recent_events_state(parse_rating_messages(messages), k)
-    handler = realtime_batch_handler(spark, ratings, sims, sink_root, k, n, threshold, adjust)
+    handler = realtime_batch_handler(spark, ratings, sims, sink_root, k, n, threshold, adjust, user_buckets)
     writer = (state.writeStream.outputMode("update").foreachBatch(handler)
               .option("checkpointLocation", checkpoint_location)
               .trigger(**(trigger or {"processingTime": "20 seconds"})))

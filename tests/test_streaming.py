@@ -73,3 +73,28 @@ def test_starting_offsets_json(spark):
     assert out.group == "g"
     assert out.starting_offsets == '{"my-topic":{"0":5,"2":1,"10":7},"other":{"1":3}}'
     assert json.loads(out.starting_offsets)["my-topic"]["10"] == 7
+
+
+def test_bucketed_ratings_prune_and_give_same_recs(spark, tmp_dir):
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    paths = tables.store_base_tables(inp.movies, inp.ratings, inp.tags, f"{tmp_dir}/base", user_buckets=16)
+    ratings = tables.read_ratings(spark, paths["rating"], keep_layout=True)
+    assert "uid_bucket" in ratings.columns
+    assert tables.read_ratings(spark, paths["rating"]).columns == ["uid", "mid", "score", "timestamp"]
+    # the handler's shape: the batch's users come from a filter on the state output
+    batch = inp.rating_events.withColumn("kind", F.when(F.col("score") > 2, "last").otherwise("recent"))
+    users = batch.filter(F.col("kind") == "last").select("uid")
+    keyed = users.withColumn("uid_bucket", tables.user_bucket("uid", 16))
+    lookup = ratings.join(keyed, ["uid_bucket", "uid"], "left_semi")
+    lookup.count()
+    assert "dynamicpruning" in lookup._jdf.queryExecution().executedPlan().toString().lower()
+
+    sims = content.similarity_entries(content.content_movie_recs(inp.movies))
+    src = f"{tmp_dir}/in"
+    fixtures.rating_messages(inp.rating_events).write.text(src)
+    sink, ckpt = f"{tmp_dir}/recs", f"{tmp_dir}/ckpt"
+    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), ratings, sims,
+                                       sink, ckpt, trigger={"availableNow": True}, user_buckets=16)
+    q.awaitTermination()
+    want = lists(realtime.realtime_recs(inp.rating_events, inp.ratings, sims))
+    assert lists(streaming.current_stream_recs(spark, sink)) == want
