@@ -222,7 +222,17 @@ class ContentModel:
         the best ``k+1`` overall, and per movie drop itself and keep ``k``.
         """
         if k is None:
-            return lists_from_pairs(self.pairs())
+            # Every movie of a class has the class's list minus itself: sort
+            # the list once per class, then give it to each member and drop
+            # the member from it (a filter keeps the order).
+            mb = self.members.select(F.col("mid").alias("other_mid"), F.col("ckey").alias("cb"))
+            per_class = (self.class_pairs().join(mb, "cb")
+                         .groupBy("ca")
+                         .agg(sorted_recs(F.collect_list(F.struct(F.col("other_mid").alias("mid"), "score")))
+                              .alias("recs")))
+            return (self.members.join(per_class, self.members["ckey"] == per_class["ca"])
+                    .select("mid", F.filter("recs", lambda r: r["mid"] != F.col("mid")).alias("recs"))
+                    .filter(F.size("recs") > 0))
         first_members = (self.members
                          .withColumn("r", F.row_number().over(Window.partitionBy("ckey").orderBy("mid")))
                          .filter(F.col("r") <= k + 1)

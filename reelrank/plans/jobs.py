@@ -88,20 +88,16 @@ def tuning_job(ratings: DataFrame, ranks=(50, 100), alphas=(0.01, 0.02), reg_par
 
 def content_job(movies: DataFrame, out_root: str, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                 num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash",
-                k: int | None = None, fmt: str = "parquet") -> dict[str, str]:
-    """Similar-movie lists (ContentMovieRecs) and the long pair table the
-    real-time job looks up (ContentSimilarity: mid, other_mid, score)."""
+                k: int | None = None, fmt: str = "parquet", write_pairs: bool = False) -> dict[str, str]:
+    """Similar-movie lists (ContentMovieRecs), and with ``write_pairs`` also
+    the long pair table (ContentSimilarity: mid, other_mid, score).  The
+    real-time job reads the lists: their positions rank the entries."""
     model = content.content_model(movies, threshold, num_features, term_space)
-    out = {CONTENT_SIMILARITY: _path(out_root, CONTENT_SIMILARITY),
-           CONTENT_MOVIE_RECS: _path(out_root, CONTENT_MOVIE_RECS)}
-    tables.write_table(model.pairs(), out[CONTENT_SIMILARITY], fmt, sort_by=["mid"])
-    if k is None:
-        # the full lists regroup the stored pairs instead of expanding them again
-        stored = tables.read_table(movies.sparkSession, out[CONTENT_SIMILARITY], fmt=fmt)
-        recs = content.lists_from_pairs(stored)
-    else:
-        recs = model.recs(k)
-    tables.write_table(recs, out[CONTENT_MOVIE_RECS], fmt)
+    out = {CONTENT_MOVIE_RECS: _path(out_root, CONTENT_MOVIE_RECS)}
+    if write_pairs:
+        out[CONTENT_SIMILARITY] = _path(out_root, CONTENT_SIMILARITY)
+        tables.write_table(model.pairs(), out[CONTENT_SIMILARITY], fmt, sort_by=["mid"])
+    tables.write_table(model.recs(k), out[CONTENT_MOVIE_RECS], fmt)
     model.unpersist()
     return out
 

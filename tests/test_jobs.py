@@ -29,7 +29,7 @@ def test_jobs_end_to_end(spark, tmp_dir):
     top = spark.read.parquet(out[jobs.GENRES_TOP_MOVIES])
     assert top.count() > 0 and top.select(F.max(F.size("recs"))).first()[0] <= 10
 
-    c = jobs.content_job(movies, f"{tmp_dir}/content")
+    c = jobs.content_job(movies, f"{tmp_dir}/content", write_pairs=True)
     pairs = spark.read.parquet(c[jobs.CONTENT_SIMILARITY])
     lists = spark.read.parquet(c[jobs.CONTENT_MOVIE_RECS])
     assert lists.select(F.sum(F.size("recs"))).first()[0] == pairs.count()
