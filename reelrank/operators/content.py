@@ -6,16 +6,18 @@ Plan (all DataFrame/SQL, no UDF, nothing collected):
 * Term frequencies are computed inside each movie row (array functions), so
   no shuffle is needed to build a movie's vector.
 * Movies with the same term-frequency vector have the same TF-IDF vector, so
-  the work is done once per distinct vector ("class", keyed by the JSON of
-  its sorted ``(term, tf)`` list).  A group of identical copies, however
-  large, becomes one class row; only the final expansion is per movie.
+  the work is done once per distinct vector ("class", keyed by an exact text
+  form of its sorted ``(term, tf)`` list).  A group of identical copies,
+  however large, becomes one class row; only the final expansion is per
+  movie.
 * Document frequencies come from the class table (sum of class sizes), one
   partial aggregation over the movies.
 * Candidate class pairs come from an exact prefix filter: vectors are L2
   normalised, terms ordered rarest first, and only the shortest prefix whose
   remaining suffix has norm <= threshold is indexed.  A pair above threshold
-  shares a prefix term of both (Cauchy-Schwarz), so nothing is lost; the
-  candidates are then verified with the full vectors.
+  shares a prefix term of both (Cauchy-Schwarz), so nothing is lost.  Each
+  candidate pair is met once (at its first shared prefix term) in a
+  per-term salted join and scored there with both full vectors.
 * Class pairs are expanded to movie pairs by equi-joins on the class key;
   the output size is the result size.  With ``k`` the per-movie lists are
   cut exactly without expanding all pairs (see :meth:`ContentModel.recs`).
@@ -89,8 +91,10 @@ class ContentModel:
     """Intermediate tables of the similarity computation.
 
     ``members``: (mid, ckey); ``classes``: (ckey, n, sig); ``idf``: (term, df, idf);
-    ``vectors``: (ckey, n, vec) with ``vec`` = normalised ``array<struct<term, u>>``
-    sorted by term (zero weights and zero-norm classes removed).
+    ``vectors``: (ckey, n, vec) with ``vec`` = normalised
+    ``array<struct<term, u, df>>`` sorted by term (zero weights and
+    zero-norm classes removed).  Cosine sums fold over term order, so a
+    score does not depend on how rows were partitioned.
     """
 
     members: DataFrame
