@@ -1,6 +1,7 @@
 """Structured Streaming form of the real-time recommender."""
 
 from reelrank.streaming.query import (
+    compact_stream_recs,
     current_stream_recs,
     parse_rating_messages,
     rating_stream,
@@ -8,5 +9,5 @@ from reelrank.streaming.query import (
     starting_offsets,
 )
 
-__all__ = ["current_stream_recs", "parse_rating_messages", "rating_stream",
+__all__ = ["compact_stream_recs", "current_stream_recs", "parse_rating_messages", "rating_stream",
            "start_realtime_query", "starting_offsets"]

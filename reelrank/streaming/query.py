@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -106,11 +107,51 @@ def write_stream_recs(recs: DataFrame, root: str, batch_id: int) -> None:
      .partitionBy("batch_id").parquet(root))
 
 
-def current_stream_recs(spark: SparkSession, root: str) -> DataFrame:
-    """(uid, recs): the latest list per user (last write wins).  ``max_by`` is
-    combined map-side, so a user in many batches costs one row per task."""
+def _read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
+    if not path:
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing written there yet
+        return None
+
+
+def _latest_lists(log: DataFrame, snapshot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows still relevant: the newest snapshot plus the log after it."""
+    if snapshot is None:
+        return log.select("uid", "recs", "batch_id"), None
+    upto = snapshot.agg(F.max("v")).scalar()
+    snap = snapshot.filter(F.col("v") == upto).select("uid", "recs", F.col("v").alias("batch_id"))
+    return snap.unionByName(log.filter(F.col("batch_id") > upto).select("uid", "recs", "batch_id")), upto
+
+
+def current_stream_recs(spark: SparkSession, root: str, snapshot_root: str | None = None) -> DataFrame:
+    """(uid, recs): the latest list per user (last write wins).
+
+    With ``snapshot_root`` (see :func:`compact_stream_recs`) only the newest
+    snapshot and the log partitions after it are read.  ``max_by`` is
+    combined map-side, so a user in many batches costs one row per task.
+    """
+    rows, _ = _latest_lists(spark.read.parquet(root), _read_or_none(spark, snapshot_root))
+    return rows.groupBy("uid").agg(F.max_by("recs", "batch_id").alias("recs"))
+
+
+def compact_stream_recs(spark: SparkSession, root: str, snapshot_root: str) -> None:
+    """Fold the log into a new snapshot version ``v`` = last batch id.
+
+    Versions are separate partitions, so the snapshot being read is never
+    overwritten; with nothing new since the newest snapshot it does nothing.
+    """
     log = spark.read.parquet(root)
-    return log.groupBy("uid").agg(F.max_by("recs", "batch_id").alias("recs"))
+    last = log.agg(F.max("batch_id")).first()[0]
+    snapshot = _read_or_none(spark, snapshot_root)
+    if last is None or (snapshot is not None and snapshot.agg(F.max("v")).first()[0] >= last):
+        return  # nothing new since the newest snapshot
+    rows, _ = _latest_lists(log.filter(F.col("batch_id") <= last), snapshot)
+    (rows.groupBy("uid").agg(F.max_by("recs", "batch_id").alias("recs"))
+     .withColumn("v", F.lit(last).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("v").parquet(snapshot_root))
 
 
 def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFrame, sink_root: str,

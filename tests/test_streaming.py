@@ -98,3 +98,20 @@ def test_bucketed_ratings_prune_and_give_same_recs(spark, tmp_dir):
     q.awaitTermination()
     want = lists(realtime.realtime_recs(inp.rating_events, inp.ratings, sims))
     assert lists(streaming.current_stream_recs(spark, sink)) == want
+
+
+def test_compaction_keeps_the_latest_lists(spark, tmp_dir):
+    schema = "uid int, recs array<struct<mid:int,score:double>>"
+    log, snap = f"{tmp_dir}/log", f"{tmp_dir}/snap"
+    write_stream_recs(spark.createDataFrame([(1, [(5, 0.5)]), (2, [(6, 0.6)])], schema), log, 0)
+    write_stream_recs(spark.createDataFrame([(1, [(7, 0.7)])], schema), log, 1)
+    streaming.compact_stream_recs(spark, log, snap)
+    assert lists(streaming.current_stream_recs(spark, log, snap)) == {1: [(7, 0.7)], 2: [(6, 0.6)]}
+    write_stream_recs(spark.createDataFrame([(2, [(8, 0.8)]), (3, [(9, 0.9)])], schema), log, 2)
+    want = {1: [(7, 0.7)], 2: [(8, 0.8)], 3: [(9, 0.9)]}
+    assert lists(streaming.current_stream_recs(spark, log, snap)) == want
+    streaming.compact_stream_recs(spark, log, snap)
+    streaming.compact_stream_recs(spark, log, snap)  # repeated: nothing new, no-op
+    assert spark.read.parquet(snap).select("v").distinct().count() == 2
+    assert lists(streaming.current_stream_recs(spark, log, snap)) == want
+    assert lists(streaming.current_stream_recs(spark, log)) == want
