@@ -69,13 +69,25 @@ def genre_tokens(movies: DataFrame) -> DataFrame:
     return movies.select("mid", F.posexplode(_tokens(F.col("genres"))).alias("pos", "token"))
 
 
+def term_counts(terms: F.Column) -> F.Column:
+    """``array<struct<term, tf>>`` sorted by term: run lengths of the sorted
+    array (O(n log n) inside the row, no shuffle).  NULL for no terms."""
+    s = F.array_sort(terms)
+    n = F.size(s)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, F.greatest(i - 1, F.lit(1)))))
+    runs = F.transform(starts, lambda st, j: F.struct(
+        F.try_element_at(s, st).alias("term"),
+        (F.coalesce(F.try_element_at(starts, j + 2), n + 1) - st).cast("double").alias("tf")))
+    return F.when(n > 0, runs)
+
+
 def _tf_vectors(movies: DataFrame, term_space: str, num_features: int) -> DataFrame:
     """(mid, sig): ``sig`` = term frequencies as ``array<struct<term, tf>>`` sorted by term."""
     terms = F.transform(_tokens(F.col("genres")), lambda t: _term(t, term_space, num_features))
-    sig = F.transform(F.array_sort(F.array_distinct(terms)),
-                      lambda x: F.struct(x.alias("term"),
-                                         F.size(F.filter(terms, lambda y: y == x)).cast("double").alias("tf")))
-    return movies.select("mid", sig.alias("sig"))
+    term_type = "int" if term_space == "hash" else "string"
+    empty = F.array().cast(f"array<struct<term:{term_type},tf:double>>")
+    return movies.select("mid", F.coalesce(term_counts(terms), empty).alias("sig"))
 
 
 def hashed_tf(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,

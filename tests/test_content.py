@@ -105,3 +105,10 @@ def test_salted_term_join_is_exact_on_a_hot_term(spark, monkeypatch):
     want = brute.cosine_pairs(rows, threshold=0.3)
     assert set(got) == set(want)
     assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_term_counts_run_lengths(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "b", "c", "b"]), (2, ["x"]), (3, [])], "id int, t array<string>")
+    got = {r.id: (None if r.c is None else [(x.term, x.tf) for x in r.c])
+           for r in df.select("id", content.term_counts(F.col("t")).alias("c")).collect()}
+    assert got == {1: [("a", 1.0), ("b", 3.0), ("c", 1.0)], 2: [("x", 1.0)], 3: None}
