@@ -14,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.operators import stats
-from reelrank.plans.oracle import with_ctes
+from reelrank import schemas, streaming
+from reelrank.operators import content, latent, realtime, stats
+from reelrank.plans.oracle import CONTENT_CTES, REALTIME_CTES, with_ctes
 from reelrank.session import scratch_path
 from reelrank.sources import fixtures, tables, text
 from reelrank.sources.fixtures import load_inputs
@@ -43,17 +44,12 @@ def register(name: str, sql: str | None = None):
 
 @register("movies_typed", with_ctes(["movie"], [], "SELECT * FROM movie"))
 def q_movies_typed(spark, sf):
-    return tables._typed(load_inputs(spark, sf).movies, fixtures_schema("movie"))
+    return tables.typed(load_inputs(spark, sf).movies, schemas.MOVIE)
 
 
 @register("ratings_typed", with_ctes(["rating"], [], "SELECT * FROM rating"))
 def q_ratings_typed(spark, sf):
-    return tables._typed(load_inputs(spark, sf).ratings, fixtures_schema("rating"))
-
-
-def fixtures_schema(kind: str) -> str:
-    from reelrank import schemas
-    return {"movie": schemas.MOVIE, "rating": schemas.RATING, "tag": schemas.TAG}[kind]
+    return tables.typed(load_inputs(spark, sf).ratings, schemas.RATING)
 
 
 @register("rating_triples", with_ctes(["rating"], [], "SELECT uid, mid, score FROM rating"))
@@ -193,9 +189,6 @@ def q_distinct_movies(spark, sf):
 
 # ---------------------------------------------------------------- content similarity
 
-from reelrank.operators import content  # noqa: E402
-from reelrank.plans.oracle import CONTENT_CTES  # noqa: E402
-
 
 @register("genre_tokens", with_ctes(["movie"], CONTENT_CTES[:1],
                                     "SELECT mid, CAST(pos - 1 AS INT) AS pos, token FROM tok"))
@@ -240,8 +233,6 @@ def q_content_movie_recs(spark, sf):
 
 # ---------------------------------------------------------------- real-time scoring (batch form)
 
-from reelrank.operators import realtime  # noqa: E402
-from reelrank.plans.oracle import REALTIME_CTES  # noqa: E402
 
 _RT = ["movie", "rating", "rating_event"]
 
@@ -338,7 +329,6 @@ def q_recs_upsert(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-from reelrank import streaming  # noqa: E402
 
 # Consumer group and topic of the derived offset table.
 OFFSET_GROUP = "recommender"
@@ -398,7 +388,6 @@ def q_starting_offsets(spark, sf):
 
 # ---------------------------------------------------------------- latent factors
 
-from reelrank.operators import latent  # noqa: E402
 
 _SPLIT_SQL = """split AS (SELECT *, CASE WHEN ((((CAST(uid AS BIGINT) * 1000003 + mid) % 2147483647) * 1000003
   + "timestamp") % 2147483647) % 10 < 8 THEN 'train' ELSE 'test' END AS split FROM rating)"""
