@@ -68,11 +68,13 @@ def statistics_job(movies: DataFrame, ratings: DataFrame, out_root: str, genres:
 
 
 def offline_job(ratings: DataFrame, out_root: str, params: latent.AlsParams = latent.AlsParams(),
-                k: int = schemas.ALS_TOP_K, fmt: str = "parquet") -> dict[str, str]:
-    """ALS fit, then top-k movies per user and top-k users per movie."""
+                k: int = schemas.ALS_TOP_K, fmt: str = "parquet", exclude_rated: bool = False) -> dict[str, str]:
+    """ALS fit, then top-k movies per user and top-k users per movie.
+    ``exclude_rated`` leaves a user's rated movies out of their list."""
     model = latent.fit_als(stats.rating_triples(ratings), params)
     out = {USER_TO_MOVIE: _path(out_root, USER_TO_MOVIE), MOVIE_TO_USER: _path(out_root, MOVIE_TO_USER)}
-    tables.write_table(latent.user_recs(model, k), out[USER_TO_MOVIE], fmt)
+    tables.write_table(latent.user_recs(model, k, exclude=ratings if exclude_rated else None),
+                       out[USER_TO_MOVIE], fmt)
     tables.write_table(latent.item_recs(model, k), out[MOVIE_TO_USER], fmt)
     return out
 
