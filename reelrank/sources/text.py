@@ -3,7 +3,9 @@
 Parsers take a DataFrame with one string column ``value`` -- what
 ``spark.read.text`` and a text stream produce -- so batch and stream share
 them.  ``strict=True`` casts with ANSI semantics (a bad number fails the job,
-as the reference does); ``strict=False`` uses ``try_cast`` and yields NULLs.
+as the reference does); ``strict=False`` uses ``try_cast`` and yields NULLs,
+and :func:`split_invalid` then separates the rows that did not parse
+(``keep_line=True`` keeps the raw line next to them).
 """
 
 from __future__ import annotations
@@ -18,33 +20,44 @@ def _num(c, type_name: str, strict: bool):
     return c.cast(type_name) if strict else c.try_cast(type_name)
 
 
-def parse_movies(lines: DataFrame, strict: bool = True) -> DataFrame:
+def _field(parts, i: int, strict: bool):
+    """Field ``i`` (0-based).  A short line fails a strict parse and gives
+    NULL in a lenient one."""
+    return parts.getItem(i) if strict else F.get(parts, F.lit(i))
+
+
+def _line(keep_line: bool) -> list:
+    return [F.col("value").alias("line")] if keep_line else []
+
+
+def parse_movies(lines: DataFrame, strict: bool = True, keep_line: bool = False) -> DataFrame:
     """``mid^name^descri^timelong^issue^shoot^language^genres^actors^directors``.
 
     Fields 1-9 are trimmed.  Trailing empty fields are kept as ``''``.
     """
     parts = F.split(F.col("value"), r"\^", -1)
-    cols = [_num(parts.getItem(0), "int", strict).alias("mid")]
+    cols = [_num(_field(parts, 0, strict), "int", strict).alias("mid")]
     for i, name in enumerate(schemas.MOVIE_COLUMNS[1:], start=1):
-        cols.append(F.trim(parts.getItem(i)).alias(name))
-    return lines.select(*cols)
+        cols.append(F.trim(_field(parts, i, strict)).alias(name))
+    return lines.select(*cols, *_line(keep_line))
 
 
-def parse_ratings(lines: DataFrame, strict: bool = True) -> DataFrame:
+def parse_ratings(lines: DataFrame, strict: bool = True, keep_line: bool = False) -> DataFrame:
     """``uid,mid,score,timestamp``."""
     parts = F.split(F.col("value"), ",", -1)
     return lines.select(
-        _num(parts.getItem(0), "int", strict).alias("uid"),
-        _num(parts.getItem(1), "int", strict).alias("mid"),
-        _num(parts.getItem(2), "double", strict).alias("score"),
-        _num(parts.getItem(3), "int", strict).alias("timestamp"),
+        _num(_field(parts, 0, strict), "int", strict).alias("uid"),
+        _num(_field(parts, 1, strict), "int", strict).alias("mid"),
+        _num(_field(parts, 2, strict), "double", strict).alias("score"),
+        _num(_field(parts, 3, strict), "int", strict).alias("timestamp"),
+        *_line(keep_line),
     )
 
 
 _TAG_LINE = r"^([^,]*),([^,]*),(.*),([^,]*)$"
 
 
-def parse_tags(lines: DataFrame, strict: bool = True) -> DataFrame:
+def parse_tags(lines: DataFrame, strict: bool = True, keep_line: bool = False) -> DataFrame:
     """``uid,mid,tag,timestamp``; the tag is trimmed and may itself hold commas
     (everything between the second and the last comma)."""
     v = F.col("value")
@@ -53,9 +66,22 @@ def parse_tags(lines: DataFrame, strict: bool = True) -> DataFrame:
         _num(F.regexp_extract(v, _TAG_LINE, 2), "int", strict).alias("mid"),
         F.trim(F.regexp_extract(v, _TAG_LINE, 3)).alias("tag"),
         _num(F.regexp_extract(v, _TAG_LINE, 4), "int", strict).alias("timestamp"),
+        *_line(keep_line),
     )
 
 
+_NUMERIC = {"movie": ["mid"], "rating": ["uid", "mid", "score", "timestamp"], "tag": ["uid", "mid", "timestamp"]}
+
+
+def split_invalid(parsed: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) rows of a lenient parse: a row is invalid when one of
+    its numeric fields did not parse (NULL).  One pass each, no shuffle."""
+    bad = F.lit(False)
+    for c in _NUMERIC[kind]:
+        bad = bad | F.col(c).isNull()
+    return parsed.filter(~bad), parsed.filter(bad)
+
+
 _PARSERS = {"movie": parse_movies, "rating": parse_ratings, "tag": parse_tags}
 
 

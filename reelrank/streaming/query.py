@@ -30,8 +30,9 @@ def parse_rating_messages(messages: DataFrame, strict: bool = True) -> DataFrame
     parts = F.split(F.col("value"), r"\|", -1)
 
     def num(i: int, t: str):
-        c = parts.getItem(i)
-        return c.cast(t) if strict else c.try_cast(t)
+        if strict:
+            return parts.getItem(i).cast(t)
+        return F.get(parts, F.lit(i)).try_cast(t)
 
     return messages.select(num(0, "int").alias("uid"), num(1, "int").alias("mid"),
                            num(2, "double").alias("score"), num(3, "int").alias("timestamp"))

@@ -68,3 +68,11 @@ def test_search_documents_one_per_movie(spark, tmp_dir):
     back = spark.read.json(f"{tmp_dir}/docs")
     assert back.count() == 200 and back.select("doc_id").distinct().count() == 200
     assert back.filter(F.col("doc_id") != F.col("mid").cast("string")).count() == 0
+
+
+def test_lenient_parse_splits_out_bad_rows(spark):
+    parsed = text.parse_ratings(lines(spark, "1,31,2.5,1260759144", "x,31,2.5,1", "2,3,4.0"),
+                                strict=False, keep_line=True)
+    good, bad = text.split_invalid(parsed, "rating")
+    assert [r.uid for r in good.collect()] == [1]
+    assert sorted(r.line for r in bad.collect()) == ["2,3,4.0", "x,31,2.5,1"]

@@ -115,3 +115,9 @@ def test_compaction_keeps_the_latest_lists(spark, tmp_dir):
     assert spark.read.parquet(snap).select("v").distinct().count() == 2
     assert lists(streaming.current_stream_recs(spark, log, snap)) == want
     assert lists(streaming.current_stream_recs(spark, log)) == want
+
+
+def test_lenient_message_parse_gives_nulls(spark):
+    df = spark.createDataFrame([("1|31|x",)], "value string")
+    r = streaming.parse_rating_messages(df, strict=False).first()
+    assert (r.uid, r.mid, r.score, r.timestamp) == (1, 31, None, None)
