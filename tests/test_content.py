@@ -112,3 +112,14 @@ def test_term_counts_run_lengths(spark):
     got = {r.id: (None if r.c is None else [(x.term, x.tf) for x in r.c])
            for r in df.select("id", content.term_counts(F.col("t")).alias("c")).collect()}
     assert got == {1: [("a", 1.0), ("b", 3.0), ("c", 1.0)], 2: [("x", 1.0)], 3: None}
+
+
+def test_tokenizer_on_random_strings(spark):
+    rnd = random.Random(11)
+    alphabet = ["a", "B", "c", "|", " ", "\t", "\n", "\f", "#"]
+    rows = [(i, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12)))) for i in range(300)]
+    got = {}
+    for r in content.genre_tokens(as_df(spark, rows)).collect():
+        got.setdefault(r.mid, []).append((r.pos, r.token))
+    for mid, g in rows:
+        assert [t for _, t in sorted(got.get(mid, []))] == brute.tokens(g), repr(g)
