@@ -123,3 +123,11 @@ def test_tokenizer_on_random_strings(spark):
         got.setdefault(r.mid, []).append((r.pos, r.token))
     for mid, g in rows:
         assert [t for _, t in sorted(got.get(mid, []))] == brute.tokens(g), repr(g)
+
+
+def test_zero_norm_vectors_have_no_pairs(spark):
+    # 'drama' is in every movie: idf 0, so movies 1-3 have zero-norm vectors
+    rows = [(1, "Drama"), (2, "Drama|Drama"), (3, "drama"), (4, "Drama|War"), (5, "War|Drama")]
+    got = {(r.mid, r.other_mid) for r in content.content_sim_pairs(as_df(spark, rows), term_space="exact").collect()}
+    assert got == {(4, 5), (5, 4)}
+    assert got == set(brute.cosine_pairs(rows))
