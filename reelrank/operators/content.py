@@ -71,8 +71,16 @@ def genre_tokens(movies: DataFrame) -> DataFrame:
 
 def term_counts(terms: F.Column) -> F.Column:
     """``array<struct<term, tf>>`` sorted by term: run lengths of the sorted
-    array (O(n log n) inside the row, no shuffle).  NULL for no terms."""
+    array (O(n log n) inside the row, no shuffle).  NULL for no terms.
+
+    Pass a column reference, not a computed expression: expressions used
+    inside higher-order-function lambdas are evaluated again at every use.
+    """
     s = F.array_sort(terms)
+    return _runs(s)
+
+
+def _runs(s: F.Column) -> F.Column:
     n = F.size(s)
     starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
                       lambda i: (i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, F.greatest(i - 1, F.lit(1)))))
@@ -83,11 +91,16 @@ def term_counts(terms: F.Column) -> F.Column:
 
 
 def _tf_vectors(movies: DataFrame, term_space: str, num_features: int) -> DataFrame:
-    """(mid, sig): ``sig`` = term frequencies as ``array<struct<term, tf>>`` sorted by term."""
-    terms = F.transform(_tokens(F.col("genres")), lambda t: _term(t, term_space, num_features))
+    """(mid, sig): ``sig`` = term frequencies as ``array<struct<term, tf>>`` sorted by term.
+
+    Staged projections: the lambdas below read the sorted terms as a column,
+    so tokenising and sorting happen once per row.
+    """
     term_type = "int" if term_space == "hash" else "string"
     empty = F.array().cast(f"array<struct<term:{term_type},tf:double>>")
-    return movies.select("mid", F.coalesce(term_counts(terms), empty).alias("sig"))
+    sorted_terms = movies.select("mid", F.array_sort(F.transform(
+        _tokens(F.col("genres")), lambda t: _term(t, term_space, num_features))).alias("s"))
+    return sorted_terms.select("mid", F.coalesce(_runs(F.col("s")), empty).alias("sig"))
 
 
 def hashed_tf(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,
