@@ -17,7 +17,7 @@ Plan (all DataFrame/SQL, no UDF, nothing collected):
   remaining suffix has norm <= threshold is indexed.  A pair above threshold
   shares a prefix term of both (Cauchy-Schwarz), so nothing is lost.  Each
   candidate pair is met once (at its first shared prefix term) in a
-  per-term salted join and scored there with both full vectors.
+  per-term grid-salted join and scored there with both full vectors.
 * Class pairs are expanded to movie pairs by equi-joins on the class key;
   the output size is the result size.  With ``k`` the per-movie lists are
   cut exactly without expanding all pairs (see :meth:`ContentModel.recs`).
@@ -37,9 +37,9 @@ from reelrank.functions.columns import java_split, sorted_recs
 # suffix norms can only make prefixes longer (more candidates), never shorter.
 PREFIX_SLACK = 1e-6
 
-# Prefix entries per salt bucket of one term in the candidate join.  A term
-# shared by many classes is split into ceil(count / SALT_ROWS) buckets, so its
-# quadratic pair work spreads over many tasks instead of one.
+# Grid step of the candidate join: a term shared by c classes is split into a
+# ceil(c / SALT_ROWS)-square grid of cells, so its quadratic pair work spreads
+# over many tasks (about SALT_ROWS**2 pairs per cell) instead of one.
 SALT_ROWS = 256
 
 
@@ -65,8 +65,14 @@ def _term(token: F.Column, term_space: str, num_features: int) -> F.Column:
 
 
 def genre_tokens(movies: DataFrame) -> DataFrame:
-    """(mid, pos, token): tokenizer output, one row per token, pos 0-based."""
-    return movies.select("mid", F.posexplode(_tokens(F.col("genres"))).alias("pos", "token"))
+    """(mid, pos, token): tokenizer output, one row per token, pos 0-based.
+
+    ``*_outer`` + a NULL filter instead of a plain explode: for a plain one
+    Spark infers ``size(array) > 0`` and pushes it below the projections,
+    which evaluates the whole array expression a second time.
+    """
+    return (movies.select("mid", F.posexplode_outer(_tokens(F.col("genres"))).alias("pos", "token"))
+            .filter(F.col("pos").isNotNull()))
 
 
 def term_counts(terms: F.Column) -> F.Column:
@@ -107,7 +113,8 @@ def hashed_tf(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,
               term_space: str = "hash") -> DataFrame:
     """(mid, term, tf) for every term a movie has."""
     return (_tf_vectors(movies, term_space, num_features)
-            .select("mid", F.explode("sig").alias("e"))
+            .select("mid", F.explode_outer("sig").alias("e"))  # see genre_tokens
+            .filter(F.col("e").isNotNull())
             .select("mid", F.col("e.term").alias("term"), F.col("e.tf").alias("tf")))
 
 
@@ -164,36 +171,43 @@ class ContentModel:
                      .select("ckey", F.transform("vec", lambda x: F.struct(x["term"], x["u"])).alias("vec"),
                              prefix_terms.alias("prefix")))
         return (per_class
-                .select("ckey", "vec", F.posexplode("prefix").alias("pos", "term"), "prefix")
+                .select("ckey", "vec", F.posexplode_outer("prefix").alias("pos", "term"), "prefix")
+                .filter(F.col("pos").isNotNull())  # see genre_tokens
                 .select("ckey", "term", F.slice("prefix", 1, F.col("pos")).alias("before"), "vec",
                         F.map_from_entries("vec").alias("vmap")))
 
     def _term_join(self) -> DataFrame:
-        """Self-join of prefix entries on a shared term, salted per term.
+        """Self-join of prefix entries on a shared term, grid-salted per term.
 
         Each pair of classes sharing prefix terms is met once, at its first
-        shared prefix term.  A term held by ``c`` classes gets
-        ``ceil(c / SALT_ROWS)`` buckets: the probe side picks one bucket by
-        hash of the class key, the build side is copied to every bucket.
-        The probe side is hash-partitioned to the cluster's parallelism with
-        an explicit count (AQE does not coalesce it), because the work is
-        quadratic in a term's classes while the input is small in bytes.
+        shared prefix term.  A term held by ``c`` classes is split into an
+        ``S x S`` grid, ``S = ceil(c / SALT_ROWS)``: the left side of the
+        join picks its row ``hash(ckey) % S`` and is copied to every column,
+        the right side picks its column and is copied to every row, so each
+        class pair meets in exactly one cell and a cell holds at most about
+        ``SALT_ROWS**2`` pairs however popular the term.  Both sides are
+        hash-partitioned on the cell with an explicit count (AQE does not
+        coalesce it): the work is quadratic in a term's classes while the
+        input is small in bytes, and whichever side AQE broadcasts, the
+        other stays spread over many cells.
         """
         spark = self.vectors.sparkSession
         parallelism = max(spark.sparkContext.defaultParallelism,
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
         e = self._prefix_entries()
-        buckets = (e.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
-                   .select("term", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("s")))
+        grid = (e.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+                .select("term", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("s")))
         if self.term_space == "hash":
-            buckets = F.broadcast(buckets)  # one row per term: at most num_features
-        e = e.join(buckets, "term")
-        probe = (e.withColumn("salt", F.pmod(F.xxhash64("ckey"), F.col("s")).cast("int"))
-                 .repartition(parallelism, "term", "salt").alias("a"))
-        build = e.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("s") - 1))).alias("b")
-        cond = ((F.col("a.term") == F.col("b.term")) & (F.col("a.salt") == F.col("b.salt"))
-                & (F.col("a.ckey") < F.col("b.ckey")))
-        return (probe.join(build, cond)
+            grid = F.broadcast(grid)  # one row per term: at most num_features
+        e = e.join(grid, "term").withColumn("own", F.pmod(F.xxhash64("ckey"), F.col("s")).cast("int"))
+        every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+        left = (e.select("*", F.col("own").alias("gr"), every.alias("gc"))
+                .repartition(parallelism, "term", "gr", "gc").alias("a"))
+        right = (e.select("*", every.alias("gr"), F.col("own").alias("gc"))
+                 .repartition(parallelism, "term", "gr", "gc").alias("b"))
+        cond = ((F.col("a.term") == F.col("b.term")) & (F.col("a.gr") == F.col("b.gr"))
+                & (F.col("a.gc") == F.col("b.gc")) & (F.col("a.ckey") < F.col("b.ckey")))
+        return (left.join(right, cond)
                 .filter(~F.arrays_overlap(F.col("a.before"), F.col("b.before"))))
 
     def candidate_pairs(self) -> DataFrame:
@@ -217,11 +231,15 @@ class ContentModel:
             F.try_element_at(F.col("b.vmap"), x["term"]), F.lit(0.0)))
         scored = self._term_join().select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"),
                                           dot.alias("score"))
-        kept = scored.filter(~F.isnan("score") & (F.col("score") > self.threshold))
-        # both directions from one pass over the join
-        both = kept.select(F.explode(F.array(
-            F.struct(F.col("ca").alias("ca"), F.col("cb").alias("cb"), "score"),
-            F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "score"))).alias("p")).select("p.*")
+        # Both directions from one pass.  The threshold filter comes after
+        # the explode on purpose: a filter on ``score`` placed before it is
+        # pushed into the join condition and the (interpreted) dot product
+        # would be evaluated again there.
+        both = (scored.select(F.explode(F.array(
+                    F.struct(F.col("ca").alias("ca"), F.col("cb").alias("cb"), "score"),
+                    F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "score"))).alias("p"))
+                .select("p.*")
+                .filter(~F.isnan("score") & (F.col("score") > self.threshold)))
         selfs = (self.vectors.filter(F.col("n") >= 2)
                  .select(F.col("ckey").alias("ca"), F.col("ckey").alias("cb"),
                          F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x["u"] * x["u"]).alias("score"))

@@ -38,8 +38,9 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "l_quantity" not in p  # not read for tags
 
 
-def test_term_join_is_salted_and_repartitioned(spark):
+def test_term_join_is_grid_salted_and_repartitioned(spark):
     model = content.content_model(fixtures.load_inputs(spark, SF_SMALL).movies)
     p = plan(model.candidate_pairs())
-    assert "salt" in p and "hashpartitioning(term" in p
+    assert p.count("hashpartitioning(term") >= 2  # both sides on (term, grid row, grid column)
+    assert "gr#" in p and "gc#" in p
     model.unpersist()
