@@ -166,6 +166,7 @@ def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFr
     """
     if "uid_bucket" in ratings.columns and not user_buckets:
         raise ValueError("ratings carry uid_bucket: pass user_buckets")
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -184,9 +185,11 @@ def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFr
                 history = ratings.join(users, "uid", "left_semi").persist()
             streamed = batch.filter(F.col("kind") == "recent").select("uid", "mid", "score", "timestamp")
             recents = realtime.recent_ratings(history.unionByName(streamed), k)
-            recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust)
+            kept: list = []
+            recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust, keep=kept)
             write_stream_recs(recs, sink_root, batch_id)
-            history.unpersist()
+            for df in kept + [history]:
+                df.unpersist()
         finally:
             batch.unpersist()
     return handle
