@@ -44,3 +44,12 @@ def test_term_join_is_grid_salted_and_repartitioned(spark):
     assert p.count("hashpartitioning(term") >= 2  # both sides on (term, grid row, grid column)
     assert "gr#" in p and "gc#" in p
     model.unpersist()
+
+
+def test_array_work_is_not_repeated_by_inferred_filters(spark):
+    # a plain explode would make Spark infer size(array) > 0 and push it into
+    # the scan, evaluating the whole tokenizer/term-count expression again
+    movies = fixtures.load_inputs(spark, SF_SMALL).movies
+    for df in (content.hashed_tf(movies), content.genre_tokens(movies)):
+        p = plan(df)
+        assert "DataFilters: [(size(" not in p and "Filter (size(" not in p
