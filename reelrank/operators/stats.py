@@ -57,8 +57,11 @@ def genre_movies(movies_avg: DataFrame, genres: list[str] | None = None,
     array followed by ``explode``, so there is no join and no broadcast.
     """
     genres = schemas.DEFAULT_GENRES if genres is None else genres
+    # explode_outer + NULL filter: a plain explode lets Spark infer and push
+    # down size(...) > 0, evaluating the match a second time per movie
     return (movies_avg
-            .select("mid", "avg", F.explode(genre_match(F.col("genres"), genres, match)).alias("genre"))
+            .select("mid", "avg", F.explode_outer(genre_match(F.col("genres"), genres, match)).alias("genre"))
+            .filter(F.col("genre").isNotNull())
             .select("genre", "mid", "avg"))
 
 
