@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from reelrank.operators import content, latent, realtime, stats  # noqa: E402
+from reelrank.operators import latent, realtime, stats  # noqa: E402
 from reelrank.plans import jobs  # noqa: E402
 from reelrank.plans.catalog import FIXTURE_GENRES  # noqa: E402
 from reelrank.session import build_session, scratch_path  # noqa: E402
@@ -65,7 +65,7 @@ def main() -> None:
     timed("user_recent_ratings", lambda: run(realtime.recent_ratings(ratings, 20)))
     out: dict[str, str] = {}
     timed("content_similarity", lambda: out.update(jobs.content_job(movies, f"{root}/content")))
-    sims = content.similarity_entries(tables.read_table(spark, out[jobs.CONTENT_MOVIE_RECS]))
+    sims = tables.read_table(spark, out[jobs.CONTENT_MOVIE_RECS])  # per-movie lists
     timed("stream_scores", lambda: run(realtime.realtime_recs(events, ratings, sims)))
     timed("als_user_recs", lambda: run(latent.user_recs(latent.fit_als(stats.rating_triples(ratings)), 50)))
 

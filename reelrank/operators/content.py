@@ -379,8 +379,14 @@ def content_movie_recs(movies: DataFrame, threshold: float = schemas.CONTENT_SIM
     return content_model(movies, threshold, num_features, term_space).recs(k)
 
 
-def similarity_entries(recs: DataFrame) -> DataFrame:
-    """(mid, other_mid, score, rank) from a stored (mid, recs) list table."""
+def similarity_entries(recs: DataFrame, mids: DataFrame | None = None) -> DataFrame:
+    """(mid, other_mid, score, rank) from a stored (mid, recs) list table.
+
+    With ``mids`` (a ``mid`` column) only those movies' lists are exploded:
+    the semi join runs on list rows, before any entry is produced.
+    """
+    if mids is not None:
+        recs = recs.join(mids.select("mid").distinct(), "mid", "left_semi")
     return (recs.select("mid", F.posexplode("recs").alias("pos", "r"))
             .select("mid", F.col("r.mid").alias("other_mid"), F.col("r.score").alias("score"),
                     (F.col("pos") + 1).alias("rank")))

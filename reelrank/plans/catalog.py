@@ -238,10 +238,9 @@ _RT = ["movie", "rating", "rating_event"]
 
 
 def _rt_inputs(spark, sf):
-    """Inputs and the similarity entries with list positions (rank), taken
-    from the per-movie lists as the real-time job reads them."""
+    """Inputs and the per-movie similarity lists, as the real-time job reads them."""
     inp = load_inputs(spark, sf)
-    return inp, content.similarity_entries(content.content_movie_recs(inp.movies))
+    return inp, content.content_movie_recs(inp.movies)
 
 
 def _rt_sql(n_ctes: int, body: str) -> str:

@@ -117,6 +117,6 @@ def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, m
     """
     from reelrank.streaming import start_realtime_query
 
-    sims = content.similarity_entries(tables.read_table(spark, movie_recs_path, fmt=fmt))
+    sims = tables.read_table(spark, movie_recs_path, fmt=fmt)
     return start_realtime_query(spark, messages, ratings, sims, _path(out_root, STREAM_RECS),
                                 checkpoint_location, trigger, user_buckets=user_buckets)
