@@ -131,3 +131,11 @@ def test_zero_norm_vectors_have_no_pairs(spark):
     got = {(r.mid, r.other_mid) for r in content.content_sim_pairs(as_df(spark, rows), term_space="exact").collect()}
     assert got == {(4, 5), (5, 4)}
     assert got == set(brute.cosine_pairs(rows))
+
+
+def test_similarity_entries_explodes_only_requested_lists(spark):
+    recs = spark.createDataFrame([(1, [(2, 0.9), (3, 0.7)]), (2, [(1, 0.9)]), (3, [(1, 0.7)])],
+                                 "mid int, recs array<struct<mid:int,score:double>>")
+    want = spark.createDataFrame([(1,), (1,), (3,)], "mid int")
+    got = sorted(map(tuple, content.similarity_entries(recs, want).collect()))
+    assert got == [(1, 2, 0.9, 1), (1, 3, 0.7, 2), (3, 1, 0.7, 1)]
