@@ -31,4 +31,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b JOIN h USING (dom) CROSS JOIN p
 """
 
-ORACLE = {"op10_host_rules": OP10}
+_KEY = " || ' ' || ".join(f"lead(x, {k}) OVER s" if k else "x" for k in range(20))
+OP7 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, unnest(regexp_extract_all(t, '{WORD}')) AS x,
+             generate_subscripts(regexp_extract_all(t, '{WORD}'), 1) AS i FROM d),
+win AS (SELECT r, doc_id, i, x, CASE WHEN lead(i, 19) OVER s IS NOT NULL THEN {_KEY} END AS k
+        FROM w WINDOW s AS (PARTITION BY r ORDER BY i)),
+rep AS (SELECT *, (k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1)::INT AS again FROM win),
+cov AS (SELECT *, max(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM rep),
+s AS (SELECT r, count(*) AS n_words, sum(gone) AS n_removed,
+             string_agg(x, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM cov GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (r)
+"""
+
+ORACLE = {"op7_substring_dedup": OP7, "op10_host_rules": OP10}

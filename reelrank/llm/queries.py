@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import quality, shards, simhash
+from reelrank.llm import bpe, html, leaks, quality, shards, simhash, substrings, urls
 from reelrank.llm.oracle import ORACLE
 from reelrank.llm.tables import read
 
@@ -23,6 +23,27 @@ def register(fn: QueryFn) -> QueryFn:
     return fn
 
 
+def byte_bpe() -> bpe.Vocabulary:
+    """The byte-level vocabulary of the token query; its file is found where it is installed."""
+    import public_tokenizers
+
+    return bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register
+def op1_url_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    pages = read(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.train(urls.weak_labels(pages))).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register
+def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @register
 def op3_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 of near equal bytes; equal texts share a shard."""
@@ -37,6 +58,30 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(read(spark, sf_dir, "documents"))
 
 
+@register
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left in every document once repeated 20-word windows are gone."""
+    return substrings.remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it leaks, with the best window."""
+    return leaks.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the ids of every document, and of the bytes decoded from them."""
+    vocabulary = byte_bpe()
+    coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return bpe.decode(coded, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict on every document, with its source as domain."""

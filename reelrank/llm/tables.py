@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from reelrank.session import scratch_path
@@ -27,3 +32,12 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A call for tasks that gives ``value``; sent once to each executor, with the classes of this package.
+
+    Only for values of bounded size.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
