@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, html, leaks, quality, shards, simhash, substrings, urls
+from reelrank.llm import bpe, html, leaks, pii, quality, shards, simhash, substrings, urls
 from reelrank.llm.oracle import ORACLE
 from reelrank.llm.tables import read
 
@@ -87,3 +87,16 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict on every document, with its source as domain."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality.judge(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+@register
+def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and digest, and all spans, of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id", *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
