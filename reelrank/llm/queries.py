@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, html, leaks, pii, quality, shards, simhash, substrings, urls
+from reelrank.llm import bpe, html, leaks, licences, pii, quality, shards, simhash, substrings, urls
 from reelrank.llm.oracle import ORACLE
 from reelrank.llm.tables import read
 
@@ -95,8 +95,16 @@ def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.train(docs))
     base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     listed = lambda spans: F.array_join(F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select(
-        "doc_id", *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        "doc_id", *map(count, pii.KINDS),
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@register
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own, inherited and effective licence of every document, as a file of its source and language."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return licences.scan(licences.documents_as_files(docs)).withColumn("cosine", F.round("cosine", 6))
