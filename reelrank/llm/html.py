@@ -63,8 +63,10 @@ for _open, (_starts, _) in ENDS.items():
     for _x in _starts:
         _ENDED_BY.setdefault(_x, []).append(_open)
 
+# quotes count only after "="; possessive, so the scan is linear
 _TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(>|\Z)"
+    r"|<[!?/][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
