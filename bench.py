@@ -16,11 +16,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from reelrank.operators import latent, realtime, stats  # noqa: E402
+from reelrank import schemas  # noqa: E402
+from reelrank.operators import content, latent, realtime, stats  # noqa: E402
+from reelrank.operators.factored import HEADS, FactoredSims  # noqa: E402
 from reelrank.plans import jobs  # noqa: E402
 from reelrank.plans.catalog import FIXTURE_GENRES  # noqa: E402
 from reelrank.session import build_session, scratch_path  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from reelrank import streaming  # noqa: E402
 from reelrank.sources import fixtures, load_inputs, tables  # noqa: E402
@@ -59,33 +60,36 @@ def main() -> None:
     timed("rate_more_movies", lambda: run(stats.rate_more_movies(ratings)))
     timed("rate_more_recently", lambda: run(stats.rate_more_recently(ratings)))
     timed("average_movies", lambda: run(stats.average_movies(ratings)))
-    timed("genres_top_movies", lambda: run(stats.genres_top_movies(
-        stats.movies_with_avg(movies, stats.average_movies(ratings)), FIXTURE_GENRES, 10)))
+    genres = lambda: run(stats.genres_top_movies(
+        stats.movies_with_avg(movies, stats.average_movies(ratings)), FIXTURE_GENRES, 10))
+    timed("genres_top_movies", genres)
+    timed("genres_top_movies_again", genres)  # code compiled, as in a job that runs it daily
     timed("movies_with_tags", lambda: run(stats.movies_with_tags(movies, tags)))
     timed("user_recent_ratings", lambda: run(realtime.recent_ratings(ratings, 20)))
     out: dict[str, str] = {}
     timed("content_similarity", lambda: out.update(jobs.content_job(movies, f"{root}/content")))
-    sims = tables.read_table(spark, out[jobs.CONTENT_MOVIE_RECS])  # per-movie lists
+    sims = FactoredSims.read(spark, f"{root}/content", schemas.CONTENT_SIM_THRESHOLD)
+    timed("content_pairs", lambda: run(content.content_sim_pairs(movies)))  # expanded, on demand
     timed("stream_scores", lambda: run(realtime.realtime_recs(events, ratings, sims)))
     timed("als_user_recs", lambda: run(latent.user_recs(latent.fit_als(stats.rating_triples(ratings)), 50)))
 
     # the streaming job over the whole event table (file source, one trigger)
     src = scratch_path(spark, "bench_stream_in")
-    fixtures.rating_messages(events).write.text(src)
+    fixtures.rating_messages(events.repartitionByRange("timestamp").sortWithinPartitions("timestamp")).write.text(src)
     bucketed = tables.read_ratings(spark, paths["rating"], keep_layout=True)
 
     def stream():
         q = jobs.realtime_job(spark, streaming.rating_stream(spark, "text", src), bucketed,
-                              out[jobs.CONTENT_MOVIE_RECS], f"{root}/rt", scratch_path(spark, "bench_stream_ckpt"),
+                              f"{root}/content", f"{root}/rt", scratch_path(spark, "bench_stream_ckpt"),
                               trigger={"availableNow": True}, user_buckets=USER_BUCKETS)
         q.awaitTermination()
     timed("stream_recs", stream)
-    n_pairs = spark.read.parquet(out[jobs.CONTENT_MOVIE_RECS]).select(F.sum(F.size("recs"))).first()[0]
+    n_class_pairs = spark.read.parquet(out[HEADS]).count()
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": timings,
                       "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": cpus,
-                      "content_pairs": n_pairs}))
+                      "content_class_pairs": n_class_pairs}))
     spark.stop()
 
 

@@ -18,9 +18,10 @@ Plan (all DataFrame/SQL, no UDF, nothing collected):
   shares a prefix term of both (Cauchy-Schwarz), so nothing is lost.  Each
   candidate pair is met once (at its first shared prefix term) in a
   per-term grid-salted join and scored there with both full vectors.
-* Class pairs are expanded to movie pairs by equi-joins on the class key;
-  the output size is the result size.  With ``k`` the per-movie lists are
-  cut exactly without expanding all pairs (see :meth:`ContentModel.recs`).
+* What is stored for the real-time job stays factored by class
+  (``operators.factored``).  Movie pairs are expanded on demand only, by
+  chunks of members dealt out evenly (:meth:`ContentModel.pairs`).  With
+  ``k`` the per-movie lists are cut exactly without expanding all pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ from reelrank.functions.columns import java_split, sorted_recs
 # suffix norms can only make prefixes longer (more candidates), never shorter.
 PREFIX_SLACK = 1e-6
 
+# Movies of one class expanded together.
+CHUNK = 64
+
 # Grid step of the candidate join: a term shared by c classes is split into a
 # ceil(c / SALT_ROWS)-square grid of cells, so its quadratic pair work spreads
 # over many tasks (about SALT_ROWS**2 pairs per cell) instead of one.
@@ -118,6 +122,17 @@ def hashed_tf(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,
             .select("mid", F.col("e.term").alias("term"), F.col("e.tf").alias("tf")))
 
 
+def dot_product(a: F.Column, b: F.Column) -> F.Column:
+    """Dot product of two ``array<struct<term, u, ...>>`` columns sorted by term.
+
+    The common terms come from two short lookups; the sum folds over ``a`` in
+    term order, so both directions give the same bits.  NULL for a missing vector.
+    """
+    terms = F.transform(b, lambda x: x["term"])
+    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x["u"] * F.coalesce(
+        F.try_element_at(b, F.nullif(F.array_position(terms, x["term"]).cast("int"), F.lit(0)))["u"], F.lit(0.0)))
+
+
 @dataclass
 class ContentModel:
     """Intermediate tables of the similarity computation.
@@ -135,6 +150,8 @@ class ContentModel:
     vectors: DataFrame
     threshold: float
     term_space: str
+    num_features: int | None  # width of the hashed terms; None in the exact term space
+    keep: bool = True  # whether class tables are kept for several reads
     _class_pairs: DataFrame | None = None
     _prefix: DataFrame | None = None
 
@@ -147,16 +164,20 @@ class ContentModel:
     # ---------------------------------------------------------- candidates
     def _prefix_entries(self) -> DataFrame:
         if self._prefix is None:
-            self._prefix = self._compute_prefix_entries().persist()
+            self._prefix = self._kept(self._compute_prefix_entries())
         return self._prefix
 
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return df.persist() if self.keep else df
+
     def _compute_prefix_entries(self) -> DataFrame:
-        """(ckey, term, before, vec, vmap): one row per prefix term of each class.
+        """(ckey, term, before, vec, look): one row per prefix term of each class.
 
         Terms are ordered rarest first (ties by term) -- one global order, so
         the prefix argument holds for every pair.  ``before`` lists the
-        class's prefix terms that precede ``term``; ``vec``/``vmap`` carry
-        the full normalised vector for the exact dot product.
+        class's prefix terms that precede ``term``; ``vec`` carries the full
+        normalised vector for the exact dot product and ``look`` the same by
+        term (a dense array in hash mode).
         """
         bound = max(self.threshold - PREFIX_SLACK, 0.0)
         ordered = F.sort_array(F.transform("vec", lambda x: F.struct(x["df"], x["term"], x["u"])))
@@ -169,12 +190,16 @@ class ContentModel:
                      .select("ckey", "vec", ordered.alias("p"))
                      .select("ckey", "vec", suffix.alias("s"))
                      .select("ckey", F.transform("vec", lambda x: F.struct(x["term"], x["u"])).alias("vec"),
-                             prefix_terms.alias("prefix")))
+                             prefix_terms.alias("prefix"))
+                     .select("ckey", "vec", "prefix", F.map_from_entries("vec").alias("look")))
+        if self.num_features:  # hashed terms: a dense array is read by position
+            slots = F.sequence(F.lit(0), F.lit(self.num_features - 1))
+            per_class = per_class.select("ckey", "vec", "prefix", F.transform(
+                slots, lambda i: F.coalesce(F.try_element_at("look", i.cast("bigint")), F.lit(0.0))).alias("look"))
         return (per_class
-                .select("ckey", "vec", F.posexplode_outer("prefix").alias("pos", "term"), "prefix")
+                .select("ckey", "vec", "look", F.posexplode_outer("prefix").alias("pos", "term"), "prefix")
                 .filter(F.col("pos").isNotNull())  # see genre_tokens
-                .select("ckey", "term", F.slice("prefix", 1, F.col("pos")).alias("before"), "vec",
-                        F.map_from_entries("vec").alias("vmap")))
+                .select("ckey", "term", F.slice("prefix", 1, F.col("pos")).alias("before"), "vec", "look"))
 
     def _term_join(self) -> DataFrame:
         """Self-join of prefix entries on a shared term, grid-salted per term.
@@ -197,8 +222,6 @@ class ContentModel:
         e = self._prefix_entries()
         grid = (e.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
                 .select("term", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("s")))
-        if self.term_space == "hash":
-            grid = F.broadcast(grid)  # one row per term: at most num_features
         e = e.join(grid, "term").withColumn("own", F.pmod(F.xxhash64("ckey"), F.col("s")).cast("int"))
         every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
         left = (e.select("*", F.col("own").alias("gr"), every.alias("gc"))
@@ -219,16 +242,21 @@ class ContentModel:
     def class_pairs(self) -> DataFrame:
         """(ca, cb, score) for every ordered class pair with cosine > threshold,
         including a class with itself when it holds two or more movies.
-        Computed once per model and kept (one row per similar class pair)."""
+        Kept only after :meth:`keep_class_pairs`: the set is quadratic in
+        the classes, and most uses read it once."""
+        return self._compute_class_pairs() if self._class_pairs is None else self._class_pairs
+
+    def keep_class_pairs(self) -> None:
+        """Keep the class pairs for several reads, until :meth:`unpersist`."""
         if self._class_pairs is None:
             self._class_pairs = self._compute_class_pairs().persist()
-        return self._class_pairs
 
     def _compute_class_pairs(self) -> DataFrame:
         # Candidates and verification in one join: a pair is met once (at its
         # first shared prefix term) and scored there with both full vectors.
-        dot = F.aggregate(F.col("a.vec"), F.lit(0.0), lambda acc, x: acc + x["u"] * F.coalesce(
-            F.try_element_at(F.col("b.vmap"), x["term"]), F.lit(0.0)))
+        weight = ((lambda t: F.element_at(F.col("b.look"), t + 1)) if self.num_features else
+                  (lambda t: F.coalesce(F.try_element_at(F.col("b.look"), t), F.lit(0.0))))
+        dot = F.aggregate(F.col("a.vec"), F.lit(0.0), lambda acc, x: acc + x["u"] * weight(x["term"]))
         scored = self._term_join().select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"),
                                           dot.alias("score"))
         # Both directions from one pass.  The threshold filter comes after
@@ -250,14 +278,35 @@ class ContentModel:
     def pairs(self) -> DataFrame:
         """(mid, other_mid, score): every directed movie pair above threshold.
 
-        Output-sized: each class pair is joined with the members of both
-        classes; AQE splits a class holding many movies across tasks.
+        Members come in chunks of about ``CHUNK`` movies.  A class pair becomes
+        a grid of chunk pairs, dealt out evenly over the tasks before they
+        are expanded, so a class of a third of all movies gives every task
+        the same share of its (quadratic) pairs: a chunk pair makes about
+        ``CHUNK**2`` rows wherever it lands.
         """
-        ma = self.members.select(F.col("mid"), F.col("ckey").alias("ca"))
-        mb = self.members.select(F.col("mid").alias("other_mid"), F.col("ckey").alias("cb"))
-        return (self.class_pairs().join(ma, "ca").join(mb, "cb")
-                .filter(F.col("mid") != F.col("other_mid"))
-                .select("mid", "other_mid", "score"))
+        spark = self.vectors.sparkSession
+        parallelism = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        chunks = self.chunks()
+        count = self.classes.select("ckey", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
+        left = count.select(F.col("ckey").alias("ca"), F.col("parts").alias("pa"))
+        right = count.select(F.col("ckey").alias("cb"), F.col("parts").alias("pb"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        grid = (self.class_pairs().join(left, "ca").join(right, "cb")
+                .select("ca", "cb", "score", "pb", every("pa").alias("i"))
+                .select("ca", "cb", "score", "i", every("pb").alias("j")))
+        mine = chunks.select(F.col("ckey").alias("ca"), F.col("chunk").alias("i"), F.col("mids").alias("own"))
+        other = chunks.select(F.col("ckey").alias("cb"), F.col("chunk").alias("j"), F.col("mids").alias("others"))
+        return (grid.join(mine, ["ca", "i"]).join(other, ["cb", "j"]).select("own", "others", "score")
+                .repartition(parallelism)  # round robin: the same number of chunk pairs for every task
+                .select(F.explode("own").alias("mid"), "others", "score")
+                .select("mid", F.explode("others").alias("other_mid"), "score")
+                .filter(F.col("mid") != F.col("other_mid")))
+
+    def chunks(self) -> DataFrame:
+        """(ckey, chunk, parts, mids): the members of each class in ``parts`` lists of about ``CHUNK`` movies."""
+        sized = (self.members.join(self.classes.select("ckey", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts")), "ckey")
+                 .withColumn("chunk", F.pmod(F.xxhash64("mid"), F.col("parts")).cast("int")))
+        return sized.groupBy("ckey", "chunk", "parts").agg(F.collect_list("mid").alias("mids"))
 
     def recs(self, k: int | None = None) -> DataFrame:
         """(mid, recs array<struct<mid, score>>) sorted by score desc, mid asc.
@@ -310,32 +359,35 @@ def _class_key(sig, term_space: str):
 
 
 def content_model(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
-                  num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash") -> ContentModel:
+                  num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash", keep: bool = True) -> ContentModel:
     """Build the class tables and TF-IDF vectors for :class:`ContentModel`.
 
-    The class-level tables (one row per distinct vector, a few rows per
-    term) are persisted: every later step reads them, and they are small
-    next to the movie table however many copies a class holds.
+    With ``keep`` the class-level tables (one row per distinct vector, a few
+    rows per term) are persisted for several reads, until ``unpersist``; they
+    are small next to the movie table however many copies a class holds.
+    Without it nothing stays behind (one-shot queries).
     """
+    kept = (lambda df: df.persist()) if keep else (lambda df: df)
     per_movie = _tf_vectors(movies, term_space, num_features)
     members = per_movie.select("mid", _class_key(F.col("sig"), term_space).alias("ckey"))
     classes = (per_movie.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-               .select(_class_key(F.col("sig"), term_space).alias("ckey"), "n", "sig")).persist()
-    idf = idf_from_classes(classes).persist()
-    idf_join = F.broadcast(idf) if term_space == "hash" else idf  # hash: at most num_features rows
+               .select(_class_key(F.col("sig"), term_space).alias("ckey"), "n", "sig"))
+    classes = kept(classes)
+    idf = kept(idf_from_classes(classes))
     weighted = (classes.select("ckey", "n", F.explode("sig").alias("e"))
                 .select("ckey", "n", F.col("e.term").alias("term"), F.col("e.tf").alias("tf"))
-                .join(idf_join, "term")
+                .join(idf, "term")
                 .select("ckey", "n", "term", "df", (F.col("tf") * F.col("idf")).alias("w"))
                 .filter(F.col("w") != 0))
     grouped = (weighted.groupBy("ckey", "n")
                .agg(F.sort_array(F.collect_list(F.struct("term", "w", "df"))).alias("vec")))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    vectors = (grouped.withColumn("norm", norm).filter(F.col("norm") > 0)
-               .select("ckey", "n", F.transform("vec", lambda x: F.struct(
-                   x["term"].alias("term"), (x["w"] / F.col("norm")).alias("u"), x["df"].alias("df")))
-                   .alias("vec"))).persist()
-    return ContentModel(members, classes, idf, vectors, threshold, term_space)
+    vectors = kept(grouped.withColumn("norm", norm).filter(F.col("norm") > 0)
+                   .select("ckey", "n", F.transform("vec", lambda x: F.struct(
+                       x["term"].alias("term"), (x["w"] / F.col("norm")).alias("u"), x["df"].alias("df")))
+                       .alias("vec")))
+    return ContentModel(members, classes, idf, vectors, threshold, term_space,
+                        num_features if term_space == "hash" else None, keep)
 
 
 def idf_from_classes(classes: DataFrame) -> DataFrame:
@@ -348,35 +400,28 @@ def idf_from_classes(classes: DataFrame) -> DataFrame:
 
 def idf_weights(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,
                 term_space: str = "hash") -> DataFrame:
-    return content_model(movies, num_features=num_features, term_space=term_space).idf
+    return content_model(movies, num_features=num_features, term_space=term_space, keep=False).idf
 
 
 def tfidf_weights(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,
                   term_space: str = "hash") -> DataFrame:
     """(mid, term, tf, weight) for every term of every movie (zero weights kept)."""
-    model = content_model(movies, num_features=num_features, term_space=term_space)
-    idf = F.broadcast(model.idf) if term_space == "hash" else model.idf
+    idf = idf_weights(movies, num_features, term_space)
     return (hashed_tf(movies, num_features, term_space).join(idf.select("term", "idf"), "term")
             .select("mid", "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")))
 
 
-def lists_from_pairs(pairs: DataFrame) -> DataFrame:
-    """(mid, recs) from the long pair table: every similar movie, best first."""
-    return (pairs.groupBy("mid")
-            .agg(sorted_recs(F.collect_list(F.struct(F.col("other_mid").alias("mid"), "score"))).alias("recs")))
-
-
 def content_sim_pairs(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                       num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash") -> DataFrame:
     """(mid, other_mid, score): directed pairs of distinct movies with cosine > threshold."""
-    return content_model(movies, threshold, num_features, term_space).pairs()
+    return content_model(movies, threshold, num_features, term_space, keep=False).pairs()
 
 
 def content_movie_recs(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                        num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash",
                        k: int | None = None) -> DataFrame:
     """(mid, recs): the similar movies of each movie, best first."""
-    return content_model(movies, threshold, num_features, term_space).recs(k)
+    return content_model(movies, threshold, num_features, term_space, keep=False).recs(k)
 
 
 def similarity_entries(recs: DataFrame, mids: DataFrame | None = None) -> DataFrame:
@@ -392,18 +437,11 @@ def similarity_entries(recs: DataFrame, mids: DataFrame | None = None) -> DataFr
                     (F.col("pos") + 1).alias("rank")))
 
 
-def similarity_lookup(pairs: DataFrame, sims: DataFrame) -> DataFrame:
-    """Similarity of each (mid, other_mid) of ``pairs``; 0.0 when the pair is not stored."""
-    s = sims.select("mid", "other_mid", F.col("score").alias("sim"))
-    return (pairs.join(s, ["mid", "other_mid"], "left")
-            .withColumn("sim", F.coalesce(F.col("sim"), F.lit(0.0))))
-
-
 def tfidf_vectors(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES) -> DataFrame:
     """(mid, features array<double>): dense hashed TF-IDF vector of each movie
     (the sparse -> dense step), built per class and expanded to movies."""
-    model = content_model(movies, num_features=num_features, term_space="hash")
-    idf = F.broadcast(model.idf.select("term", "idf"))
+    model = content_model(movies, num_features=num_features, term_space="hash", keep=False)
+    idf = model.idf.select("term", "idf")
     weights = (model.classes.select("ckey", F.explode("sig").alias("e"))
                .select("ckey", F.col("e.term").alias("term"), F.col("e.tf").alias("tf"))
                .join(idf, "term")

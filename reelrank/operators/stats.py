@@ -83,8 +83,11 @@ def genres_top_movies(movies_avg: DataFrame, genres: list[str] | None = None, k:
 
 
 def flatten_recs(lists: DataFrame, key: str, id_field: str = "mid") -> DataFrame:
-    """(key, rank, id, score) from a list table; rank is 1-based list position."""
-    return (lists.select(key, F.posexplode("recs").alias("pos", "rec"))
+    """(key, rank, id, score) from a list table; rank is 1-based list position.
+
+    An empty list keeps its key: one row with NULL rank, id and score.
+    """
+    return (lists.select(key, F.posexplode_outer("recs").alias("pos", "rec"))
             .select(key, (F.col("pos") + 1).alias("rank"),
                     F.col(f"rec.{id_field}").alias(id_field), F.col("rec.score").alias("score")))
 
@@ -92,11 +95,11 @@ def flatten_recs(lists: DataFrame, key: str, id_field: str = "mid") -> DataFrame
 def movie_tags(tags: DataFrame) -> DataFrame:
     """(mid, tags): distinct tags of a movie, sorted, joined by ``|``.
 
-    ``collect_set`` keeps one copy per distinct tag and runs partially
-    map-side; the list per movie is bounded by its number of distinct tags.
+    Pairs are de-duplicated first (map-side, then spread over (mid, tag)), so
+    a movie that a third of all users tag sends one row per distinct tag.
     """
-    return (tags.groupBy("mid")
-            .agg(F.concat_ws("|", F.sort_array(F.collect_set("tag"))).alias("tags")))
+    return (tags.select("mid", "tag").distinct().groupBy("mid")
+            .agg(F.concat_ws("|", F.sort_array(F.collect_list("tag"))).alias("tags")))
 
 
 def movies_with_tags(movies: DataFrame, tags: DataFrame) -> DataFrame:

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrank import schemas, streaming
 from reelrank.operators import content, latent, realtime, stats
+from reelrank.operators.factored import FactoredSims
 from reelrank.plans.oracle import CONTENT_CTES, REALTIME_CTES, with_ctes
 from reelrank.session import scratch_path
 from reelrank.sources import fixtures, tables, text
@@ -76,11 +77,34 @@ def q_tag_text_parse(spark, sf):
     return text.parse_tags(text.tag_lines(load_inputs(spark, sf).tags))
 
 
+def _stored_base(spark, sf) -> dict[str, str]:
+    inp = load_inputs(spark, sf)
+    return tables.store_base_tables(inp.movies, inp.ratings, inp.tags, scratch_path(spark, "base"), user_buckets=16)
+
+
 @register("table_roundtrip", with_ctes(["rating"], [], "SELECT * FROM rating"))
 def q_table_roundtrip(spark, sf):
-    inp = load_inputs(spark, sf)
-    paths = tables.store_base_tables(inp.movies, inp.ratings, inp.tags, scratch_path(spark, "base"))
-    return tables.read_ratings(spark, paths["rating"])
+    return tables.read_ratings(spark, _stored_base(spark, sf)["rating"])
+
+
+@register("table_roundtrip_movies", with_ctes(["movie"], [], "SELECT * FROM movie"))
+def q_table_roundtrip_movies(spark, sf):
+    return tables.read_movies(spark, _stored_base(spark, sf)["movie"])
+
+
+@register("table_roundtrip_tags", with_ctes(["tag"], [], "SELECT * FROM tag"))
+def q_table_roundtrip_tags(spark, sf):
+    return tables.read_tags(spark, _stored_base(spark, sf)["tag"])
+
+
+@register("recent_list_parse", with_ctes(["rating"], [], """
+SELECT uid, CAST(rn - 1 AS INT) AS pos, mid, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid ASC, score DESC) AS rn FROM rating)
+WHERE rn <= 20"""))
+def q_recent_list_parse(spark, sf):
+    """The recent lists written as ``mid:score`` entries and read back."""
+    recents = realtime.recent_ratings(load_inputs(spark, sf).ratings, 20)
+    return text.parse_recents(text.recent_entries(recents))
 
 
 @register("user_rating_lookup", with_ctes(["rating", "rating_event"], [], """
@@ -131,6 +155,21 @@ def q_rate_more_recently(spark, sf):
     return stats.rate_more_recently(load_inputs(spark, sf).ratings)
 
 
+@register("rate_more_recently_order", with_ctes(["rating"], [], """
+SELECT yearmonth, CAST(row_number() OVER (PARTITION BY yearmonth ORDER BY "count" DESC, mid ASC) AS INT) AS place,
+       mid, "count" FROM (
+  SELECT mid, count(mid) AS "count", yearmonth FROM (
+    SELECT mid, strftime(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000), '%Y%m') AS yearmonth FROM rating)
+  GROUP BY yearmonth, mid)"""))
+def q_rate_more_recently_order(spark, sf):
+    """The ordered listing: a movie's place in its month, as the sorted rows (written in order) have it."""
+    ordered = stats.rate_more_recently(load_inputs(spark, sf).ratings, ordered=True)
+    path = scratch_path(spark, "recently")
+    ordered.withColumn("line", F.monotonically_increasing_id()).write.parquet(path)  # sorted partitions, in order
+    month = Window.partitionBy("yearmonth").orderBy("line")
+    return spark.read.parquet(path).select("yearmonth", F.row_number().over(month).alias("place"), "mid", "count")
+
+
 _AVG_SQL = 'avgm AS (SELECT mid, avg(score) AS "avg" FROM rating GROUP BY mid)'
 
 
@@ -235,12 +274,16 @@ def q_content_movie_recs(spark, sf):
 
 
 _RT = ["movie", "rating", "rating_event"]
+STRICT_SIM = 0.97
 
 
 def _rt_inputs(spark, sf):
-    """Inputs and the per-movie similarity lists, as the real-time job reads them."""
-    inp = load_inputs(spark, sf)
-    return inp, content.content_movie_recs(inp.movies)
+    """Inputs and the stored similarities, factored by class, as the real-time job reads them."""
+    inp, root = load_inputs(spark, sf), scratch_path(spark, "content")
+    model = content.content_model(inp.movies)
+    FactoredSims.of(model).write(root)
+    model.unpersist()
+    return inp, FactoredSims.read(spark, root, model.threshold)
 
 
 def _rt_sql(n_ctes: int, body: str) -> str:
@@ -303,7 +346,20 @@ def q_boost_counts(spark, sf):
 _FINAL = "SELECT uid, rank, mid, round(score, 6) AS score FROM ranked"
 
 
-@register("stream_scores", _rt_sql(9, _FINAL))
+@register("stream_scores_strict", _rt_sql(10, """
+SELECT uid, coalesce(rank, 0) AS rank, coalesce(mid, -1) AS mid, coalesce(round(score, 6), 0.0) AS score
+FROM ranked""").replace("sim > 0.7", f"sim > {STRICT_SIM}"))
+def q_stream_scores_strict(spark, sf):
+    """Scoring with a similarity threshold so high that many users' lists are empty: they keep
+    their row (written here with rank 0 and movie -1 in place of NULLs)."""
+    inp, sims = _rt_inputs(spark, sf)
+    recs = realtime.realtime_recs(inp.rating_events, inp.ratings, sims, threshold=STRICT_SIM)
+    return stats.flatten_recs(recs, "uid").select(
+        "uid", F.coalesce("rank", F.lit(0)).alias("rank"), F.coalesce("mid", F.lit(-1)).alias("mid"),
+        F.coalesce(F.round("score", 6), F.lit(0.0)).alias("score"))
+
+
+@register("stream_scores", _rt_sql(10, _FINAL))
 def q_stream_scores(spark, sf):
     inp, sims = _rt_inputs(spark, sf)
     recs = realtime.realtime_recs(inp.rating_events, inp.ratings, sims)
@@ -311,7 +367,7 @@ def q_stream_scores(spark, sf):
     return flat.withColumn("score", F.round("score", 6))
 
 
-@register("recs_upsert", _rt_sql(9, _FINAL))
+@register("recs_upsert", _rt_sql(10, _FINAL))
 def q_recs_upsert(spark, sf):
     """The events as two micro-batches split at the middle of their time span:
     the second batch's lists replace the first's, user by user.  The result
@@ -329,62 +385,28 @@ def q_recs_upsert(spark, sf):
 # ---------------------------------------------------------------- streaming
 
 
-# Consumer group and topic of the derived offset table.
-OFFSET_GROUP = "recommender"
-OFFSET_TOPIC = "movie-ratings"
-OFFSET_PARTITIONS = 4
-
-
 @register("stream_parse", with_ctes(["rating_event"], [], "SELECT * FROM rating_event"))
 def q_stream_parse(spark, sf):
     msgs = fixtures.rating_messages(load_inputs(spark, sf).rating_events)
     return streaming.parse_rating_messages(msgs)
 
 
-@register("stream_recs", _rt_sql(9, _FINAL))
+@register("stream_recs", _rt_sql(10, _FINAL))
 def q_stream_recs(spark, sf):
-    """The event table written as message files and consumed by the streaming
+    """The event table written as message files, in order, and consumed by the streaming
     query (file source, availableNow); the result is the StreamRecs table."""
     inp, sims = _rt_inputs(spark, sf)
     src = scratch_path(spark, "stream_in")
-    fixtures.rating_messages(inp.rating_events).write.text(src)
-    sims_path = scratch_path(spark, "content_sims")
-    tables.write_table(sims, sims_path)
+    events = inp.rating_events.repartitionByRange("timestamp").sortWithinPartitions("timestamp")
+    fixtures.rating_messages(events).write.text(src)
     sink, ckpt = scratch_path(spark, "stream_recs"), scratch_path(spark, "stream_ckpt")
-    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), inp.ratings,
-                                       tables.read_table(spark, sims_path), sink, ckpt,
-                                       trigger={"availableNow": True})
+    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), inp.ratings, sims,
+                                       sink, ckpt, trigger={"availableNow": True})
     q.awaitTermination()
     return stats.flatten_recs(streaming.current_stream_recs(spark, sink), "uid").withColumn(
         "score", F.round("score", 6))
 
 
-def committed_offsets(events: DataFrame) -> DataFrame:
-    """(group, topic_partition, offset): the offsets a consumer commits after
-    reading the events as a topic keyed (partitioned) by user."""
-    part = F.pmod(F.col("user_id"), F.lit(OFFSET_PARTITIONS))
-    return (events.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("offset"))
-            .select(F.lit(OFFSET_GROUP).alias("group"),
-                    F.concat(F.lit(OFFSET_TOPIC + "-"), F.col("p").cast("string")).alias("topic_partition"),
-                    "offset"))
-
-
-_OFFSETS_SQL = """
-WITH o AS (SELECT 'GROUP' AS "group", 'TOPIC-' || CAST(user_id % NPART AS VARCHAR)
-             AS topic_partition, count(*) AS "offset" FROM events GROUP BY 2),
-p AS (SELECT "group", regexp_extract(topic_partition, '^(.*)-([0-9]+)$', 1) AS topic,
-             CAST(regexp_extract(topic_partition, '^(.*)-([0-9]+)$', 2) AS INT) AS part, "offset" FROM o),
-t AS (SELECT "group", topic, '"' || topic || '":{' || string_agg('"' || CAST(part AS VARCHAR) || '":'
-             || CAST("offset" AS VARCHAR), ',' ORDER BY part) || '}' AS js FROM p GROUP BY 1, 2)
-SELECT "group", '{' || string_agg(js, ',' ORDER BY topic) || '}' AS starting_offsets FROM t GROUP BY 1
-""".replace("GROUP'", OFFSET_GROUP + "'").replace("TOPIC-", OFFSET_TOPIC + "-").replace("NPART", str(OFFSET_PARTITIONS))
-
-
-@register("starting_offsets", _OFFSETS_SQL)
-def q_starting_offsets(spark, sf):
-    return streaming.starting_offsets(committed_offsets(load_inputs(spark, sf).table("events")))
-
-
 # ---------------------------------------------------------------- latent factors
 
 
@@ -411,30 +433,64 @@ def _als_model(spark, sf):
     return latent.fit_als(stats.rating_triples(load_inputs(spark, sf).ratings))
 
 
-@register("als_user_recs")
+# The factors themselves depend on summation order, so the checks are facts that hold for any fit: who gets a list, of
+# how many different ids, in falling order; which pairs are predicted; which grid is searched.
+
+
+def _list_facts(recs: DataFrame, key: str, id_field: str) -> DataFrame:
+    ids, scores = F.col(f"recs.{id_field}"), F.col("recs.score")
+    falling = F.forall(F.sequence(F.lit(1), F.greatest(F.size("recs") - 1, F.lit(1))), lambda i: F.coalesce(
+        F.try_element_at(scores, i) >= F.try_element_at(scores, i + 1), F.lit(True)))
+    return recs.select(key, F.size("recs").alias("n_recs"), F.size(F.array_distinct(ids)).alias("n_distinct"),
+                       falling.alias("falling"))
+
+
+def _list_facts_sql(key: str, other: str) -> str:
+    return with_ctes(["rating"], [], f"""
+SELECT {key}, least(50, (SELECT count(DISTINCT {other}) FROM rating))::INT AS n_recs,
+       least(50, (SELECT count(DISTINCT {other}) FROM rating))::INT AS n_distinct, true AS falling
+FROM (SELECT DISTINCT {key} FROM rating)""")
+
+
+@register("als_user_recs", _list_facts_sql("uid", "mid"))
 def q_als_user_recs(spark, sf):
-    return stats.flatten_recs(latent.user_recs(_als_model(spark, sf), 50), "uid")
+    return _list_facts(latent.user_recs(_als_model(spark, sf), 50), "uid", "mid")
 
 
-@register("als_item_recs")
+@register("als_item_recs", _list_facts_sql("mid", "uid"))
 def q_als_item_recs(spark, sf):
-    return stats.flatten_recs(latent.item_recs(_als_model(spark, sf), 50), "mid", "uid")
+    return _list_facts(latent.item_recs(_als_model(spark, sf), 50), "mid", "uid")
 
 
-@register("als_predict")
+@register("als_predict", with_ctes(["rating"], [_SPLIT_SQL], """
+SELECT uid, mid, score, true AS finite FROM split
+WHERE split = 'test' AND uid IN (SELECT uid FROM split WHERE split = 'train')
+  AND mid IN (SELECT mid FROM split WHERE split = 'train')"""))
 def q_als_predict(spark, sf):
     s = latent.rating_split(load_inputs(spark, sf).ratings)
     model = latent.fit_als(s.filter(F.col("split") == "train"))
-    return latent.predict(model, s.filter(F.col("split") == "test"))
+    found = latent.predict(model, s.filter(F.col("split") == "test"))
+    finite = ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return found.select("uid", "mid", "score", finite.alias("finite"))
 
 
-@register("als_grid_best")
+@register("als_grid_best", """
+SELECT 4 AS points, true AS rank_in_grid, true AS alpha_in_grid, 0.1::DOUBLE AS reg_param, true AS least, true AS finite""")
 def q_als_grid_best(spark, sf):
     s = latent.rating_split(load_inputs(spark, sf).ratings)
     grid = latent.als_grid(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test"))
-    return latent.best_params(grid)
+    least = grid.agg(F.min("rmse").alias("least"), F.count("*").cast("int").alias("points"))
+    best = latent.best_params(grid)
+    joined = best.join(least, best["rmse"] == least["least"])
+    return joined.select(
+        "points", F.col("rank").isin(50, 100).alias("rank_in_grid"), F.col("alpha").isin(0.01, 0.02).alias("alpha_in_grid"),
+        "reg_param", (F.col("rmse") <= F.col("least")).alias("least"), (F.col("rmse") < float("inf")).alias("finite"))
 
 
-@register("tfidf_vectors")
+@register("tfidf_vectors", with_ctes(["movie"], CONTENT_CTES[:5], """
+SELECT mid, CAST(term AS INT) AS slot, round(w, 9) AS weight FROM w WHERE w != 0"""))
 def q_tfidf_vectors(spark, sf):
-    return content.tfidf_vectors(load_inputs(spark, sf).movies)
+    """The dense vectors' slots that are not zero (every vector has all 50 slots, see the tests)."""
+    dense = content.tfidf_vectors(load_inputs(spark, sf).movies)
+    return (dense.select("mid", F.posexplode("features").alias("slot", "w")).where(F.col("w") != 0)
+            .select("mid", "slot", F.round("w", 9).alias("weight")))

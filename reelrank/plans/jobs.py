@@ -1,8 +1,9 @@
 """The recommender's jobs, wired from operators and sinks.
 
 Each job reads its inputs lazily, writes its result tables below ``out_root``
-(one directory per table, replaced as a whole) and returns the paths.  None
-of them collects data to the driver.
+(one directory per table, replaced as a whole) and returns the paths.  Only
+single numbers, the tuner's grid and the ids of a micro-batch of bounded size
+reach the driver, never table data.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelrank import schemas
 from reelrank.operators import content, latent, stats
+from reelrank.operators.factored import FactoredSims
+from reelrank.session import scratch_path
 from reelrank.sources import tables, text
 
 # Result table names.
@@ -33,11 +36,22 @@ def load_job(spark: SparkSession, movie_text: str, rating_text: str, tag_text: s
              search_path: str | None = None, fmt: str = "parquet", search_fmt: str = "json",
              strict: bool = True) -> dict[str, str]:
     """Parse the three delimited files, store the base tables and the search
-    documents (movie + its tags, keyed by mid)."""
-    movies = text.read_text_table(spark, movie_text, "movie", strict)
-    ratings = text.read_text_table(spark, rating_text, "rating", strict)
-    tags = text.read_text_table(spark, tag_text, "tag", strict)
-    paths = tables.store_base_tables(movies, ratings, tags, out_root, fmt)
+    documents (movie + its tags, keyed by mid).
+
+    A bad line fails a strict load.  Otherwise the bad lines of each file go
+    to ``rejected_<table>`` as text, and the good ones to the table.
+    """
+    good, paths = {}, {}
+    for kind, path in (("movie", movie_text), ("rating", rating_text), ("tag", tag_text)):
+        if strict:
+            good[kind] = text.read_text_table(spark, path, kind)
+        else:
+            parsed = text.parse_lines(spark.read.text(path), kind, strict=False, keep_line=True)
+            valid, invalid = text.split_invalid(parsed, kind)
+            good[kind] = valid.drop("line")
+            paths[f"rejected_{kind}"] = _path(out_root, f"rejected_{kind}")
+            tables.write_table(invalid.select("line"), paths[f"rejected_{kind}"], "text")
+    paths |= tables.store_base_tables(good["movie"], good["rating"], good["tag"], out_root, fmt)
     if search_path:
         stored_movies = tables.read_movies(spark, paths["movie"], fmt)
         stored_tags = tables.read_tags(spark, paths["tag"], fmt)
@@ -79,10 +93,13 @@ def offline_job(ratings: DataFrame, out_root: str, params: latent.AlsParams = la
     return out
 
 
-def tuning_job(ratings: DataFrame, ranks=(50, 100), alphas=(0.01, 0.02), reg_params=(0.02,),
+def tuning_job(ratings: DataFrame, ranks=(50, 100), alphas=(0.01, 0.02), reg_params=latent.TUNER_REG,
                seed: int | None = None) -> DataFrame:
-    """The ALS grid on an 80/20 split; returns the best (rank, alpha, reg_param, rmse) row."""
-    split = latent.rating_split(ratings, seed=seed)
+    """The ALS grid on an 80/20 split, written once and read by every fit; returns the best
+    (rank, alpha, reg_param, rmse) row."""
+    spark, path = ratings.sparkSession, scratch_path(ratings.sparkSession, "als_split")
+    latent.rating_split(ratings, seed=seed).write.partitionBy("split").parquet(path)
+    split = spark.read.parquet(path)
     train = split.filter(split["split"] == "train")
     test = split.filter(split["split"] == "test")
     return latent.best_params(latent.als_grid(train, test, ranks, alphas, reg_params))
@@ -90,33 +107,42 @@ def tuning_job(ratings: DataFrame, ranks=(50, 100), alphas=(0.01, 0.02), reg_par
 
 def content_job(movies: DataFrame, out_root: str, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                 num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash",
-                k: int | None = None, fmt: str = "parquet", write_pairs: bool = False) -> dict[str, str]:
-    """Similar-movie lists (ContentMovieRecs), and with ``write_pairs`` also
-    the long pair table (ContentSimilarity: mid, other_mid, score).  The
-    real-time job reads the lists: their positions rank the entries."""
+                k: int | None = None, fmt: str = "parquet", write_pairs: bool = False,
+                write_lists: bool = False) -> dict[str, str]:
+    """The similarity tables, factored by class (members, vectors, class lists): all that the real-time job reads.
+
+    On demand they are expanded: with ``write_lists`` to one list per movie
+    (ContentMovieRecs; ``k`` cuts the lists), with ``write_pairs`` to the long
+    pair table (ContentSimilarity: mid, other_mid, score).
+    """
     model = content.content_model(movies, threshold, num_features, term_space)
-    out = {CONTENT_MOVIE_RECS: _path(out_root, CONTENT_MOVIE_RECS)}
+    if write_pairs or write_lists:
+        model.keep_class_pairs()
+    out = FactoredSims.of(model).write(out_root, fmt)
     if write_pairs:
         out[CONTENT_SIMILARITY] = _path(out_root, CONTENT_SIMILARITY)
         tables.write_table(model.pairs(), out[CONTENT_SIMILARITY], fmt, sort_by=["mid"])
-    tables.write_table(model.recs(k), out[CONTENT_MOVIE_RECS], fmt)
+    if write_lists:
+        out[CONTENT_MOVIE_RECS] = _path(out_root, CONTENT_MOVIE_RECS)
+        tables.write_table(model.recs(k), out[CONTENT_MOVIE_RECS], fmt)
     model.unpersist()
     return out
 
 
-def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, movie_recs_path: str,
+def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, content_root: str,
                  out_root: str, checkpoint_location: str, trigger: dict | None = None, fmt: str = "parquet",
-                 user_buckets: int | None = None):
-    """Start the streaming recommender against the stored per-movie lists
-    (ContentMovieRecs; list positions let each event fetch only the head of
-    a list); returns the running query (StreamRecs below ``out_root``).
-
-    For large rating tables store them with ``user_buckets`` and read them
-    with ``keep_layout=True``: each micro-batch then reads only the buckets
-    of its users (dynamic partition pruning) instead of the whole table.
+                 user_buckets: int | None = None, threshold: float = schemas.CONTENT_SIM_THRESHOLD):
+    """Start the streaming recommender against the tables that ``content_job`` stored below ``content_root``
+    (``threshold``: its similarity threshold); returns the running query (StreamRecs below ``out_root``).
+
+    A micro-batch opens the first bands of the class lists, the members and
+    vectors of the movies it meets, and the stored ratings of its users: no
+    movie-pair table.  For large rating tables store them with
+    ``user_buckets`` and read them with ``keep_layout=True``: each micro-batch
+    then reads only the buckets, files and row groups of its users.
     """
     from reelrank.streaming import start_realtime_query
 
-    sims = tables.read_table(spark, movie_recs_path, fmt=fmt)
+    sims = FactoredSims.read(spark, content_root, threshold, fmt)
     return start_realtime_query(spark, messages, ratings, sims, _path(out_root, STREAM_RECS),
                                 checkpoint_location, trigger, user_buckets=user_buckets)

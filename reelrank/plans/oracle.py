@@ -22,9 +22,9 @@ BASE_CTES = {
     "tag": """tag AS (
   SELECT CAST(o_custkey AS INT) AS uid, CAST(l_partkey AS INT) AS mid, o_orderpriority AS tag,
          CAST(floor(epoch(o_orderdate)) AS INT) AS "timestamp"
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1)""",
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "rating_event": """rating_event AS (
-  SELECT CAST(user_id AS INT) AS uid, CAST(event_id % 200 AS INT) AS mid,
+  SELECT CAST(user_id AS INT) AS uid, CAST((event_id * 7919) % (SELECT count(*) FROM part) AS INT) AS mid,
          CAST((event_id * 7 + user_id) % 10 + 1 AS DOUBLE) / 2 AS score,
          CAST(floor(epoch(ts)) AS INT) AS "timestamp"
   FROM events)""",
@@ -65,7 +65,7 @@ CONTENT_CTES = [
     "norms AS (SELECT mid, sqrt(list_reduce(list(w * w ORDER BY term), lambda x, y: x + y)) AS norm "
     "FROM w WHERE w != 0 GROUP BY mid)",
     "uvec AS (SELECT mid, term, w / norm AS u FROM w JOIN norms USING (mid) WHERE w != 0 AND norm > 0)",
-    "sims AS (SELECT a.mid, b.mid AS other_mid, "
+    "sims AS MATERIALIZED (SELECT a.mid, b.mid AS other_mid, "
     "list_reduce(list(a.u * b.u ORDER BY a.term), lambda x, y: x + y) AS score "
     "FROM uvec a JOIN uvec b ON a.term = b.term AND a.mid != b.mid GROUP BY a.mid, b.mid "
     "HAVING list_reduce(list(a.u * b.u ORDER BY a.term), lambda x, y: x + y) > 0.6)",
@@ -77,9 +77,9 @@ REALTIME_CTES = [
     "(PARTITION BY uid ORDER BY \"timestamp\" DESC, mid DESC, score DESC) AS rn FROM rating_event) WHERE rn = 1)",
     "unseen AS (SELECT l.uid, s.other_mid AS mid, s.score AS sim FROM last_ev l JOIN sims s ON s.mid = l.mid "
     "WHERE NOT EXISTS (SELECT 1 FROM rating r WHERE r.uid = l.uid AND r.mid = s.other_mid))",
-    "topsim AS (SELECT * FROM (SELECT uid, mid, sim, row_number() OVER (PARTITION BY uid ORDER BY sim DESC, mid ASC) "
+    "topsim AS MATERIALIZED (SELECT * FROM (SELECT uid, mid, sim, row_number() OVER (PARTITION BY uid ORDER BY sim DESC, mid ASC) "
     "AS rank FROM unseen) WHERE rank <= 20)",
-    "hist AS (SELECT uid, mid, score, \"timestamp\" FROM rating WHERE uid IN (SELECT uid FROM rating_event) "
+    "hist AS MATERIALIZED (SELECT uid, mid, score, \"timestamp\" FROM rating WHERE uid IN (SELECT uid FROM rating_event) "
     "UNION ALL SELECT uid, mid, score, \"timestamp\" FROM rating_event)",
     "recents AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY \"timestamp\" DESC, "
     "mid ASC, score DESC) AS rn FROM hist) WHERE rn <= 20)",
@@ -93,6 +93,8 @@ REALTIME_CTES = [
     "ELSE CAST('nan' AS DOUBLE) END AS score FROM (SELECT *, "
     "CAST(CASE WHEN incr = 0 THEN 1 ELSE incr END AS DOUBLE) - "
     "log10(CAST(CASE WHEN decr = 0 THEN 1 ELSE decr END AS DOUBLE)) AS x FROM boost))",
-    "ranked AS (SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY isnan(score), "
+    "listed AS (SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY isnan(score), "
     "CASE WHEN isnan(score) THEN 0 ELSE -score END, mid) AS INT) AS rank, mid, score FROM scores)",
+    # a user without any scored candidate has an empty list: one row, no rank
+    "ranked AS (SELECT uid, rank, mid, score FROM (SELECT DISTINCT uid FROM rating_event) LEFT JOIN listed USING (uid))",
 ]

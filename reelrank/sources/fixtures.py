@@ -48,8 +48,7 @@ def ratings_from_lineitems(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def tags_from_lineitems(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    first_lines = lineitem.filter(F.col("l_linenumber") == 1)
-    joined = _line_orders(first_lines, orders, "l_partkey")
+    joined = _line_orders(lineitem, orders, "l_partkey")
     return joined.select(
         F.col("o_custkey").cast("int").alias("uid"),
         F.col("l_partkey").cast("int").alias("mid"),
@@ -58,10 +57,15 @@ def tags_from_lineitems(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def rating_events_from_events(events: DataFrame) -> DataFrame:
+# Fixed value: a prime that spreads event numbers over all movies.
+EVENT_STEP = 7919
+
+
+def rating_events_from_events(events: DataFrame, part: DataFrame) -> DataFrame:
+    movies = part.select(F.count(F.lit(1))).scalar()
     return events.select(
         F.col("user_id").cast("int").alias("uid"),
-        (F.col("event_id") % 200).cast("int").alias("mid"),
+        F.pmod(F.col("event_id") * EVENT_STEP, movies).cast("int").alias("mid"),
         (((F.col("event_id") * 7 + F.col("user_id")) % 10 + 1).cast("double") / 2).alias("score"),
         epoch_seconds("ts").cast("int").alias("timestamp"),
     )
@@ -97,7 +101,7 @@ class Inputs:
 
     @property
     def rating_events(self) -> DataFrame:
-        return rating_events_from_events(self.table("events"))
+        return rating_events_from_events(self.table("events"), self.table("part"))
 
 
 def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:

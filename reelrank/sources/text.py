@@ -16,6 +16,15 @@ from pyspark.sql import functions as F
 from reelrank import schemas
 
 
+# Fixed value: the characters that a JVM string trim removes, U+0000 to U+0020.
+TRIMMED = "".join(map(chr, range(0x21)))
+
+
+def jvm_trim(c):
+    """Both ends without characters up to U+0020 (``F.trim`` removes spaces only)."""
+    return F.btrim(c, F.lit(TRIMMED))
+
+
 def _num(c, type_name: str, strict: bool):
     return c.cast(type_name) if strict else c.try_cast(type_name)
 
@@ -38,7 +47,7 @@ def parse_movies(lines: DataFrame, strict: bool = True, keep_line: bool = False)
     parts = F.split(F.col("value"), r"\^", -1)
     cols = [_num(_field(parts, 0, strict), "int", strict).alias("mid")]
     for i, name in enumerate(schemas.MOVIE_COLUMNS[1:], start=1):
-        cols.append(F.trim(_field(parts, i, strict)).alias(name))
+        cols.append(jvm_trim(_field(parts, i, strict)).alias(name))
     return lines.select(*cols, *_line(keep_line))
 
 
@@ -64,7 +73,7 @@ def parse_tags(lines: DataFrame, strict: bool = True, keep_line: bool = False) -
     return lines.select(
         _num(F.regexp_extract(v, _TAG_LINE, 1), "int", strict).alias("uid"),
         _num(F.regexp_extract(v, _TAG_LINE, 2), "int", strict).alias("mid"),
-        F.trim(F.regexp_extract(v, _TAG_LINE, 3)).alias("tag"),
+        jvm_trim(F.regexp_extract(v, _TAG_LINE, 3)).alias("tag"),
         _num(F.regexp_extract(v, _TAG_LINE, 4), "int", strict).alias("timestamp"),
         *_line(keep_line),
     )
@@ -87,7 +96,26 @@ _PARSERS = {"movie": parse_movies, "rating": parse_ratings, "tag": parse_tags}
 
 def read_text_table(spark: SparkSession, path: str, kind: str, strict: bool = True) -> DataFrame:
     """Read delimited text files of ``kind`` (movie, rating, tag) into the typed table."""
-    return _PARSERS[kind](spark.read.text(path), strict=strict)
+    return parse_lines(spark.read.text(path), kind, strict)
+
+
+def parse_lines(lines: DataFrame, kind: str, strict: bool = True, keep_line: bool = False) -> DataFrame:
+    """Lines of ``kind`` (movie, rating, tag) to its table."""
+    return _PARSERS[kind](lines, strict=strict, keep_line=keep_line)
+
+
+def parse_recents(entries: DataFrame, strict: bool = True) -> DataFrame:
+    """Recent-rating lists: rows ``(uid, pos, value)`` with ``value`` = ``mid:score``, pos 0 = newest, to
+    ``(uid, pos, mid, score)``.  Both numbers are trimmed; what follows a second colon is ignored."""
+    parts = F.split(F.col("value"), ":", -1)
+    return entries.select(
+        "uid", "pos", _num(jvm_trim(_field(parts, 0, strict)), "int", strict).alias("mid"),
+        _num(jvm_trim(_field(parts, 1, strict)), "double", strict).alias("score"))
+
+
+def recent_entries(recents: DataFrame) -> DataFrame:
+    """The inverse of :func:`parse_recents`: ``(uid, pos, value)`` from ``(uid, pos, mid, score)``."""
+    return recents.select("uid", "pos", F.concat_ws(":", "mid", "score").alias("value"))
 
 
 def movie_lines(movies: DataFrame) -> DataFrame:

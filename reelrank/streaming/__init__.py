@@ -1,5 +1,6 @@
 """Structured Streaming form of the real-time recommender."""
 
+from reelrank.streaming.log import UserLog
 from reelrank.streaming.query import (
     compact_stream_recs,
     current_stream_recs,
@@ -9,5 +10,5 @@ from reelrank.streaming.query import (
     starting_offsets,
 )
 
-__all__ = ["compact_stream_recs", "current_stream_recs", "parse_rating_messages", "rating_stream",
+__all__ = ["UserLog", "compact_stream_recs", "current_stream_recs", "parse_rating_messages", "rating_stream",
            "start_realtime_query", "starting_offsets"]

@@ -1,32 +1,32 @@
 """Real-time recommendations as a Structured Streaming query.
 
-    source (text files or Kafka) -> parse ``UID|MID|SCORE|TIMESTAMP``
-    -> per-user state: the K newest streamed ratings (applyInPandasWithState)
-    -> foreachBatch: set-wise scoring of the batch's users (operators.realtime)
-    -> StreamRecs log, one partition per batch id (idempotent on replay)
-
-Offsets and state live in the query's checkpoint, so a restarted query
-resumes where the last committed batch ended; a replayed batch rewrites its
-own partition of the log and nothing else.
+    source (text files or Kafka, in arrival order) -> parse ``UID|MID|SCORE|TIMESTAMP``
+    -> foreachBatch, all set-wise in Spark:
+       last event per user; recents = the batch's events, then the user's kept
+       recents, then (users met for the first time) their stored ratings;
+       scoring of the batch's users (operators.realtime)
+    -> Recents and StreamRecs logs, one partition per batch id (idempotent on replay)
+
+Offsets live in the query's checkpoint, so a restarted query resumes where
+the last committed batch ended; a replayed batch reads what the batches before
+it left, rewrites its own partitions of the logs and nothing else.  No state
+store, no Python worker.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reelrank import schemas
 from reelrank.operators import realtime
+from reelrank.operators.factored import FactoredSims
 from reelrank.sources.tables import user_bucket
+from reelrank.streaming.log import COMPACT_EVERY, UserLog
 
 
 def parse_rating_messages(messages: DataFrame, strict: bool = True) -> DataFrame:
-    """``value`` = ``UID|MID|SCORE|TIMESTAMP`` -> (uid, mid, score, timestamp)."""
+    """``value`` = ``UID|MID|SCORE|TIMESTAMP`` -> (uid, mid, score, timestamp); ``arrival`` is kept if there is one."""
     parts = F.split(F.col("value"), r"\|", -1)
 
     def num(i: int, t: str):
@@ -35,179 +35,154 @@ def parse_rating_messages(messages: DataFrame, strict: bool = True) -> DataFrame
         return F.get(parts, F.lit(i)).try_cast(t)
 
     return messages.select(num(0, "int").alias("uid"), num(1, "int").alias("mid"),
-                           num(2, "double").alias("score"), num(3, "int").alias("timestamp"))
+                           num(2, "double").alias("score"), num(3, "int").alias("timestamp"),
+                           *[c for c in messages.columns if c == "arrival"])
 
 
 def rating_stream(spark: SparkSession, fmt: str = "text", path: str | None = None,
                   **options: str) -> DataFrame:
-    """Streaming DataFrame of message strings (column ``value``).
+    """Streaming DataFrame of message strings (column ``value``) with their order of arrival (column ``arrival``).
 
     ``fmt="text"`` reads new files of a directory (``maxFilesPerTrigger``
-    bounds a batch); ``fmt="kafka"`` takes the usual Kafka source options
+    bounds a batch); files arrive by modification time, then by name, and
+    their lines in order (numbered when a batch is read, as a stream cannot).  ``fmt="kafka"`` takes the usual Kafka source options
     (``kafka.bootstrap.servers``, ``subscribe``, ``startingOffsets`` --
-    ``latest`` by default, as in the reference; ``maxOffsetsPerTrigger``).
+    ``latest`` by default, as in the reference; ``maxOffsetsPerTrigger``);
+    messages arrive by broker time, then by partition and offset.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         options = {"startingOffsets": "latest", **options}
     reader = reader.options(**options)
     df = reader.load(path) if path else reader.load()
-    return df.select(F.col("value").cast("string").alias("value"))
-
-
-# ---------------------------------------------------------------- per-user state
-
-_STATE_SCHEMA = "mids array<int>, scores array<double>, tss array<int>"
-_OUT_SCHEMA = "uid int, kind string, mid int, score double, timestamp int"
-
-
-def _recent_state(k: int):
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (uid,) = key
-        if state.exists:
-            mids, scores, tss = state.get
-            kept = pd.DataFrame({"mid": list(mids), "score": list(scores), "timestamp": list(tss)})
-        else:
-            kept = pd.DataFrame({"mid": [], "score": [], "timestamp": []})
-        last = None
-        order = ["timestamp", "mid", "score"]
-        for pdf in batches:
-            pdf = pdf[["mid", "score", "timestamp"]]
-            top = pdf.sort_values(order, ascending=[False, False, False]).head(1)
-            if last is None or tuple(top.iloc[0][order]) > tuple(last.iloc[0][order]):
-                last = top
-            # newest k only: a user with many events in one batch stays bounded
-            kept = (pd.concat([kept, pdf], ignore_index=True)
-                    .sort_values(["timestamp", "mid", "score"], ascending=[False, True, False])
-                    .head(k))
-        state.update((kept["mid"].astype(int).tolist(), kept["score"].astype(float).tolist(),
-                      kept["timestamp"].astype(int).tolist()))
-        out = pd.concat([kept.assign(kind="recent"), last.assign(kind="last")], ignore_index=True)
-        out["uid"] = uid
-        yield out[["uid", "kind", "mid", "score", "timestamp"]].astype(
-            {"uid": "int32", "mid": "int32", "score": "float64", "timestamp": "int32"})
-    return update
-
-
-def recent_events_state(ratings_stream: DataFrame, k: int = schemas.MAX_USER_RATINGS_NUM) -> DataFrame:
-    """Per micro-batch, for each user with events: the K newest streamed
-    ratings so far (``kind='recent'``) and the batch's last event
-    (``kind='last'``).  State per user is at most K entries."""
-    return (ratings_stream.groupBy("uid")
-            .applyInPandasWithState(_recent_state(k), _OUT_SCHEMA, _STATE_SCHEMA, "update",
-                                    GroupStateTimeout.NoTimeout))
-
-
-# ---------------------------------------------------------------- StreamRecs log sink
-
-def write_stream_recs(recs: DataFrame, root: str, batch_id: int) -> None:
-    """Write one batch's lists as partition ``batch_id`` of the log.  Writing a
-    batch again replaces only that partition, so replays are idempotent."""
-    (recs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(root))
-
-
-def _read_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
-    if not path:
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # nothing written there yet
-        return None
-
-
-def _latest_lists(log: DataFrame, snapshot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Rows still relevant: the newest snapshot plus the log after it."""
-    if snapshot is None:
-        return log.select("uid", "recs", "batch_id"), None
-    upto = snapshot.agg(F.max("v")).scalar()
-    snap = snapshot.filter(F.col("v") == upto).select("uid", "recs", F.col("v").alias("batch_id"))
-    return snap.unionByName(log.filter(F.col("batch_id") > upto).select("uid", "recs", "batch_id")), upto
-
-
-def current_stream_recs(spark: SparkSession, root: str, snapshot_root: str | None = None) -> DataFrame:
-    """(uid, recs): the latest list per user (last write wins).
-
-    With ``snapshot_root`` (see :func:`compact_stream_recs`) only the newest
-    snapshot and the log partitions after it are read.  ``max_by`` is
-    combined map-side, so a user in many batches costs one row per task.
-    """
-    rows, _ = _latest_lists(spark.read.parquet(root), _read_or_none(spark, snapshot_root))
-    return rows.groupBy("uid").agg(F.max_by("recs", "batch_id").alias("recs"))
+    if fmt == "kafka":
+        order = F.struct("timestamp", "partition", "offset")
+    else:
+        meta = F.col("_metadata")
+        order = F.struct(meta["file_modification_time"].alias("time"), meta["file_path"].alias("file"),
+                         meta["file_block_start"].alias("block"))
+    return df.select(F.col("value").cast("string").alias("value"), order.alias("arrival"))
+
+
+# ---------------------------------------------------------------- StreamRecs
+
+def write_stream_recs(recs: DataFrame, root: str, batch_id: int, compact_every: int = COMPACT_EVERY) -> None:
+    """Write one batch's lists (uid, recs) to the log at ``root``; writing a batch again replaces only its own rows."""
+    UserLog(recs.sparkSession, root, "recs", compact_every).write(recs, batch_id)
+
+
+def current_stream_recs(spark: SparkSession, root: str) -> DataFrame:
+    """(uid, recs): the latest list per user (last write wins)."""
+    found = UserLog(spark, root, "recs").latest()
+    return spark.createDataFrame([], f"uid int, recs array<{schemas.RECOMMENDATION}>") if found is None else found
 
 
-def compact_stream_recs(spark: SparkSession, root: str, snapshot_root: str) -> None:
-    """Fold the log into a new snapshot version ``v`` = last batch id.
+def compact_stream_recs(spark: SparkSession, root: str, before: int) -> None:
+    """Fold the batches below ``before`` into a snapshot (the query does so itself as it goes)."""
+    UserLog(spark, root, "recs").compact(before)
 
-    Versions are separate partitions, so the snapshot being read is never
-    overwritten; with nothing new since the newest snapshot it does nothing.
+
+# ---------------------------------------------------------------- micro-batch
+
+# Users of a batch whose ids are pushed into the scans of the user tables as a
+# literal list; a larger batch is read by a join alone.
+MAX_PUSHED_USERS = 5000
+
+_RECENTS = "array<struct<pos:int,mid:int,score:double,timestamp:int>>"
+
+
+def rows_of(table: DataFrame, users: DataFrame, ids: list[int] | None, user_buckets: int | None = None) -> DataFrame:
+    """The rows of ``table`` of the batch's users.
+
+    With ``ids`` the scan gets them as a filter: files and row groups of a
+    table sorted by ``uid`` are skipped by their bounds, and with
+    ``user_buckets`` whole partition directories by the users' buckets.
     """
-    log = spark.read.parquet(root)
-    last = log.agg(F.max("batch_id")).first()[0]
-    snapshot = _read_or_none(spark, snapshot_root)
-    if last is None or (snapshot is not None and snapshot.agg(F.max("v")).first()[0] >= last):
-        return  # nothing new since the newest snapshot
-    rows, _ = _latest_lists(log.filter(F.col("batch_id") <= last), snapshot)
-    (rows.groupBy("uid").agg(F.max_by("recs", "batch_id").alias("recs"))
-     .withColumn("v", F.lit(last).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("v").parquet(snapshot_root))
-
-
-def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFrame, sink_root: str,
+    keyed = users
+    on = ["uid"]
+    if user_buckets and "uid_bucket" in table.columns:
+        keyed, on = users.withColumn("uid_bucket", user_bucket("uid", user_buckets)), ["uid_bucket", "uid"]
+        if ids is not None:
+            table = table.where(F.col("uid_bucket").isin(sorted({i % user_buckets for i in ids})))
+    if ids is not None:
+        table = table.where(F.col("uid").isin(ids))
+    return table.join(keyed, on, "left_semi")
+
+
+def merged_recents(events: DataFrame, kept: DataFrame | None, history: DataFrame, k: int) -> DataFrame:
+    """(uid, pos, mid, score, timestamp): newest ``k`` per user: the batch's events in reverse order of arrival, then
+    the recents kept from earlier batches, or else the stored ratings.  At most ``3 k`` rows of a user meet."""
+    parts = [realtime.recent_ratings(events, k).withColumn("age", F.lit(0))]
+    stored = realtime.recent_ratings(history, k)
+    if kept is not None:
+        old = kept.select("uid", F.explode("recents").alias("r")).select("uid", "r.*")
+        stored = stored.join(kept.select("uid"), "uid", "left_anti")
+        parts.append(old.withColumn("age", F.lit(1)))
+    parts.append(stored.withColumn("age", F.lit(2)))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    place = F.row_number().over(Window.partitionBy("uid").orderBy("age", "pos"))
+    return (every.withColumn("place", place).where(F.col("place") <= k)
+            .select("uid", (F.col("place") - 1).alias("pos"), "mid", "score", "timestamp"))
+
+
+def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFrame | FactoredSims, sink_root: str,
                            k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
                            threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written",
-                           user_buckets: int | None = None):
-    """The ``foreachBatch`` function: score the users of one micro-batch.
+                           user_buckets: int | None = None, compact_every: int = COMPACT_EVERY):
+    """The ``foreachBatch`` function: score the users of one micro-batch of parsed events.
 
     ``ratings`` read with ``keep_layout=True`` from a table stored with
     ``user_buckets`` carries ``uid_bucket``; pass the same ``user_buckets``.
     """
     if "uid_bucket" in ratings.columns and not user_buckets:
         raise ValueError("ratings carry uid_bucket: pass user_buckets")
+    recs_log = UserLog(spark, sink_root, "recs", compact_every)
+    recents_log = UserLog(spark, f"{sink_root.rstrip('/')}_recents", "recents", compact_every)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        if "arrival" in batch.columns:  # lines of one file block share its place: their order in it decides
+            batch = batch.withColumn("arrival", F.struct("arrival", F.monotonically_increasing_id().alias("line")))
+        held = [batch.persist()]
         try:
             if batch.isEmpty():
                 return
-            last = batch.filter(F.col("kind") == "last").select("uid", "mid", "score", "timestamp")
+            last = realtime.last_events(batch).persist()
+            held.append(last)
             users = last.select("uid")
-            # stored ratings of this batch's users: read once, used for the
-            # recent list and for the already-seen exclusion.  On a table
-            # partitioned by uid_bucket the join also prunes partitions.
-            if "uid_bucket" in ratings.columns:
-                keyed = users.withColumn("uid_bucket", user_bucket("uid", user_buckets))
-                history = (ratings.join(keyed, ["uid_bucket", "uid"], "left_semi")
-                           .select("uid", "mid", "score", "timestamp").persist())
-            else:
-                history = ratings.join(users, "uid", "left_semi").persist()
-            streamed = batch.filter(F.col("kind") == "recent").select("uid", "mid", "score", "timestamp")
-            recents = realtime.recent_ratings(history.unionByName(streamed), k)
-            kept: list = []
-            recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust, keep=kept)
-            write_stream_recs(recs, sink_root, batch_id)
-            for df in kept + [history]:
-                df.unpersist()
+            few = [r.uid for r in users.limit(MAX_PUSHED_USERS + 1).collect()]  # bounded
+            ids = few if len(few) <= MAX_PUSHED_USERS and None not in few else None
+            history = rows_of(ratings, users, ids, user_buckets).select("uid", "mid", "score", "timestamp").persist()
+            kept = recents_log.rows(batch_id)
+            if kept is not None:
+                kept = (rows_of(kept, users, ids).groupBy("uid").agg(F.max_by("recents", "batch_id").alias("recents"))
+                        .persist())
+                held.append(kept)
+            recents = merged_recents(batch, kept, history, k).persist()
+            held += [history, recents]
+            recents_log.write(recents.groupBy("uid").agg(F.sort_array(F.collect_list(
+                F.struct("pos", "mid", "score", "timestamp"))).cast(_RECENTS).alias("recents")), batch_id)
+            recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust, keep=held)
+            recs_log.write(recs, batch_id)
         finally:
-            batch.unpersist()
+            for df in held:
+                df.unpersist()
     return handle
 
 
-def start_realtime_query(spark: SparkSession, messages: DataFrame, ratings: DataFrame, sims: DataFrame,
+def start_realtime_query(spark: SparkSession, messages: DataFrame, ratings: DataFrame, sims: DataFrame | FactoredSims,
                          sink_root: str, checkpoint_location: str, trigger: dict | None = None,
                          k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
                          threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written",
-                         user_buckets: int | None = None):
+                         user_buckets: int | None = None, compact_every: int = COMPACT_EVERY):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``trigger`` defaults to a 20 second processing-time cadence (the
     reference's batch interval); tests pass ``{"availableNow": True}``.
     """
-    state = recent_events_state(parse_rating_messages(messages), k)
-    handler = realtime_batch_handler(spark, ratings, sims, sink_root, k, n, threshold, adjust, user_buckets)
-    writer = (state.writeStream.outputMode("update").foreachBatch(handler)
+    handler = realtime_batch_handler(spark, ratings, sims, sink_root, k, n, threshold, adjust, user_buckets, compact_every)
+    writer = (parse_rating_messages(messages).writeStream.outputMode("append").foreachBatch(handler)
               .option("checkpointLocation", checkpoint_location)
               .trigger(**(trigger or {"processingTime": "20 seconds"})))
     return writer.start()

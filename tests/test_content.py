@@ -87,13 +87,6 @@ def test_idf_and_tf(spark):
     assert idf["b"] == (2, pytest.approx(math.log(4 / 3)))
 
 
-def test_similarity_lookup_defaults_to_zero(spark):
-    sims = spark.createDataFrame([(1, 2, 0.9)], "mid int, other_mid int, score double")
-    q = spark.createDataFrame([(1, 2), (2, 1)], "mid int, other_mid int")
-    got = {(r.mid, r.other_mid): r.sim for r in content.similarity_lookup(q, sims).collect()}
-    assert got == {(1, 2): 0.9, (2, 1): 0.0}
-
-
 def test_salted_term_join_is_exact_on_a_hot_term(spark, monkeypatch):
     # every movie shares 'common'; tiny buckets force many salt buckets per term
     monkeypatch.setattr(content, "SALT_ROWS", 2)

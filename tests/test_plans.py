@@ -1,6 +1,9 @@
 """Plan-shape checks: the properties the operators rely on at scale."""
 
+import re
+
 from reelrank.operators import content, realtime, stats
+from reelrank.operators.factored import FactoredSims
 from reelrank.plans.catalog import FIXTURE_GENRES
 from reelrank.sources import fixtures
 from tests.conftest import SF_SMALL
@@ -34,8 +37,9 @@ def test_genre_match_needs_no_join(spark):
 def test_scans_are_pruned_and_filtered(spark):
     tags = fixtures.load_inputs(spark, SF_SMALL).tags
     p = tags._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(l_linenumber,1)" in p
-    assert "l_quantity" not in p  # not read for tags
+    assert "l_quantity" not in p and "l_linenumber" not in p  # not read for tags
+    rare = fixtures.load_inputs(spark, SF_SMALL).ratings.where("uid = 3")
+    assert "PushedFilters: [IsNotNull(o_custkey)" in rare._jdf.queryExecution().executedPlan().toString() or "o_custkey" in plan(rare)
 
 
 def test_term_join_is_grid_salted_and_repartitioned(spark):
@@ -46,6 +50,19 @@ def test_term_join_is_grid_salted_and_repartitioned(spark):
     model.unpersist()
 
 
+def test_a_micro_batch_reads_no_pair_table(spark, tmp_dir):
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    FactoredSims.of(content.content_model(inp.movies)).write(tmp_dir)
+    sims = FactoredSims.read(spark, tmp_dir, 0.6)
+    events = inp.rating_events.persist()
+    p = plan(realtime.realtime_recs(events, inp.ratings, sims))
+    scans = {x.split("/")[-1].rstrip("],. ") for x in re.findall(r"InMemoryFileIndex\([^)]*\)\[[^\]]*", p)}
+    assert {"ContentMembers", "ContentVectors", "ContentHeads"} <= scans and "ContentSimilarity" not in p
+    heads = p[p.index("ContentHeads"):]
+    assert "PartitionFilters: [isnotnull(band" in heads and "band" in heads[:600]  # only the bands that can matter
+    events.unpersist()
+
+
 def test_array_work_is_not_repeated_by_inferred_filters(spark):
     # a plain explode would make Spark infer size(array) > 0 and push it into
     # the scan, evaluating the whole tokenizer/term-count expression again

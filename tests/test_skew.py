@@ -3,7 +3,8 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from reelrank.operators import realtime, stats
+from reelrank.operators import content, realtime, stats
+from reelrank.operators.factored import FactoredSims
 
 
 def skewed(spark, n=30000):
@@ -39,3 +40,41 @@ def test_tag_string_of_a_hot_movie(spark):
     got = {x.mid: x.tags for x in stats.movie_tags(tags).filter("mid = 42").collect()}
     pdf = tags.filter("mid = 42").toPandas()
     assert got == {42: "|".join(sorted(pd.unique(pdf.tag)))}
+
+
+def hot_movies(spark, n=1500):
+    """A third of all movies share one genre string, the others have many."""
+    ids = spark.range(n)
+    return ids.select(F.col("id").cast("int").alias("mid"), F.when(F.col("id") % 3 == 0, F.lit("Drama|Rare")).otherwise(
+        F.concat_ws("|", F.concat(F.lit("g"), F.col("id") % 17), F.concat(F.lit("h"), F.col("id") % 41))).alias("genres"))
+
+
+def test_pairs_of_a_hot_class_are_spread_evenly(spark):
+    movies = hot_movies(spark)
+    model = content.content_model(movies)
+    pairs = model.pairs().withColumn("task", F.spark_partition_id())
+    made = [r["count"] for r in pairs.groupBy("task").count().collect()]
+    assert sum(made) >= 500 * 499 and max(made) <= 2 * sum(made) / max(len(made), 4)
+    assert model.pairs().select("mid", "other_mid").distinct().count() == sum(made)
+    model.unpersist()
+
+
+def test_factored_lists_of_a_hot_class_equal_the_expanded_ones(spark, tmp_dir):
+    movies = hot_movies(spark, 600)
+    model = content.content_model(movies)
+    FactoredSims.of(model).write(tmp_dir)
+    sims = FactoredSims.read(spark, tmp_dir, model.threshold)
+    assert {r.pos for r in sims.members.where("cid = 0").collect()} == set(range(200))
+    wanted = movies.select(F.col("mid").alias("uid"), F.col("mid").alias("src"), (F.col("mid") % 130 + 1).alias("limit"))
+    full = {r.mid: [(x.score, x.mid) for x in r.recs] for r in model.recs().collect()}
+    got: dict = {}
+    for r in sims.head(wanted).collect():
+        got.setdefault(r.uid, []).append((r.sim, r.mid))
+    for w in wanted.collect():
+        head = sorted(got.get(w.uid, []), key=lambda x: (-x[0], x[1]))[:w.limit]
+        assert head == full.get(w.src, [])[:w.limit]
+    pairs = movies.limit(40).select("mid").crossJoin(movies.limit(60).select(F.col("mid").alias("recent_mid")))
+    stored = {(r.mid, r.other_mid): r.score for r in model.pairs().collect()}
+    for r in sims.similarity(pairs).collect():
+        assert r.sim == stored.get((r.mid, r.recent_mid), 0.0)
+    model.unpersist()

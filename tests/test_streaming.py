@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from reelrank import streaming
 from reelrank.operators import content, realtime
+from reelrank.operators.factored import FactoredSims
 from reelrank.sources import fixtures, tables
-from reelrank.streaming.query import realtime_batch_handler, write_stream_recs
+from reelrank.streaming.log import UserLog
+from reelrank.streaming.query import realtime_batch_handler, rows_of, write_stream_recs
 from tests.conftest import SF_SMALL
 
 
@@ -19,51 +21,96 @@ def test_parse_messages(spark):
     assert (r.uid, r.mid, r.score, r.timestamp) == (1, 31, 2.5, 1260759144)
 
 
-def test_stream_over_time_ordered_files_equals_batch(spark, tmp_dir):
-    inp = fixtures.load_inputs(spark, SF_SMALL)
-    sims_path = f"{tmp_dir}/sims"
-    tables.write_table(content.content_sim_pairs(inp.movies), sims_path)
-    sims = tables.read_table(spark, sims_path)
-    ev = inp.rating_events
-    cuts = list(ev.select(F.percentile_approx("timestamp", [0.33, 0.66])).first()[0])
-    src = f"{tmp_dir}/in"
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):  # three files written in time order
-        part = ev
-        if lo is not None:
-            part = part.filter(F.col("timestamp") > lo)
-        if hi is not None:
-            part = part.filter(F.col("timestamp") <= hi)
-        fixtures.rating_messages(part).coalesce(1).write.mode("append").text(src)
-    sink, ckpt = f"{tmp_dir}/recs", f"{tmp_dir}/ckpt"
-    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src, maxFilesPerTrigger="1"),
-                                       inp.ratings, sims, sink, ckpt, trigger={"availableNow": True})
+RATING = "uid int, mid int, score double, timestamp int"
+
+
+def write_in_order(spark, src, rows, files=1):
+    """Message files that arrive one after another."""
+    import time
+
+    size = -(-len(rows) // files)
+    for i in range(0, len(rows), size):
+        fixtures.rating_messages(spark.createDataFrame(rows[i:i + size], RATING).coalesce(1)).write.mode("append").text(src)
+        time.sleep(0.05)
+
+
+def run(spark, src, ratings, sims, sink, ckpt, per_batch="1", **kw):
+    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src, maxFilesPerTrigger=per_batch),
+                                       ratings, sims, sink, ckpt, trigger={"availableNow": True}, **kw)
     q.awaitTermination()
-    assert spark.read.parquet(sink).select("batch_id").distinct().count() == 3
-    got = lists(streaming.current_stream_recs(spark, sink))
-    want = lists(realtime.realtime_recs(ev, inp.ratings, sims))
-    assert got == want
+
+
+def test_stream_in_batches_equals_one_batch_also_over_compactions_and_a_restart(spark, tmp_dir):
+    """Three micro-batches, the query stopped after the first and started again, a snapshot made in between."""
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    FactoredSims.of(content.content_model(inp.movies)).write(f"{tmp_dir}/content")
+    sims = FactoredSims.read(spark, f"{tmp_dir}/content", 0.6)
+    events = [tuple(r) for r in inp.rating_events.orderBy("timestamp").collect()]
+    want = lists(realtime.realtime_recs(inp.rating_events, inp.ratings, content.content_sim_pairs(inp.movies)))
+    src, sink, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/recs", f"{tmp_dir}/ckpt"
+    write_in_order(spark, src, events[:300])
+    run(spark, src, inp.ratings, sims, sink, ckpt, compact_every=1)
+    write_in_order(spark, src, events[300:], files=2)
+    run(spark, src, inp.ratings, sims, sink, ckpt, compact_every=1)  # resumes: the first file is not read again
+    rows = UserLog(spark, sink, "recs").rows()
+    assert rows.agg(F.max("batch_id")).first()[0] == 2
+    assert spark.read.parquet(f"{sink}/snapshots").count() > 0
+    assert lists(streaming.current_stream_recs(spark, sink)) == want
+
+
+def test_events_count_in_order_of_arrival(spark, tmp_dir):
+    """The last event is the one that came last, whatever its timestamp; so are the recents."""
+    sims = spark.createDataFrame([(a, b, 0.9) for a in (1, 2) for b in (10 * a, 10 * a + 1)] + [
+        (20, 2, 0.8), (21, 2, 0.95), (10, 1, 0.8), (11, 1, 0.8)], "mid int, other_mid int, score double")
+    ratings = spark.createDataFrame([(5, 21, 1.0, 1)], RATING)
+    src, sink = f"{tmp_dir}/in", f"{tmp_dir}/recs"
+    write_in_order(spark, src, [(5, 1, 4.0, 900), (5, 2, 5.0, 100)])  # 2 arrives last with the older time
+    run(spark, src, ratings, sims, sink, f"{tmp_dir}/ckpt")
+    assert [m for m, _ in lists(streaming.current_stream_recs(spark, sink))[5]] == [20]
+    kept = UserLog(spark, f"{sink}_recents", "recents").latest().first().recents
+    assert [(r.pos, r.mid) for r in kept] == [(0, 2), (1, 1), (2, 21)]
+    write_in_order(spark, src, [(5, 7, 1.0, 50)])
+    run(spark, src, ratings, sims, sink, f"{tmp_dir}/ckpt")
+    kept = UserLog(spark, f"{sink}_recents", "recents").latest().first().recents
+    assert [r.mid for r in kept] == [7, 2, 1, 21]
 
 
 def test_replayed_batch_is_idempotent(spark, tmp_dir):
-    recs = spark.createDataFrame([(1, [(5, 0.5)])], "uid int, recs array<struct<mid:int,score:double>>")
-    sink = f"{tmp_dir}/log"
+    sink, schema = f"{tmp_dir}/log", "uid int, recs array<struct<mid:int,score:double>>"
+    recs = spark.createDataFrame([(1, [(5, 0.5)])], schema)
     write_stream_recs(recs, sink, 0)
     write_stream_recs(recs, sink, 1)
     write_stream_recs(recs, sink, 1)  # replay of batch 1
-    assert spark.read.parquet(sink).count() == 2
-    newer = spark.createDataFrame([(1, [(6, 0.7)])], "uid int, recs array<struct<mid:int,score:double>>")
-    write_stream_recs(newer, sink, 2)
+    log = UserLog(spark, sink, "recs")
+    assert log.rows().count() == 2 and log.rows(before=1).count() == 1 and log.rows(before=0).count() == 0
+    write_stream_recs(spark.createDataFrame([(1, [(6, 0.7)])], schema), sink, 2)
     assert lists(streaming.current_stream_recs(spark, sink)) == {1: [(6, 0.7)]}
 
 
+def test_replay_of_a_batch_through_the_handler(spark, tmp_dir):
+    """A batch handled twice, the second time after a later snapshot, leaves what it left the first time."""
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    sims = content.content_sim_pairs(inp.movies).persist()
+    handle = realtime_batch_handler(spark, inp.ratings, sims, f"{tmp_dir}/recs", compact_every=1)
+    events = [tuple(r) for r in inp.rating_events.orderBy("timestamp").collect()]
+    batches = [spark.createDataFrame(events[i:i + 250], RATING) for i in (0, 250, 500, 750)]
+    for i, b in enumerate(batches):
+        handle(b, i)
+    once = lists(streaming.current_stream_recs(spark, f"{tmp_dir}/recs"))
+    handle(batches[3], 3)
+    assert lists(streaming.current_stream_recs(spark, f"{tmp_dir}/recs")) == once
+    assert once == lists(realtime.realtime_recs(inp.rating_events, inp.ratings, sims))
+    sims.unpersist()
+
+
 def test_empty_batch_writes_nothing(spark, tmp_dir):
-    handler = realtime_batch_handler(spark, spark.createDataFrame([], "uid int, mid int, score double, timestamp int"),
+    handler = realtime_batch_handler(spark, spark.createDataFrame([], RATING),
                                      spark.createDataFrame([], "mid int, other_mid int, score double"),
                                      f"{tmp_dir}/out")
-    handler(spark.createDataFrame([], "uid int, kind string, mid int, score double, timestamp int"), 0)
+    handler(spark.createDataFrame([], RATING), 0)
     import os
     assert not os.path.exists(f"{tmp_dir}/out")
+    assert streaming.current_stream_recs(spark, f"{tmp_dir}/out").count() == 0
 
 
 def test_starting_offsets_json(spark):
@@ -75,45 +122,43 @@ def test_starting_offsets_json(spark):
     assert json.loads(out.starting_offsets)["my-topic"]["10"] == 7
 
 
-def test_bucketed_ratings_prune_and_give_same_recs(spark, tmp_dir):
+def test_ratings_of_a_batch_are_read_by_bucket_and_id(spark, tmp_dir):
     inp = fixtures.load_inputs(spark, SF_SMALL)
     paths = tables.store_base_tables(inp.movies, inp.ratings, inp.tags, f"{tmp_dir}/base", user_buckets=16)
     ratings = tables.read_ratings(spark, paths["rating"], keep_layout=True)
     assert "uid_bucket" in ratings.columns
     assert tables.read_ratings(spark, paths["rating"]).columns == ["uid", "mid", "score", "timestamp"]
-    # the handler's shape: the batch's users come from a filter on the state output
-    batch = inp.rating_events.withColumn("kind", F.when(F.col("score") > 2, "last").otherwise("recent"))
-    users = batch.filter(F.col("kind") == "last").select("uid")
-    keyed = users.withColumn("uid_bucket", tables.user_bucket("uid", 16))
-    lookup = ratings.join(keyed, ["uid_bucket", "uid"], "left_semi")
-    lookup.count()
-    assert "dynamicpruning" in lookup._jdf.queryExecution().executedPlan().toString().lower()
-
+    users = spark.createDataFrame([(3,), (19,)], "uid int")
+    found = rows_of(ratings, users, [3, 19], 16)
+    p = found._jdf.queryExecution().executedPlan().toString()
+    assert "(uid_bucket" in p.split("PartitionFilters")[1].split("]")[0]  # one directory
+    assert "PushedFilters: [In(uid" in p  # and row groups by the bounds of the ids
+    want = sorted(tuple(r) for r in inp.ratings.where("uid IN (3, 19)").collect())
+    for ids in ([3, 19], None):
+        got = rows_of(ratings, users, ids, 16).select("uid", "mid", "score", "timestamp")
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+    src, sink = f"{tmp_dir}/in", f"{tmp_dir}/recs"
+    write_in_order(spark, src, [tuple(r) for r in inp.rating_events.orderBy("timestamp").collect()])
     sims = content.similarity_entries(content.content_movie_recs(inp.movies))
-    src = f"{tmp_dir}/in"
-    fixtures.rating_messages(inp.rating_events).write.text(src)
-    sink, ckpt = f"{tmp_dir}/recs", f"{tmp_dir}/ckpt"
-    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), ratings, sims,
-                                       sink, ckpt, trigger={"availableNow": True}, user_buckets=16)
-    q.awaitTermination()
+    run(spark, src, ratings, sims, sink, f"{tmp_dir}/ckpt", user_buckets=16)
     want = lists(realtime.realtime_recs(inp.rating_events, inp.ratings, sims))
     assert lists(streaming.current_stream_recs(spark, sink)) == want
 
 
 def test_compaction_keeps_the_latest_lists(spark, tmp_dir):
     schema = "uid int, recs array<struct<mid:int,score:double>>"
-    log, snap = f"{tmp_dir}/log", f"{tmp_dir}/snap"
+    log = f"{tmp_dir}/log"
     write_stream_recs(spark.createDataFrame([(1, [(5, 0.5)]), (2, [(6, 0.6)])], schema), log, 0)
     write_stream_recs(spark.createDataFrame([(1, [(7, 0.7)])], schema), log, 1)
-    streaming.compact_stream_recs(spark, log, snap)
-    assert lists(streaming.current_stream_recs(spark, log, snap)) == {1: [(7, 0.7)], 2: [(6, 0.6)]}
+    streaming.compact_stream_recs(spark, log, 2)
+    assert lists(streaming.current_stream_recs(spark, log)) == {1: [(7, 0.7)], 2: [(6, 0.6)]}
     write_stream_recs(spark.createDataFrame([(2, [(8, 0.8)]), (3, [(9, 0.9)])], schema), log, 2)
     want = {1: [(7, 0.7)], 2: [(8, 0.8)], 3: [(9, 0.9)]}
-    assert lists(streaming.current_stream_recs(spark, log, snap)) == want
-    streaming.compact_stream_recs(spark, log, snap)
-    streaming.compact_stream_recs(spark, log, snap)  # repeated: nothing new, no-op
-    assert spark.read.parquet(snap).select("v").distinct().count() == 2
-    assert lists(streaming.current_stream_recs(spark, log, snap)) == want
+    assert lists(streaming.current_stream_recs(spark, log)) == want
+    streaming.compact_stream_recs(spark, log, 3)
+    streaming.compact_stream_recs(spark, log, 3)  # again: the same snapshot
+    assert spark.read.parquet(f"{log}/snapshots").select("version").distinct().count() == 2
     assert lists(streaming.current_stream_recs(spark, log)) == want
 
 
