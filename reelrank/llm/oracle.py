@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reelrank.llm import licences
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 OP10 = rf"""
@@ -47,4 +49,39 @@ SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::
 FROM d LEFT JOIN s USING (r)
 """
 
-ORACLE = {"op7_substring_dedup": OP7, "op10_host_rules": OP10}
+_KNOWN, _UNKNOWN = licences.weights()
+_NAMES = sorted(licences.TEMPLATES)
+_VALUES = ", ".join(f"('{x}', {w!r}::DOUBLE, [{', '.join(f'{v!r}::DOUBLE' for v in vs)}])" for x, (w, vs) in _KNOWN.items())
+_MARK = f"regexp_matches(%s, '{licences.MARKERS}')"
+_FILE = f"regexp_matches(%s, '{licences.LICENCE_FILE}')"
+_UP = "regexp_replace(%s, '/?[^/]*$', '')"
+OP6 = rf"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+f AS (SELECT DISTINCT t, concat_ws('/', coalesce(source, ''), coalesce(lang, ''),
+        CASE WHEN len(regexp_split_to_array(trim(t, ' '), '[ \t\n\x0B\f\r]+')) < 60 AND {_MARK % 't'}
+             THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) AS path FROM d),
+ln AS (SELECT DISTINCT path, l FROM (SELECT path, unnest(string_split(t, chr(10))) AS l FROM f)
+       WHERE {_MARK % 'l'} OR ({_FILE % 'path'} AND regexp_matches(l, '[A-Za-z0-9]'))),
+tm AS (SELECT path, l, term, count(*) AS tf FROM (
+         SELECT path, l, unnest(regexp_extract_all(lower(l), '({licences.TERM})', 1)) AS term FROM ln) GROUP BY ALL),
+known(term, idf, ws) AS (VALUES {_VALUES}),
+w AS (SELECT path, l, tf * coalesce(idf, {_UNKNOWN!r}::DOUBLE) AS w, ws FROM tm LEFT JOIN known USING (term)),
+names AS (SELECT unnest({_NAMES!r}) AS name, unnest(range(1, {len(_NAMES) + 1})) AS i),
+c AS (SELECT path, l, name, round(sum(coalesce(ws[i], 0.0) * w) / sqrt(sum(w * w)), 9) AS cosine
+      FROM w CROSS JOIN names GROUP BY path, l, name),
+own AS (SELECT path, regexp_replace(name, ' \(.*\)$', '') AS own, cosine FROM (
+          SELECT *, row_number() OVER (PARTITION BY path ORDER BY cosine DESC, name) AS r FROM c
+          WHERE cosine >= {licences.LEAST}) WHERE r = 1),
+given AS (SELECT folder, own AS lic FROM (
+            SELECT {_UP % 'path'} AS folder, own,
+                   row_number() OVER (PARTITION BY {_UP % 'path'} ORDER BY cosine DESC, path) AS r
+            FROM own WHERE {_FILE % 'path'}) WHERE r = 1),
+p AS (SELECT DISTINCT path, {_UP % 'path'} AS d2 FROM f),
+a AS (SELECT path, folder, depth FROM p, LATERAL (VALUES (d2, 2), ({_UP % 'd2'}, 1), ('', 0)) v(folder, depth)),
+near AS (SELECT path, arg_max(folder, depth) AS from_dir, arg_max(lic, depth) AS lic FROM a JOIN given USING (folder) GROUP BY path)
+SELECT CAST(regexp_extract(path, '([0-9]+)(\.txt)?$', 1) AS BIGINT) AS doc_id, path, own, round(cosine, 6) AS cosine, CASE WHEN own IS NULL THEN lic END AS inherited,
+       CASE WHEN own IS NULL THEN from_dir END AS from_dir, coalesce(own, lic) AS licence
+FROM p LEFT JOIN own USING (path) LEFT JOIN near USING (path)
+"""
+
+ORACLE = {"op6_licence_scan": OP6, "op7_substring_dedup": OP7, "op10_host_rules": OP10}
