@@ -1,7 +1,6 @@
 """Column expressions (JVM-side, codegen friendly) shared by the operators."""
 
 from reelrank.functions.columns import (
-    desc_nan_last_key,
     epoch_seconds,
     genre_match,
     java_log10,
@@ -11,5 +10,5 @@ from reelrank.functions.columns import (
     year_month,
 )
 
-__all__ = ["desc_nan_last_key", "epoch_seconds", "genre_match", "java_log10", "java_split",
+__all__ = ["epoch_seconds", "genre_match", "java_log10", "java_split",
            "lower_contains", "sorted_recs", "year_month"]

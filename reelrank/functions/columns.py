@@ -73,15 +73,6 @@ def java_log10(x: Column | str) -> Column:
             .otherwise(F.lit(float("nan"))))
 
 
-def desc_nan_last_key(score: Column | str) -> list[Column]:
-    """Sort keys for "score descending, NaN last" (the JVM ``sortBy(-score)`` order).
-
-    Spark's ``desc`` puts NaN first, so sort on a NaN flag, then on ``-score``.
-    """
-    s = _col(score)
-    return [F.isnan(s).cast("int"), F.when(F.isnan(s), F.lit(0.0)).otherwise(-s)]
-
-
 def sorted_recs(rows: Column, id_field: str = "mid") -> Column:
     """Sort a collected ``array<struct<id, score>>`` by score desc (NaN last), id asc,
     and return it as ``array<struct<id, score>>``.

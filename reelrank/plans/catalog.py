@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from reelrank import schemas, streaming
 from reelrank.operators import content, latent, realtime, stats
 from reelrank.operators.factored import FactoredSims
-from reelrank.plans.oracle import CONTENT_CTES, REALTIME_CTES, with_ctes
+from reelrank.plans.oracle import CONTENT_CTES, EXACT_CTES, REALTIME_CTES, with_ctes
 from reelrank.session import scratch_path
 from reelrank.sources import fixtures, tables, text
 from reelrank.sources.fixtures import load_inputs
@@ -270,6 +270,20 @@ def q_content_movie_recs(spark, sf):
             .select("mid", "rank", "other_mid", F.round("score", 6).alias("score")))
 
 
+@register("tfidf_weights_exact", with_ctes(["movie"], EXACT_CTES[:4],
+                                           "SELECT mid, term, tf, round(w, 9) AS weight FROM w"))
+def q_tfidf_weights_exact(spark, sf):
+    w = content.tfidf_weights(load_inputs(spark, sf).movies, term_space="exact")
+    return w.select("mid", "term", "tf", F.round("weight", 9).alias("weight"))
+
+
+@register("content_sim_pairs_exact", with_ctes(["movie"], EXACT_CTES,
+                                               "SELECT mid, other_mid, round(score, 6) AS score FROM sims"))
+def q_content_sim_pairs_exact(spark, sf):
+    pairs = content.content_sim_pairs(load_inputs(spark, sf).movies, term_space="exact")
+    return pairs.select("mid", "other_mid", F.round("score", 6).alias("score"))
+
+
 # ---------------------------------------------------------------- real-time scoring (batch form)
 
 

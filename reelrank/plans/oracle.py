@@ -71,6 +71,13 @@ CONTENT_CTES = [
     "HAVING list_reduce(list(a.u * b.u ORDER BY a.term), lambda x, y: x + y) > 0.6)",
 ]
 
+# The same over the exact terms: no bucket table, so nothing of the engine's hash is copied.
+EXACT_CTES = [
+    CONTENT_CTES[0],
+    "tf AS (SELECT mid, token AS term, CAST(count(*) AS DOUBLE) AS tf FROM tok GROUP BY mid, token)",
+    *CONTENT_CTES[3:],
+]
+
 # Real-time scoring over the whole event table as one batch (needs CONTENT_CTES).
 REALTIME_CTES = [
     "last_ev AS (SELECT uid, mid, score, \"timestamp\" FROM (SELECT *, row_number() OVER "
