@@ -55,7 +55,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")  # a match fails from all places in a digit run or from none
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ISLAND = re.compile(r"[^\s0-9@]*+[0-9@]\S*(?:[^\S\n]{1,2}[^\s0-9@]*+[0-9@]\S*)*")
+_ISLAND = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*(?:[^\S\n]{1,2}[^\s0-9@]*+[0-9@]\S*)*")
 _PIECE = re.compile(r"[0-9]+|[^\W\d_]+|.", re.S)
 _NOISE = frozenset("#*$%&|<>!?~^=")
 
