@@ -38,9 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, the ids of the text, their number, and the text that they decode to."""
-    vocabulary = byte_bpe()
-    coded = bpe.encode(docs.select("doc_id", "text"), vocabulary)
-    return bpe.decode(coded, vocabulary).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), byte_bpe()).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("decoded"))
 
 

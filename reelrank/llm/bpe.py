@@ -16,20 +16,58 @@ vocabulary lacks fail on decoding; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import heapq
+import re
+import sys
+import unicodedata
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from reelrank.llm.tables import shipped
 
-MAX_KNOWN = 400_000
-_NONE = np.int64(1 << 40)
-_WIDTHS = (8, 16, 32, 64)
+MAX_KNOWN = 200_000
+ROWS = 250  # texts whose pieces are held at once
+_NONE = np.int32(1 << 30)
+_WIDTHS = (8, 12, 16, 24, 32, 64)
+_TABLE_BITS = 19
+_PLAIN_END = 0x250  # code points below this one have settled classes in every Unicode version
+
+
+def plain_pattern(pattern: str) -> str | None:
+    """``pattern`` for texts of code points below U+0250 only, with its classes spelled out; None if that is not possible.
+
+    Plain classes need no property lookups, which makes the cut several times
+    as fast on the texts that have nothing else.
+    """
+    def of(test) -> str:
+        return "".join(re.escape(chr(c)) for c in range(_PLAIN_END) if test(chr(c)))
+
+    letters, numbers = of(lambda c: unicodedata.category(c)[0] == "L"), of(lambda c: unicodedata.category(c)[0] == "N")
+    spaces = r"\t-\r \x85\xa0"
+    out = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]")
+    for name, inside in ((r"\p{L}", f"[{letters}]"), (r"\p{N}", f"[{numbers}]"), (r"\s", f"[{spaces}]"), (r"\S", f"[^{spaces}]")):
+        out = out.replace(name, inside)
+    return None if r"\p" in out else out
+
+
+class Cutter:
+    """Cuts texts into the pieces of a pattern."""
+
+    def __init__(self, pattern: str):
+        plain = plain_pattern(pattern)
+        self.any = regex.compile(pattern).findall
+        self.plain = re.compile(plain).findall if plain else self.any
+        self.other = re.compile(f"[^\0-{chr(_PLAIN_END - 1)}]").search
+
+    def __call__(self, text: str) -> list[str]:
+        return self.any(text) if self.other(text) else self.plain(text)
 
 
 class Vocabulary:
@@ -39,25 +77,61 @@ class Vocabulary:
         self.pattern = pattern
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines()) if a}
         self.tokens = {i: t for t, i in self.ranks.items()}
-        self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
-        pairs = sorted((self.ranks[t[:i]] << 32 | self.ranks[t[i:]], rank) for t, rank in self.ranks.items()
-                       for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks)
-        self.pairs = np.array([p[0] for p in pairs], dtype=np.int64)
-        self.pair_ranks = np.array([p[1] for p in pairs], dtype=np.int64)
+        # all tokens one after another, and where each begins
+        listed = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self.sizes = np.array([len(t) for t in listed])
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(listed), dtype=np.uint8)
+        self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+        pairs = [(self.ranks[t[:i]] << 32 | self.ranks[t[i:]], rank) for t, rank in self.ranks.items()
+                 for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        # an open table: a pair sits at its hash or soon after; the longest way is known
+        self.table = np.full(1 << _TABLE_BITS, -1, dtype=np.int64)
+        self.table_ranks = np.full(1 << _TABLE_BITS, _NONE, dtype=np.int32)
+        self.steps = 0
+        if 2 * len(pairs) > len(self.table):
+            raise ValueError(f"{len(pairs)} pairs are too many for the table")
+        keys, ranks = np.array([p[0] for p in pairs], dtype=np.int64), np.array([p[1] for p in pairs], dtype=np.int32)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):  # of the pairs that want a free place one gets it, the others go on to the next
+            free = left[self.table[at[left]] < 0]
+            _, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.table[at[won]], self.table_ranks[at[won]] = keys[won], ranks[won]
+            left = np.setdiff1d(left, won)
+            at[left] = (at[left] + 1) & (len(self.table) - 1)
+            self.steps += 1
+
+    @staticmethod
+    def _place(key: np.ndarray) -> np.ndarray:
+        h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids; a large number if they make no token (or one is below zero)."""
-        key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], _NONE)
+        shape, key = left.shape, (left.astype(np.int64) << 32 | right.astype(np.int64)).reshape(-1)
+        at = self._place(key)
+        found = self.table[at]
+        out = np.where(found == key, self.table_ranks[at], _NONE)
+        left_over = np.flatnonzero((found != key) & (found >= 0))
+        for _ in range(1, self.steps):
+            if not len(left_over):
+                break
+            at[left_over] = (at[left_over] + 1) & (len(self.table) - 1)
+            found = self.table[at[left_over]]
+            hit = found == key[left_over]
+            out[left_over[hit]] = self.table_ranks[at[left_over[hit]]]
+            left_over = left_over[~hit & (found >= 0)]
+        out[key < 0] = _NONE
+        return out.reshape(shape)
 
-    def _fold(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
-        """Merged ids of pieces of at most ``width`` bytes."""
+    def _fold(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """Merged ids, as 32-bit integers one after another, of pieces of at most ``width`` bytes."""
         n = np.array([len(p) for p in pieces])
-        ids = np.full((len(pieces), width + 1), -1, dtype=np.int64)
+        ids = np.full((len(pieces), width + 1), -1, dtype=np.int32)
         flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         ids[np.repeat(np.arange(len(n)), n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)] = self.bytes[flat]
-        ranks = np.full((len(pieces), width + 1), _NONE)
+        ranks = np.full((len(pieces), width + 1), _NONE, dtype=np.int32)
         ranks[:, :width] = self.rank(ids[:, :-1], ids[:, 1:])
         done: list = [None] * len(pieces)
         rows, columns = np.arange(len(pieces)), np.arange(width + 1)
@@ -65,15 +139,16 @@ class Vocabulary:
             j = ranks.argmin(axis=1)
             least = ranks[np.arange(len(rows)), j]
             ended = least == _NONE
-            for r, own, m in zip(rows[ended].tolist(), ids[ended].tolist(), n[ended].tolist()):
-                done[r] = tuple(own[:m])
+            raw, step = ids[ended].tobytes(), 4 * (width + 1)
+            for i, (r, m) in enumerate(zip(rows[ended].tolist(), n[ended].tolist())):
+                done[r] = raw[i * step:i * step + 4 * m]
             rows, ids, ranks, n, j, least = (x[~ended] for x in (rows, ids, ranks, n, j, least))
             if not len(rows):
                 break
             line = np.arange(len(rows))
-            moved = columns[None, :] > j[:, None]
-            ids = np.where(moved, np.concatenate((ids[:, 1:], np.full((len(rows), 1), -1)), axis=1), ids)
-            ranks = np.where(moved, np.concatenate((ranks[:, 1:], np.full((len(rows), 1), _NONE)), axis=1), ranks)
+            moved = columns[None, :-1] > j[:, None]
+            np.copyto(ids[:, :-1], ids[:, 1:].copy(), where=moved)
+            np.copyto(ranks[:, :-1], ranks[:, 1:].copy(), where=moved)
             ids[line, j] = least
             n = n - 1
             ranks[line, j] = self.rank(ids[line, j], ids[line, np.minimum(j + 1, width)])
@@ -81,10 +156,8 @@ class Vocabulary:
             ranks[line[before], j[before] - 1] = self.rank(ids[line[before], j[before] - 1], least[before])
         return done
 
-    def _long(self, piece: bytes) -> tuple[int, ...]:
+    def _long(self, piece: bytes) -> bytes:
         """Merged ids of one piece of any length: a heap of pairs over a linked list."""
-        import heapq
-
         ids = [int(x) for x in self.bytes[np.frombuffer(piece, dtype=np.uint8)]]
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         text = [bytes([c]) for c in piece]
@@ -103,26 +176,40 @@ class Vocabulary:
                 b = after[a] if a >= 0 else len(ids)
                 if b < len(ids) and (r := self.ranks.get(text[a] + text[b])) is not None:
                     heapq.heappush(heap, (r, a, len(text[a]) + len(text[b])))
-        return tuple(x for x, t in zip(ids, text) if t is not None)
+        return np.array([x for x, t in zip(ids, text) if t is not None], dtype=np.int32).tobytes()
 
-    def encode(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of each piece."""
-        out, left = {}, {w: [] for w in _WIDTHS}
+    def encode(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of each piece, as 32-bit integers one after another."""
+        out, left, whole = {}, {w: ([], []) for w in _WIDTHS}, self.ranks.get
+        groups = [left[next(w for w in _WIDTHS if n <= w)] for n in range(_WIDTHS[-1] + 1)]
         for p in pieces:
             raw = p.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                out[p] = (whole,)
-            elif len(raw) > _WIDTHS[-1]:
+            known = whole(raw)
+            if known is not None:
+                out[p] = known.to_bytes(4, sys.byteorder)
+            elif len(raw) >= len(groups):
                 out[p] = self._long(raw)
             else:
-                left[next(w for w in _WIDTHS if len(raw) <= w)].append((p, raw))
-        for width, group in left.items():
-            for a in range(0, len(group), 20_000):
-                part = group[a:a + 20_000]
-                out.update(zip([p for p, _ in part], self._fold([raw for _, raw in part], width)))
+                names, bytes_ = groups[len(raw)]
+                names.append(p)
+                bytes_.append(raw)
+        for width, (names, bytes_) in left.items():
+            for a in range(0, len(names), 50_000):
+                out.update(zip(names[a:a + 50_000], self._fold(bytes_[a:a + 50_000], width)))
         return out
 
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of lists of ids: list i has the ids before ``ends[i]`` that list i - 1 has not."""
+        if not len(ids):
+            return [b""] * len(ends)
+        if ids.min() < 0 or ids.max() >= len(self.sizes) or (self.sizes[ids] == 0).any():
+            raise ValueError("ids that the vocabulary lacks")
+        size = self.sizes[ids]
+        last = np.cumsum(size)
+        raw = self.flat[np.arange(last[-1]) + np.repeat(self.first[ids] - last + size, size)].tobytes()
+        cuts = np.concatenate(([0], last))[ends].tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+
 
 def load(path: str, pattern: str) -> Vocabulary:
     """Vocabulary from a rank file (a token in base 64 and its rank on each line); the file is on the driver."""
@@ -134,41 +221,55 @@ def _with(docs: DataFrame, fields: list[T.StructField], drop: str | None = None)
     return T.StructType([*[f for f in docs.schema.fields if f.name != drop], *fields])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", keep_text: bool = False) -> DataFrame:
-    """``docs`` with the ids of column ``text`` in column ``ids`` (the text itself goes unless ``keep_text``)."""
-    shared = shipped(docs.sparkSession, vocabulary)
-    drop = None if keep_text else text
-    schema = _with(docs, [T.StructField(ids, T.ArrayType(T.IntegerType()))], drop)
-
+def _encoder(load: Callable[[], Vocabulary], text: str, ids: str, drop: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, known = shared(), {}
-        find = regex.compile(vocab.pattern).findall
-        for batch in (x.slice(a, 1000) for x in batches for a in range(0, x.num_rows, 1000)):
+        vocab, known = load(), {}
+        find = Cutter(vocab.pattern)
+        for batch in (x.slice(a, ROWS) for x in batches for a in range(0, x.num_rows, ROWS)):
             pieces = [find(t) if t else [] for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             new = set(chain.from_iterable(pieces)) - known.keys()
             if len(known) + len(new) > MAX_KNOWN:
                 known, new = {}, set(chain.from_iterable(pieces))
             known.update(vocab.encode(list(new)))
             get = known.__getitem__
-            lists = [np.fromiter(chain.from_iterable(map(get, p)), dtype=np.int32) for p in pieces]
-            ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-            column = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists) if lists else [], pa.int32()))
+            lists = [b"".join(map(get, p)) for p in pieces]
+            ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in lists]))).astype(np.int32)
+            column = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(lists), dtype=np.int32)))
             kept = [i for i, x in enumerate(batch.schema.names) if x != drop]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], column], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], column],
+                                             names=[*[batch.schema.names[i] for i in kept], ids])
+
+    return run
+
+
+def _decoder(load: Callable[[], Vocabulary], ids: str, to: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = load()
+        for batch in (x.slice(a, ROWS) for x in batches for a in range(0, x.num_rows, ROWS)):
+            lists = batch.column(batch.schema.get_field_index(ids))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            found = vocab.decode(pc.list_flatten(lists).to_numpy(zero_copy_only=False), ends)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, to])
 
-    return docs.mapInArrow(run, schema)
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", keep_text: bool = False) -> DataFrame:
+    """``docs`` with the ids of column ``text`` in column ``ids`` (the text itself goes unless ``keep_text``)."""
+    drop = None if keep_text else text
+    run = _encoder(shipped(docs.sparkSession, vocabulary), text, ids, drop)
+    return docs.mapInArrow(run, _with(docs, [T.StructField(ids, T.ArrayType(T.IntegerType()))], drop))
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``coded`` with the bytes that its ids stand for in column ``to``."""
-    shared = shipped(coded.sparkSession, vocabulary)
-    schema = _with(coded, [T.StructField(to, T.BinaryType())])
+    run = _decoder(shipped(coded.sparkSession, vocabulary), ids, to)
+    return coded.mapInArrow(run, _with(coded, [T.StructField(to, T.BinaryType())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared().tokens.__getitem__
-        for batch in (x.slice(a, 1000) for x in batches for a in range(0, x.num_rows, 1000)):
-            lists = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([b"".join(map(get, x or ())) for x in lists], pa.binary())], names=schema.names)
 
-    return coded.mapInArrow(run, schema)
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", to: str = "decoded") -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, in one pass of the same workers."""
+    load = shipped(docs.sparkSession, vocabulary)
+    first, second = _encoder(load, text, ids, text), _decoder(load, ids, to)
+    schema = _with(docs, [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(to, T.BinaryType())], text)
+    return docs.mapInArrow(lambda batches: second(first(batches)), schema)

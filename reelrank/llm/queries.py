@@ -74,9 +74,7 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of every document, and of the bytes decoded from them."""
-    vocabulary = byte_bpe()
-    coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
-    return bpe.decode(coded, vocabulary).select(
+    return bpe.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"), byte_bpe()).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
