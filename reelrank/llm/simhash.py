@@ -184,9 +184,11 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     key = unused(docs, "key")
     ids = stored(found.groupBy(F.col("doc_id").alias(key)).agg(
         F.max(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count("*").alias("n")), "simhash-ids")
-    gone = ids.where("copy").select(key)
+    # hashed by shuffle at every size: what goes grows with the corpus, so it is never broadcast, and the texts,
+    # which this deals out once, need no sort
+    gone = ids.where("copy").select(key).hint("shuffle_hash")
     kept = docs.join(gone, F.col(f"`{doc_id}`") == F.col(key), "left_anti")
-    again = ids.where("NOT copy AND n > 1").select(key)
+    again = ids.where("NOT copy AND n > 1").select(key).hint("shuffle_hash")
     if again.isEmpty():
         return kept
     match = F.col(f"`{doc_id}`") == F.col(key)
