@@ -122,17 +122,6 @@ def hashed_tf(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES,
             .select("mid", F.col("e.term").alias("term"), F.col("e.tf").alias("tf")))
 
 
-def dot_product(a: F.Column, b: F.Column) -> F.Column:
-    """Dot product of two ``array<struct<term, u, ...>>`` columns sorted by term.
-
-    The common terms come from two short lookups; the sum folds over ``a`` in
-    term order, so both directions give the same bits.  NULL for a missing vector.
-    """
-    terms = F.transform(b, lambda x: x["term"])
-    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x["u"] * F.coalesce(
-        F.try_element_at(b, F.nullif(F.array_position(terms, x["term"]).cast("int"), F.lit(0)))["u"], F.lit(0.0)))
-
-
 @dataclass
 class ContentModel:
     """Intermediate tables of the similarity computation.

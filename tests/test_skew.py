@@ -73,8 +73,12 @@ def test_factored_lists_of_a_hot_class_equal_the_expanded_ones(spark, tmp_dir):
     for w in wanted.collect():
         head = sorted(got.get(w.uid, []), key=lambda x: (-x[0], x[1]))[:w.limit]
         assert head == full.get(w.src, [])[:w.limit]
-    pairs = movies.limit(40).select("mid").crossJoin(movies.limit(60).select(F.col("mid").alias("recent_mid")))
     stored = {(r.mid, r.other_mid): r.score for r in model.pairs().collect()}
-    for r in sims.similarity(pairs).collect():
+    candidates = movies.limit(40).select(F.lit(1).alias("uid"), "mid")
+    recents = movies.limit(60).select(F.lit(1).alias("uid"), F.col("mid").alias("recent_mid"), F.lit(2.0).alias("recent_score"))
+    recents = recents.unionByName(spark.createDataFrame([(1, -5, 1.0)], "uid int, recent_mid int, recent_score double"))
+    scored = sims.scored(candidates, recents).collect()
+    assert len(scored) == 40 * 61
+    for r in scored:
         assert r.sim == stored.get((r.mid, r.recent_mid), 0.0)
     model.unpersist()
