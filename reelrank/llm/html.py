@@ -1,9 +1,13 @@
 """Main text of HTML pages by composite text density.
 
 A page becomes a tree of elements (implied end tags closed, scripts and
-comments never entered).  Elements that name themselves boilerplate (menus,
-headers, footers, sidebars, notices, adverts, forms, reader comments) are cut
-unless they hold the article.  Every element gets its characters per tag,
+comments never entered).  Elements without prose (scripts, buttons, fields)
+and hidden ones are cut.  A name never cuts alone: an element named boilerplate
+(menus, headers, footers, sidebars, notices, adverts, forms, reader comments)
+goes if most of its text is links, or if all of one name is such words and the
+element has less text outside links than the rest of the page (than ten times
+the rest, if that holds an article); a larger one stays with half its density.
+What holds the article stays.  Every element gets its characters per tag,
 adjusted for the characters in links (composite text density).  The density
 sum of an element is the sum of its children's densities; the subtree of the
 largest sum is the main one.  The least density on the path from it up to the
@@ -36,8 +40,9 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section "
     "select summary table tbody td tfoot th thead title tr ul".split())
 CUT_TAGS = frozenset(
-    "aside button canvas datalist dialog footer form head header iframe input label menu nav noscript object option "
-    "script select style svg template textarea title".split())
+    "button canvas datalist head iframe input label noscript object option script select style svg template textarea "
+    "title".split())
+NAMED_TAGS = frozenset("aside dialog footer form header menu nav".split())
 CUT_WORDS = frozenset(
     "ad ads adbox advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice "
@@ -67,8 +72,8 @@ for _open, (_starts, _) in ENDS.items():
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)", re.S)
-_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -76,29 +81,36 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     """An element: children are elements and strings, in order."""
 
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "cut", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool = False):
-        self.tag, self.parent, self.children, self.cut = tag, parent, [], cut
+    def __init__(self, tag: str, parent: Node | None, cut: bool = False, named: int = 0):
+        self.tag, self.parent, self.children, self.cut, self.named = tag, parent, [], cut, named
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def named_boilerplate(tag: str, attributes: str) -> bool:
+def boilerplate(tag: str, attributes: str) -> tuple[bool, int]:
+    """Whether an element is cut whatever its text, and how it is named: 2 if all words of a class, an id, the role or
+    the tag stand for boilerplate, 1 if some words of a class or id do, else 0."""
     if tag in KEEP_TAGS:
-        return False
+        return False, 0
     if tag in CUT_TAGS:
-        return True
-    if not attributes:
-        return False
-    for kind, *values in _NAMES.findall(attributes):
-        value = next((v for v in values if v), "")
-        if kind.lower() == "role":
-            if value.lower() in CUT_ROLES:
-                return True
-        elif not CUT_WORDS.isdisjoint(_WORD.findall(_CAMEL.sub(" ", value).lower())):
-            return True
-    return bool(_HIDDEN.search(attributes))
+        return True, 0
+    hidden, named = False, 2 if tag in NAMED_TAGS else 0
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), next((v for v in values if v), "")
+        if name == "role":
+            named = max(named, 2 * (value.lower() in CUT_ROLES))
+        elif name in ("class", "id"):
+            for x in value.split():
+                found = _WORD.findall(_CAMEL.sub(" ", x).lower())
+                hits = sum(w in CUT_WORDS for w in found)
+                named = max(named, (hits > 0) + (0 < hits == len(found)))
+        elif name == "hidden":
+            hidden |= not value.lower().startswith("until")
+        elif name == "style":
+            hidden |= bool(_NO_DISPLAY.search(unescape(value)))
+    return hidden, named
 
 
 def parse(html: str) -> tuple[Node, list[Node]]:
@@ -154,7 +166,7 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                 if x.tag == ended:
                     close(x)
         attributes = m[3]
-        node = Node(tag, top, named_boilerplate(tag, attributes))
+        node = Node(tag, top, *boilerplate(tag, attributes))
         top.children.append(node)
         nodes.append(node)
         if tag == "body":
@@ -174,9 +186,10 @@ def parse(html: str) -> tuple[Node, list[Node]]:
     return root, nodes
 
 
-def _measure(nodes: list[Node]) -> None:
-    """Characters, tags and link characters below each element, and its composite density."""
+def _count(nodes: list[Node]) -> None:
+    """Characters, tags and link characters below each element."""
     for node in reversed(nodes):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         link = node.tag == "a"
         for x in node.children:
             if isinstance(x, str):
@@ -188,17 +201,57 @@ def _measure(nodes: list[Node]) -> None:
                 node.tags += x.tags + 1
                 node.link_chars += x.chars if link else x.link_chars
                 node.link_tags += x.link_tags + (x.tag == "a")
-    body = next((x for x in nodes if x.tag == "body"), nodes[0])
+
+
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Composite density; ``share`` is that of link characters on the page."""
+    if not chars:
+        return 0.0
+    base = math.log(chars * link_chars / max(1, chars - link_chars) + share * chars + math.e)
+    inner = max(math.e, chars / max(1, link_chars) * max(1, tags) / max(1, link_tags))
+    return chars / max(1, tags) * math.log(inner) / math.log(base) if base > 1.01 else 0.0
+
+
+def _measure(nodes: list[Node], body: Node) -> float:
+    """Composite density and density sum of each element, and the share of link characters."""
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in nodes:
-        if node.chars and not node.cut:
-            plain = max(1, node.chars - node.link_chars)
-            base = math.log(node.chars * node.link_chars / plain + share * node.chars + math.e)
-            inner = max(math.e, node.chars / max(1, node.link_chars) * max(1, node.tags) / max(1, node.link_tags))
-            node.density = node.chars / max(1, node.tags) * math.log(inner) / math.log(base) if base > 1.01 else 0.0
-    for node in nodes:
-        if not node.cut and node.parent is not None:
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, share)
+        if node.named:
+            node.density /= 2
+        if node.parent is not None:
             node.parent.sum += node.density
+    return share
+
+
+def _live(nodes: list[Node]) -> list[Node]:
+    """The elements that are not cut nor below a cut one."""
+    live = []
+    for node in nodes:  # parents come first
+        if node.parent is not None and node.parent.cut:
+            node.cut = True
+        if not node.cut:
+            live.append(node)
+    return live
+
+
+def _cut_named(live: list[Node]) -> list[Node]:
+    """The elements that stay once named ones that are link-heavy or small are cut."""
+    if not any(x.named for x in live):
+        return live
+    plain = lambda x: x.chars - x.link_chars
+    rest, inside = plain(live[0]), set()
+    for x in live:  # text outside links and outside all elements with a name of boilerplate words
+        if x.named == 2 or x.parent is not None and id(x.parent) in inside:
+            rest -= plain(x) if x.parent is None or id(x.parent) not in inside else 0
+            inside.add(id(x))
+    if any(x.tag in ("article", "main") and x.chars and id(x) not in inside for x in live):
+        rest *= 10  # short articles have longer adverts beside them
+    for x in live:
+        x.cut = x.named > 0 and (2 * x.link_chars > x.chars or x.named == 2 and plain(x) < max(1, rest))
+    live = _live(live)
+    _count(live)
+    return live
 
 
 def _texts(node: Node, out: list[str]) -> None:
@@ -221,14 +274,14 @@ def _hold_article(nodes: list[Node]) -> None:
         if node.tag in ("article", "main"):
             x = node.parent
             while x is not None:
-                x.cut = False
+                x.cut, x.named = False, 0
                 x = x.parent
     for node in nodes:
-        if node.cut and node.tag == "header":
+        if node.named and node.tag == "header":
             x = node.parent
             while x is not None and x.tag != "article":
                 x = x.parent
-            node.cut = x is None
+            node.named = node.named if x is None else 0
 
 
 def main_text(html: str | None) -> str:
@@ -237,14 +290,11 @@ def main_text(html: str | None) -> str:
         return ""
     root, nodes = parse(html.replace("\0", " "))
     _hold_article(nodes)
-    live = []
-    for node in nodes:  # parents come first
-        if node.parent is not None and node.parent.cut:
-            node.cut = True
-        if not node.cut:
-            live.append(node)
-    _measure(live)
+    live = _live(nodes)
+    _count(live)
+    live = _cut_named(live)
     body = next((x for x in live if x.tag == "body"), root)
+    _measure(live, body)
     inner = [x for x in live if x is not root and x.tag != "head"]
     best = max(inner, key=lambda x: x.sum, default=body)
     if best.sum <= 0:

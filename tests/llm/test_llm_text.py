@@ -193,3 +193,24 @@ def test_licence_weights_have_length_one():
     for t in range(len(licences.TEMPLATES)):
         assert sum(v[t] ** 2 for _, v in known.values()) == pytest.approx(1)
     assert unknown >= max(w for w, _ in known.values())
+
+
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'class="overflow-hidden"', 'class="entry-content share-enabled"', 'class="content no-sidebar"',
+    'id="related-work"', 'data-class="ad"', 'class="share"', 'role="search"', 'hidden="until-found"', "class=story data-x='display:none'",
+])
+def test_a_name_alone_cuts_no_main_text(attributes):
+    paragraphs = "".join(f"<p>{f'word{i} ' * 30}</p>" for i in range(4))
+    want = " ".join(f"word{i}" for i in range(4) for _ in range(30))
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(9)) + "</ul>"
+    assert html.main_text(f"<body><nav>{links}</nav><div {attributes}>{paragraphs}</div></body>") == want
+    assert html.main_text(f"<body><nav>{links}</nav><article><div {attributes}>{paragraphs}</div></article></body>") == want
+
+
+@pytest.mark.parametrize("element", [
+    "<div hidden>x y z</div>", "<div style='color:red; display : none'>x y z</div>", "<div class='ad'>x y z</div>",
+    "<div class='post-share'><a href='/'>x y z</a></div>", "<aside>x y z</aside>", "<div class='navMenu'>x y z</div>",
+])
+def test_hidden_link_heavy_and_small_named_elements_go(element):
+    body = f"<p>{'word ' * 30}</p>"
+    assert html.main_text(f"<body><a href='/'>l</a><article>{body}{element}{body}</article></body>") == " ".join(["word"] * 60)
