@@ -12,7 +12,8 @@ adjusted for the characters in links (composite text density).  The density
 sum of an element is the sum of its children's densities; the subtree of the
 largest sum is the main one.  The least density on the path from it up to the
 body is the threshold: side branches of the path that reach it belong to the
-text as well.
+text as well, articles like all others.  Text directly in an element of the
+path, with the inline elements in it, is such a branch of one tag.
 
 Pages are parsed one by one inside tasks; the work is linear in the page.
 
@@ -27,6 +28,7 @@ import math
 import re
 from collections.abc import Iterator
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -268,6 +270,27 @@ def _texts(node: Node, out: list[str]) -> None:
             stack.extend(reversed(x.children))
 
 
+def _dense(branches: list, limit: float, share: float) -> list[str]:
+    """Text of the side branches that reach the threshold; strings and inline elements side by side are one branch, and
+    such an element is another by itself."""
+    out: list[str] = []
+    inline = lambda x: isinstance(x, str) or x.tag not in BLOCK
+    for together, group in groupby(branches, inline):
+        run = [x for x in group if isinstance(x, str) or not x.cut]
+        if together:
+            found = Node("", None)
+            found.children = run
+            _count([found])
+            if _density(found.chars, found.tags, found.link_chars, found.link_tags, share) >= limit > 0:
+                for x in run:
+                    _texts(x, out)
+                continue
+        for x in run:
+            if not isinstance(x, str) and x.density >= limit > 0:
+                _texts(x, out)
+    return out
+
+
 def _hold_article(nodes: list[Node]) -> None:
     """An element around the article is not boilerplate, and a header within it is part of it."""
     for node in nodes:
@@ -294,38 +317,26 @@ def main_text(html: str | None) -> str:
     _count(live)
     live = _cut_named(live)
     body = next((x for x in live if x.tag == "body"), root)
-    _measure(live, body)
+    share = _measure(live, body)
     inner = [x for x in live if x is not root and x.tag != "head"]
     best = max(inner, key=lambda x: x.sum, default=body)
     if best.sum <= 0:
         best = body
-    articles = [x for x in live if x.tag == "article" and x.chars]
     path, x = [], best
     while x is not None:
         path.append(x)
         x = x.parent
-    # the largest sum may lie inside an article; the whole article is meant
-    chosen = next((x for x in reversed(path) if x.tag == "article"), best)
-    on_path = set(map(id, path))
     limit = min((x.density for x in path if x is not root and x.density > 0), default=0.0)
     out: list[str] = []
-
-    def walk(node: Node) -> None:
-        for x in node.children:
-            if isinstance(x, str):
-                if chosen is root or node is chosen:
-                    out.append(x)
-            elif x is chosen:
-                _texts(x, out)
-            elif id(x) in on_path:
-                walk(x)
-            elif not x.cut and (x in articles if articles else x.density >= limit > 0):
-                _texts(x, out)
-
-    if chosen is root or chosen.parent is None:
-        _texts(root, out)
-    else:
-        walk(root)
+    ends: list[list[str]] = []
+    for x, below in zip(reversed(path), path[-2::-1]):
+        at = x.children.index(below)
+        edge = ["\0"] if below.tag in BLOCK else []
+        out += _dense(x.children[:at], limit, share) + edge
+        ends.append(edge + _dense(x.children[at + 1:], limit, share))
+    _texts(best, out)
+    for x in reversed(ends):
+        out += x
     blocks = (" ".join(unescape(b).split()) for b in "".join(out).split("\0"))
     return " ".join(b for b in blocks if b)
 

@@ -214,3 +214,14 @@ def test_a_name_alone_cuts_no_main_text(attributes):
 def test_hidden_link_heavy_and_small_named_elements_go(element):
     body = f"<p>{'word ' * 30}</p>"
     assert html.main_text(f"<body><a href='/'>l</a><article>{body}{element}{body}</article></body>") == " ".join(["word"] * 60)
+
+
+def test_threshold_decides_every_side_branch():
+    links = "<nav><ul>" + "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(9)) + "</ul></nav>"
+    cards = "".join(f"<article><a href='/{i}'>Teaser {i} <i>of</i> <i>a</i> <i>story</i></a></article>" for i in range(3))
+    main = "<div class='story'>" + "".join(f"<p>{'word ' * 40}</p>" for _ in range(6)) + "</div>"
+    page = f"<body>{links}<div>{cards}</div>{main}{cards}<section>{'side ' * 60}</section><a href='/'>more</a></body>"
+    assert html.main_text(page) == " ".join(["word"] * 240 + ["side"] * 60)
+    runs = f"<body>{links}{'early ' * 60}<b>bold</b> {'x ' * 60}{main}tiny<br>{cards}</body>"
+    got = html.main_text(runs).split()
+    assert got[:61] == ["early"] * 60 + ["bold"] and got[-1] == "word" and "Teaser" not in got
