@@ -14,7 +14,9 @@ labels has a score.  Forward and backward sums over all segmentations give the
 likelihood for training and each entity's probability; the best segmentation
 chooses boundaries and kinds together.  An entity is added if it overlaps no
 base span, the best segmentation has it and its probability is at least
-``LEAST``.
+``LEAST``.  An island is decoded whole however long it is: the features of a
+long one are made for ``CHUNK_PIECES`` pieces at a time, once for the sums from
+the left and once for those from the right, and only its sums stay.
 
 The field is trained on at most ``MAX_ISLANDS`` islands of the corpus (the
 first by a hash) whose labels are the base spans, and on copies of those
@@ -30,8 +32,11 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,7 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_PIECES = 24
 MAX_ISLANDS = 3000
 MAX_ISLAND_CHARS = 200  # of an island to train on
+CHUNK_PIECES = 512  # of a long island at a time
 LEAST = 0.9
 STEPS = 80
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -115,11 +121,20 @@ class Island:
         pieces = [text[a:b] for a, b in cuts]
         self.other = [self._piece(p) for p in pieces]
         self.candidates: list[tuple[int, int, tuple[str, ...]]] = []
+        n_digits = [len(p) if "0" <= p[0] <= "9" else 0 for p in pieces]
+        letters, spaces = [any(map(str.isalpha, p)) for p in pieces], [p.isspace() for p in pieces]
         for i, p in enumerate(pieces):
             if not (p[0].isalnum() or p in "+("):
                 continue
+            digits = at = lettered = spaced = 0
             for j in range(i + 1, min(len(pieces), i + MAX_PIECES) + 1):
-                if pieces[j - 1][0].isalnum() and any(c.isdigit() or c == "@" for c in text[self.starts[i]:self.ends[j - 1]]):
+                digits += n_digits[j - 1]
+                at += pieces[j - 1] == "@"
+                lettered |= letters[j - 1]
+                spaced |= spaces[j - 1]
+                if at > 1 or at and spaced:
+                    break
+                if pieces[j - 1][0].isalnum() and (at or not lettered and 4 <= digits <= 19):
                     found = self._features(i, j)
                     if found:
                         self.candidates.append((i, j, found))
@@ -254,6 +269,64 @@ class Field:
         return out[::-1]
 
 
+    def long_entities(self, text: str) -> Iterator[tuple[int, int, int, float]]:
+        """:meth:`entities` of an island of any length, as ``(start, end, label, probability)`` in characters."""
+        cuts = array("q", [0])
+        cuts.extend(m.end() for m in _PIECE.finditer(text))
+        n = len(cuts) - 1
+
+        def arcs_from(first: int, last: int) -> dict[int, list[tuple[int, int, float]]]:
+            """``(end, label, score)`` of the segments that start at each of some pieces; a piece more on each side is
+            there for what touches their edges."""
+            low, high = max(0, first - 1), min(n, last + MAX_PIECES + 1)
+            begun: dict[int, list] = {}
+            for i, j, k, f in self._arcs(Island(text[cuts[low]:cuts[high]]), False):
+                if first <= low + i < last:
+                    begun.setdefault(low + i, []).append((low + j, k, sum(self.weights[f].tolist())))
+            return begun
+
+        moves = self.moves.tolist()
+        parts = [(a, min(n, a + CHUNK_PIECES)) for a in range(0, n, CHUNK_PIECES)]
+        enter, via = array("d"), bytearray(10 * (n + 1))  # sums to enter a label at a place; pieces and label before it
+        ahead: dict[int, list] = {0: [0.0] + [-math.inf] * 4}
+        best: dict[int, list] = {0: [0.0] + [-math.inf] * 4}
+        for first, last in parts:
+            begun = arcs_from(first, last)
+            for i in range(first, last):
+                sums, most = ahead.pop(i), best.pop(i)
+                into = [_log_sum([x + moves[y][z] for y, x in enumerate(sums)]) for z in range(5)] if i else list(moves[0])
+                enter.extend(into)
+                before = [max(range(5), key=lambda y: most[y] + moves[y][z]) for z in range(5)]
+                for j, k, s in begun[i]:
+                    to = ahead.setdefault(j, [-math.inf] * 5)
+                    to[k] = _log_sum([to[k], s + into[k]])
+                    top, got = best.setdefault(j, [-math.inf] * 5), most[before[k]] + moves[before[k]][k] + s
+                    if got > top[k]:
+                        top[k] = got
+                        via[10 * j + 2 * k:10 * j + 2 * k + 2] = bytes((j - i, before[k]))
+        whole = _log_sum(ahead[n])
+        at, k = n, max(range(5), key=lambda y: best[n][y])
+        chosen: dict[int, tuple[int, int]] = {}
+        while at:
+            back_by, last = via[10 * at + 2 * k:10 * at + 2 * k + 2]
+            if k:
+                chosen[at - back_by] = (at, k)
+            at, k = at - back_by, last
+        out: list[tuple[int, int, int, float]] = []
+        back: dict[int, list] = {n: [0.0] * 5}
+        for first, last in reversed(parts):
+            begun = arcs_from(first, last)
+            for i in range(last - 1, first - 1, -1):
+                into = [_log_sum([s + back[j][k] for j, label, s in begun[i] if label == k]) for k in range(5)]
+                if i in chosen:
+                    end, label = chosen[i]
+                    score = next(s for j, k, s in begun[i] if (j, k) == (end, label))
+                    out.append((cuts[i], cuts[end], label, math.exp(enter[5 * i + label] + score + back[end][label] - whole)))
+                back[i] = [_log_sum([moves[y][k] + into[k] for k in range(5)]) for y in range(5)]
+                back.pop(i + MAX_PIECES, None)
+        return reversed(out)
+
+
 def _gold(island: Island, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int]] | None:
     """The island's segmentation by base spans; None if a span is no candidate or spans overlap."""
     starts, ends = {a: i for i, a in enumerate(island.starts)}, {b: i + 1 for i, b in enumerate(island.ends)}
@@ -307,12 +380,15 @@ def more_spans(text: str, base: list[tuple[str, int, int]], field: Field, known:
     """Entities that the field adds to the base spans of a text."""
     out = []
     taken = sorted((a, b) for _, a, b in base)
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     for m in _ISLAND.finditer(text):
         a, b = m.span()
         if any(x <= a and b <= y + 1 for x, y in taken if x < b and y > a) or not re.search(r"@|(?:[0-9]\D{0,6}){4}", m[0]):
             continue
-        for at in range(a, b, 4 * MAX_ISLAND_CHARS):  # long islands in parts
-            made = Island(text[at:min(b, at + 4 * MAX_ISLAND_CHARS)])
+        if b - a > 4 * MAX_ISLAND_CHARS:
+            entities = field.long_entities(m[0])
+        else:
+            made = Island(m[0])
             if not made.candidates:
                 continue
             key = made.key()
@@ -320,10 +396,11 @@ def more_spans(text: str, base: list[tuple[str, int, int]], field: Field, known:
                 if len(known) > 20_000:
                     known.clear()
                 known[key] = field.entities(made)
-            for i, j, label, p in known[key]:
-                x, y = at + made.starts[i], at + made.ends[j - 1]
-                if p >= LEAST and not any(s < y and x < e for s, e in taken):
-                    out.append((KINDS[label - 1], x, y))
+            entities = [(made.starts[i], made.ends[j - 1], label, p) for i, j, label, p in known[key]]
+        for x, y, label, p in entities:
+            before = bisect_left(starts, a + y)  # base spans that start before the entity's end
+            if p >= LEAST and not (before and reach[before - 1] > a + x):
+                out.append((KINDS[label - 1], a + x, a + y))
     return out
 
 

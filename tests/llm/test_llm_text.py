@@ -112,6 +112,27 @@ def test_encode(vocabulary, tiktoken_encoding, text):
         vocabulary.decode(np.array([len(vocabulary.sizes)]), np.array([1]))
 
 
+def test_long_islands_are_decoded_whole():
+    r = random.Random(8)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    some = lambda: r.choice(["4539578763621486", "4716461583322103", f"+1 ({number(3)}) {number(3)}-{number(4)}", f"a{number(2)}@x.example.com",
+                             f"10.{r.randint(0, 255)}.3.{r.randint(0, 400)}", number(6), f"({number(2)}#", f"+{number(4)}"])
+    samples = {}
+    for _ in range(60):
+        made = pii.Island(r.choice([" ", "# "]).join(some() for _ in range(r.randint(1, 4))))
+        gold = pii._gold(made, pii.base_spans(made.text))
+        if gold is not None:
+            samples.setdefault((made.key(), tuple(gold)), [made, gold, 0])[2] += 1
+    field = pii.Field().train([tuple(x) for x in samples.values()])
+    text = " ".join(some() for _ in range(400))
+    whole = pii.Island(text)
+    want = [(whole.starts[i], whole.ends[j - 1], k, p) for i, j, k, p in field.entities(whole)]
+    assert len(whole.other) > 3 * pii.CHUNK_PIECES and len(text) > 4000 and list(field.long_entities(text)) == want
+    noisy = lambda at: "1 " * (at // 2) + "4539578763621486###4716461583322103## " + "1 " * 400
+    spans = {at: {(k, a - at, b - at) for k, a, b, _ in pii.all_spans(noisy(at), field, {})} for at in range(770, 806, 2)}
+    assert len(set(map(frozenset, spans.values()))) == 1
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head>
 <body class="with-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <!-- <p>no</p> --><div class="ad">Buy now</div><div id="sidebar"><p>Side words of some length here</p></div>
