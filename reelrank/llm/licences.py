@@ -1,13 +1,24 @@
 """Licence scan: sparse TF-IDF cosine of header lines and licence files to templates, then inheritance by directory.
 
-All on DataFrame functions.  Every line of a text that has a marker word is a
-candidate (licence files: every line with a word), so a scan keeps few rows;
-a file's lines meet no other file's.  Terms are weighted by their inverse
-document frequency among the templates (unknown terms weigh most, so a line
-that shares only common words stays far away).  A line's terms, and then its
-products with all templates, are summed by line: two small shuffles on keys
-that no file dominates.  The file's licence is the template of the largest
-cosine, if that is at least ``least``; of equal ones the first by name.
+All on DataFrame functions.  Units of a text are compared with templates:
+
+- lines with a marker word (licence files: all lines with a word), with
+  ``TEMPLATES``;
+- spans of words in paragraphs with a marker (licence files: all paragraphs),
+  however these are broken into lines, with ``NOTICES``: a span lies as a
+  notice would, of its length, round a word that anchors it (``ANCHORS``), so a
+  notice is found inside longer lines and over several lines;
+- SPDX identifiers, which name the licence (cosine 1; of an expression, the
+  first).
+
+So a scan keeps few rows, and a file's units meet no other file's.  Terms are
+weighted by their inverse document frequency among the templates (unknown
+terms weigh most, so a unit that shares only common words stays far away).  A
+unit's terms, and then its products with all templates, are summed by unit: two
+small shuffles on keys that no file dominates.  A template counts only where
+the unit has its decisive terms (``DECISIVE``: versions, Creative Commons
+kinds).  The file's licence is the template of the largest cosine, if that is
+at least ``least``; of equal ones the first by name.
 
 A directory's licence is the one of its licence files (the largest cosine,
 then the first path).  Files without a licence of their own take it from the
@@ -15,8 +26,8 @@ nearest ancestor directory that has one.  That join runs on distinct
 directories, each with its ancestors, not on files; files then join their
 directory, and AQE splits a directory that holds a third of all files.
 
-Templates and weights are a literal table (checked: at most ``MAX_TERMS``
-terms), the only broadcast.
+Templates, weights and places of anchors are literal tables (checked: at most
+``MAX_TERMS`` terms), the only broadcasts.
 
 Defined results: a null or empty text has no licence of its own; a null path
 is the empty path, in the root directory; rows with one path are one file, of
@@ -28,6 +39,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +76,49 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Further notices and titles of licence texts, for spans of words.
+NOTICES = TEMPLATES | {
+    "AGPL-3.0 (title)": "GNU Affero General Public License Version 3, 19 November 2007",
+    "Apache-2.0 (title)": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+                          "REPRODUCTION, AND DISTRIBUTION",
+    "BSD-3-Clause (text)": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                           "promote products derived from this software without specific prior written permission.",
+    "CC0-1.0 (title)": "Creative Commons Legal Code CC0 1.0 Universal",
+    "GPL-2.0 (notice)": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                        "General Public License as published by the Free Software Foundation; either version 2 of the License",
+    "GPL-2.0 (title)": "GNU General Public License Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.",
+    "GPL-3.0 (title)": "GNU General Public License Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "LGPL-2.1 (notice)": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                         "General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+    "LGPL-2.1 (title)": "GNU Lesser General Public License Version 2.1, February 1999",
+    "LGPL-3.0 (title)": "GNU Lesser General Public License Version 3, 29 June 2007",
+    "MIT (title)": "The MIT License (MIT)",
+    "MIT (under)": "Licensed under the MIT License.",
+    "MPL-2.0 (title)": "Mozilla Public License Version 2.0",
+}
+#: Words in spans that a notice can be laid round: markers, and first words of notices without one.
+ANCHORS = MARKERS + "|^(permission|unencumbered|gnu)$"
+#: For templates of these licences, one term of each group must be in the unit, as versions and kinds weigh little.
+DECISIVE = {
+    "AGPL-3.0": (("3", "3.0", "v3", "v3.0"), ("affero", "agpl")),
+    "Apache-2.0": (("2.0", "2", "v2", "v2.0"), ("apache",)),
+    "CC-BY-4.0": (("4.0",), ("by", "attribution")),
+    "CC-BY-NC-4.0": (("4.0",), ("by-nc", "noncommercial")),
+    "CC-BY-SA-4.0": (("4.0",), ("by-sa", "sharealike")),
+    "GPL-2.0": (("2", "2.0", "v2", "v2.0"), ("gnu", "gpl")),
+    "GPL-3.0": (("3", "3.0", "v3", "v3.0"), ("gnu", "gpl")),
+    "LGPL-2.1": (("2.1", "v2.1"), ("lesser", "lgpl")),
+    "LGPL-3.0": (("3", "3.0", "v3", "v3.0"), ("lesser", "lgpl")),
+    "MIT": (("mit", "charge"),),
+    "MPL-2.0": (("2.0", "2", "v2", "v2.0"), ("mozilla", "mpl")),
+}
+SPDX = r"(?i)spdx-licen[cs]e-identifier:[\s(]*([a-z0-9][a-z0-9.+-]*)"
+
+
+def plain_name(name: str) -> str:
+    """A template's licence."""
+    return re.sub(r" \(.*\)$", "", name)
+
 
 def weights(templates: dict[str, str] | None = None) -> tuple[dict[str, tuple[float, list[float]]], float]:
     """For each term its inverse document frequency and its weight in each template (by name, of length one); and the
@@ -77,26 +132,71 @@ def weights(templates: dict[str, str] | None = None) -> tuple[dict[str, tuple[fl
     return {x: (w, [t[x] * w / norm for t, norm in zip(texts, norms)]) for x, w in sorted(idf.items())}, math.log(1 + len(texts)) + 1
 
 
+def _scored(units: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """``path, cosine, licence`` of the units (``path, unit``) that are like a template."""
+    spark, names = units.sparkSession, sorted(templates)
+    known, unknown = weights(templates)
+    table = spark.createDataFrame([(x, w, v) for x, (w, v) in known.items()], "term string, idf double, in_template array<double>")
+    terms = (units.select("path", "unit", F.explode(F.regexp_extract_all(F.lower("unit"), F.lit(f"({TERM})"), 1)).alias("term"))
+             .groupBy("path", "unit", "term").agg(F.count("*").alias("tf")))
+    weighed = terms.join(F.broadcast(table), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
+    dots = [F.sum(F.coalesce(F.col("in_template")[i], F.lit(0.0)) * F.col("w")) / F.sqrt(F.sum(F.col("w") * F.col("w")))
+            for i in range(len(names))]
+    groups = sorted({g for x in names for g in DECISIVE.get(plain_name(x), ())})
+    scored = weighed.groupBy("path", "unit").agg(F.array(*[F.round(d, 9) for d in dots]).alias("cosines"), F.array(
+        *[F.max(F.col("term").isin(*g)) for g in groups]).alias("has"))
+    allowed = [[F.col("has")[groups.index(g)] for g in DECISIVE.get(plain_name(x), ())] for x in names]
+    scored = scored.select("path", F.array(*[
+        F.when(reduce(Column.__and__, of), F.col("cosines")[i]).otherwise(0.0) if of else F.col("cosines")[i]
+        for i, of in enumerate(allowed)]).alias("cosines"))
+    return scored.select("path", F.array_max("cosines").alias("cosine"), F.element_at(
+        F.lit(names), F.array_position("cosines", F.array_max("cosines")).cast("int")).alias("licence")).where(F.col("cosine") >= least)
+
+
+def _places(templates: dict[str, str]) -> list[tuple[str, int, int]]:
+    """``(anchor, words before it, words)``: how templates lie round the words that can anchor them."""
+    out = set()
+    for t in templates.values():
+        words = re.findall(TERM, t.lower())
+        at = [i for i, x in enumerate(words) if re.search(ANCHORS, x)]
+        out |= {(words[i], i, len(words)) for i in {*at[:2], *at[-1:]}}
+    return sorted(out)
+
+
+def _spans(marked: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """``path, unit``: the words of paragraphs where a template may lie; a paragraph ends at a line without words."""
+    table = marked.sparkSession.createDataFrame(_places(templates), "anchor string, ahead int, n int")
+    paragraphs = F.split("text", r"\n(?:[^A-Za-z0-9\n]*\n)+")
+    wanted = lambda x: x.rlike(MARKERS) | F.col("path").rlike(LICENCE_FILE)
+    words = (marked.select("path", F.explode(F.filter(paragraphs, wanted)).alias("p"))
+             .select("path", F.regexp_extract_all(F.lower("p"), F.lit(f"({TERM})"), 1).alias("words")))
+    found = F.filter(F.transform("words", lambda x, i: F.struct(i.alias("at"), x.alias("anchor"))), lambda x: x["anchor"].rlike(ANCHORS))
+    # a window wide enough for every template goes along with each anchor, not the whole paragraph
+    wide = max(n for _, _, n in _places(templates))
+    first = lambda at: F.greatest(at - wide, F.lit(0))
+    windows = words.select("path", F.explode(F.transform(found, lambda x: F.struct(
+        x["anchor"].alias("anchor"), (x["at"] - first(x["at"])).alias("at"),
+        F.slice("words", first(x["at"]) + 1, F.lit(2 * wide + 1)).alias("words")))).alias("a")).select("path", "a.*")
+    start = F.greatest(F.col("at") - F.col("ahead"), F.lit(0))
+    return (windows.join(F.broadcast(table), "anchor").select("path", F.array_join(
+        F.slice("words", start + 1, F.col("at") - F.col("ahead") + F.col("n") - start), " ").alias("unit")).distinct())
+
+
 def own_licences(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST,
                  templates: dict[str, str] | None = None) -> DataFrame:
     """``path, licence, cosine`` of the files with a licence of their own."""
-    spark, names = files.sparkSession, sorted(templates or TEMPLATES)
-    known, unknown = weights(templates)
-    table = spark.createDataFrame([(x, w, v) for x, (w, v) in known.items()], "term string, idf double, in_template array<double>")
     marked = files.select(F.coalesce(F.col(path), F.lit("")).alias("path"), F.col(text).alias("text")).where(
         F.col("text").rlike(MARKERS) | F.col("path").rlike(LICENCE_FILE))
     wanted = lambda x: x.rlike(MARKERS) | (F.col("path").rlike(LICENCE_FILE) & x.rlike("[A-Za-z0-9]"))
-    lines = marked.select("path", F.explode(F.filter(F.split("text", "\n"), wanted)).alias("line")).distinct()
-    terms = (lines.select("path", "line", F.explode(F.regexp_extract_all(F.lower("line"), F.lit(f"({TERM})"), 1)).alias("term"))
-             .groupBy("path", "line", "term").agg(F.count("*").alias("tf")))
-    weighed = terms.join(F.broadcast(table), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    dots = [F.sum(F.coalesce(F.col("in_template")[i], F.lit(0.0)) * F.col("w")) / F.sqrt(F.sum(F.col("w") * F.col("w")))
-            for i in range(len(names))]
-    scored = weighed.groupBy("path", "line").agg(F.array(*[F.round(d, 9) for d in dots]).alias("cosines"))
-    best = scored.select("path", F.array_max("cosines").alias("cosine"), F.element_at(
-        F.lit(names), F.array_position("cosines", F.array_max("cosines")).cast("int")).alias("licence"))
-    return (best.where(F.col("cosine") >= least)
-            .groupBy("path").agg(F.min(F.struct((-F.col("cosine")).alias("order"), "licence")).alias("m"))
+    lines = marked.select("path", F.explode(F.filter(F.split("text", "\n"), wanted)).alias("unit")).distinct()
+    named = marked.select("path", F.explode(F.regexp_extract_all("text", F.lit(SPDX), 1)).alias("id")).distinct()
+    ids = {x.lower(): x for x in map(plain_name, templates or NOTICES)}
+    plain = F.regexp_replace("id", r"(?i)(-only|-or-later|\+|[.+-]+)$", "")
+    spdx = named.select("path", F.lit(1.0).alias("cosine"), F.coalesce(
+        *[F.when(F.lower(plain) == x, F.lit(name)) for x, name in sorted(ids.items())], plain).alias("licence"))
+    best = (_scored(lines, templates or TEMPLATES, least).unionByName(_scored(_spans(marked, templates or NOTICES), templates or NOTICES, least))
+            .unionByName(spdx))
+    return (best.groupBy("path").agg(F.min(F.struct((-F.col("cosine")).alias("order"), "licence")).alias("m"))
             .select("path", F.regexp_replace("m.licence", r" \(.*\)$", "").alias("licence"), (-F.col("m.order")).alias("cosine")))
 
 

@@ -236,6 +236,26 @@ def test_licences(spark, none):
     assert licences.scan(none.select(F.lit("p").alias("path"), "text")).count() == 0
 
 
+
+def test_licence_notices_are_found_as_units(spark):
+    gpl = "{0} This program is free software; you can redistribute it and/or modify\n{0} it under the terms of the GNU General Public " \
+          "License as published by\n{0} the Free Software Foundation; either version 2 of the License, or\n{0} any later version."
+    files = {
+        "a.py": ("Some words first. Released under the MIT License. And then more words follow, all in one long line of text.", "MIT"),
+        "b.py": ("# SPDX-License-Identifier: MIT\nx", "MIT"), "c.py": ("// SPDX-License-Identifier: (Apache-2.0 OR MIT)", "Apache-2.0"),
+        "d.py": ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), "e.py": (gpl.format("#"), "GPL-2.0"),
+        "f.py": ("GNU GENERAL PUBLIC LICENSE", None), "g.py": ("This program is free software; you can redistribute it and/or modify", None),
+        "h/COPYING": ("   GNU GENERAL PUBLIC LICENSE\n     Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.", "GPL-2.0"),
+        "i.py": ("/*\n * Licensed under the Apache License, Version 2.0 (the License);\n * you may not use this file except in\n"
+                 " * compliance with the License.\n */\ncode();", "Apache-2.0"),
+        "j.py": ("The licence of this car was renewed by the office of roads and the public was told of the warranty.", None),
+        "k.py": ("words " * 5000 + "Licensed under CC BY-SA 4.0. " + "words " * 5000, "CC-BY-SA-4.0"),
+    }
+    df = spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")
+    got = {r.path: r.licence for r in licences.own_licences(df).collect()}
+    assert got == {p: x for p, (_, x) in files.items() if x}
+
+
 # ---------------------------------------------------------------- substring dedup
 
 @pytest.mark.parametrize("settings", [{}, {"block_bytes": 400, "slice_bits": 6, "range_windows": 50}, {"block_bytes": 900, "depth": 3, "slice_bits": 11}])
