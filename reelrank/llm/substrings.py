@@ -5,8 +5,12 @@ window over it also starts earlier: in a document of a smaller id, or earlier
 in its own.
 
 Plan.  Documents are cut into blocks of about ``block_bytes`` of text, in the
-order of their ids, and written once to a table bucketed by block, so later
-passes read their blocks without moving text again.
+order of their ids, texts and a number that tells equal rows apart, and written
+once to a table bucketed by block, so later passes read their blocks without
+moving text again.  Cuts are quantiles of the ids weighted by bytes; where an id
+(or no id) fills blocks by itself, its rows are cut by the first characters of
+their texts, by more of them where these fill blocks, and equal rows anywhere.
+A block is larger by what samples miss, or where one text is.
 
 1. Sketch: each block sends, for each row of the sketch, the sorted cells that
    its windows touch, cut by ranges of cells ("slices") and packed as gaps
@@ -23,8 +27,9 @@ passes read their blocks without moving text again.
    lose the words below them.
 
 No window is lost: estimates are never too low.  Windows count as equal if two
-independent 64-bit hashes agree.  The driver gets the number of bytes and the
-bounds of the blocks, nothing else.
+independent 64-bit hashes agree.  The driver gets the number of bytes, the
+bounds of the blocks, and first characters of sampled texts of ids that fill
+blocks, nothing else.
 
 Defined results: a null or empty text has no words; rows with one id are put
 in the order of their texts, repeated rows one after another, so the second of
@@ -36,6 +41,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -53,6 +59,9 @@ DEPTH = 2  # rows of the sketch
 SLICE_BITS = 23  # cells of one slice of the sketch
 RANGE_WINDOWS = 1 << 22  # windows for each range of hashes
 MAX_BUCKETS = 50_000
+SAMPLES = 64  # of ids for a block
+TEXT_SAMPLES = 8  # of texts for a block of one id
+HEAD_CHARS = 256  # of a sampled text; 16 times as many where these fill blocks
 
 
 def _packed(cells: np.ndarray) -> bytes:
@@ -238,20 +247,72 @@ def _remove(plan: _Plan):
     return run
 
 
+def _sampled(docs: DataFrame, block_bytes: int, samples: int) -> tuple[DataFrame, float]:
+    """``docs`` with column ``copies``, on average ``samples`` for ``block_bytes`` of text, and the bytes of a copy."""
+    unit = max(1.0, block_bytes / samples)
+    share = (F.xxhash64("tie", F.lit(samples)).bitwiseAND((1 << 20) - 1) / F.lit(float(1 << 20)))
+    copies = F.floor(F.octet_length("text") / F.lit(unit) + share).cast("int")
+    return docs.withColumn("copies", copies).where(F.col("copies") > 0), unit
+
+
+def _text_cuts(docs: DataFrame, ids: list[int], block_bytes: int) -> dict[int, list[tuple[bytes, int]]]:
+    """For each of the ids sorted ``(text, tie)``: a row belongs behind all cuts that are less than its own."""
+    rows, unit = _sampled(docs.where(F.col("id").isin(ids)), block_bytes, TEXT_SAMPLES)
+    least, most = -(1 << 63), (1 << 63) - 1
+    cuts: dict[int, list[tuple[bytes, int]]] = {x: [] for x in ids}
+    size, within = HEAD_CHARS, None
+    while within is None or within:
+        some = rows
+        if within:  # only rows below the heads that fill blocks
+            table = docs.sparkSession.createDataFrame(within, "id long, head string")
+            some = rows.withColumn("head", F.substring("text", 1, size // 16)).join(F.broadcast(table), ["id", "head"], "left_semi")
+        heads = (some.groupBy("id", F.substring("text", 1, size).alias("head"), (F.char_length("text") > size).alias("longer"))
+                 .agg((F.sum("copies") * unit).alias("bytes")).collect())
+        within, place, filled = [], None, 0.0
+        for x in sorted(heads, key=lambda r: (r["id"], r["head"].encode(), r["longer"])):
+            head = x["head"].encode()
+            parent = (x["id"], x["head"][:size // 16] if size > HEAD_CHARS else "")
+            if place != parent:
+                place, filled = parent, 0.0
+            if filled and filled + x["bytes"] > block_bytes:
+                cuts[x["id"]].append((head, most if x["longer"] else least))
+                filled = 0.0
+            filled += x["bytes"]
+            if x["bytes"] <= block_bytes:
+                continue
+            if x["longer"]:
+                within.append((x["id"], x["head"]))
+            else:  # equal rows, of evenly spread ties
+                n = math.ceil(x["bytes"] / block_bytes)
+                cuts[x["id"]] += [(head, least + (k << 64) // n) for k in range(1, n)]
+        size *= 16
+    return {x: sorted(c) for x, c in cuts.items()}
+
+
 def _blocked(docs: DataFrame, text_bytes: int, block_bytes: int) -> DataFrame:
-    """``docs`` with column ``blk``, in the order of ids, as a table bucketed by it."""
+    """``docs`` with column ``blk``, in the order of ids and texts, as a table bucketed by it."""
     spark = docs.sparkSession
     n = max(1, -(-text_bytes // block_bytes))
     at = [k / n for k in range(1, n)]
-    bounds = np.array(docs.agg(F.percentile_approx("doc_id", at, max(10_000, 10 * n))).first()[0] or [] if at else [], dtype=np.int64)
+    keyed = docs.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("tie", F.xxhash64(F.monotonically_increasing_id()))
+    found: list[int] = []
+    if at:
+        copies = _sampled(keyed, block_bytes, SAMPLES)[0].select(F.explode(F.array_repeat("id", F.col("copies"))).alias("id"))
+        found = copies.agg(F.percentile_approx("id", at, max(10_000, 10 * n))).first()[0] or []
+    full = sorted({x for x, y in zip(found, found[1:]) if x == y})
+    cuts = _text_cuts(keyed, full, block_bytes) if full else {}
+    bounds = np.array(sorted([*set(found), *(x for x, c in cuts.items() for _ in c)]), dtype=np.int64)
 
     @F.pandas_udf("int")
-    def block(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="left").astype(np.int32))
-
-    id_or_least = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    name, buckets = f"reelrank_blocks_{uuid.uuid4().hex}", min(n, MAX_BUCKETS)
-    (docs.withColumn("blk", block(id_or_least)).repartition(buckets, "blk")
+    def block(ids: pd.Series, texts: pd.Series, ties: pd.Series) -> pd.Series:
+        out = np.searchsorted(bounds, ids.to_numpy(), side="left")
+        for i in np.flatnonzero(texts.notna().to_numpy()) if cuts else ():
+            out[i] += bisect_left(cuts[int(ids.iat[i])], (texts.iat[i].encode(), int(ties.iat[i])))
+        return pd.Series(out.astype(np.int32))
+
+    text = F.when(F.col("id").isin(full), F.col("text")) if full else F.lit(None).cast("string")
+    name, buckets = f"reelrank_blocks_{uuid.uuid4().hex}", min(len(bounds) + 1, MAX_BUCKETS)
+    (keyed.withColumn("blk", block("id", text, "tie")).drop("id", "tie").repartition(buckets, "blk")
      .write.format("parquet").option("path", scratch_path(spark, "blocks")).option("compression", "zstd")
      .bucketBy(buckets, "blk").saveAsTable(name))
     return spark.table(name)

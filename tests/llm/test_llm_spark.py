@@ -269,6 +269,27 @@ def test_substrings(spark, settings):
     assert rows_of(got) == sorted(brute.substrings(rows, 6), key=repr)
 
 
+
+def test_substring_blocks_are_bounded_by_bytes(spark):
+    r = random.Random(6)
+    text = lambda: " ".join(r.choice("abcdefgh") for _ in range(r.randint(10, 40)))
+    head = "the same beginning of all texts " * 10
+    rows = [(None, text()) for _ in range(150)] + [(5, head + text()) for _ in range(60)] + [(7, "x y z w v u t s r q")] * 200
+    rows += [(i, text()) for i in range(10, 100)] + [(i, text() * 20) for i in range(100, 110)]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    total = sum(len(t) for _, t in rows)
+    blocks = substrings._blocked(docs, total, 4000).collect()
+    sizes = {}
+    for x in blocks:
+        sizes[x.blk] = sizes.get(x.blk, 0) + len(x.text)
+    assert len(blocks) == len(rows) and max(sizes.values()) <= 3 * 4000 and len(sizes) >= total // 4000 // 2
+    order = [x.blk for x in sorted(blocks, key=lambda x: (x.doc_id is not None, x.doc_id or 0, x.text, x.blk))]
+    assert order == sorted(order)
+    got = substrings.remove_repeats(docs, window=6, block_bytes=4000, slice_bits=11, range_windows=500)
+    assert rows_of(got) == sorted(brute.substrings(rows, 6), key=repr)
+
+
 def test_substring_query(spark):
     want = sorted((d, n, m, brute.sha(k)) for d, n, m, k in brute.substrings(small(spark), 20))
     assert sorted(tuple(r) for r in queries.op7_substring_dedup(spark, SF_SMALL).collect()) == want
