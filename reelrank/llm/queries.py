@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, html, leaks, licences, pii, quality, shards, simhash, substrings, urls
+from reelrank.llm import bpe, centroids, html, leaks, licences, negatives, packing, pii, quality, shards, simhash, substrings, urls
 from reelrank.llm.oracle import ORACLE
 from reelrank.llm.tables import read
 
@@ -108,3 +108,31 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(licences.documents_as_files(docs))
     doc_id = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
     return found.select(doc_id.alias("doc_id"), "path", "own", F.round("cosine", 6).alias("cosine"), "inherited", "from_dir", "licence")
+
+
+@register
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and squared distance of every vector of 64 components after three rounds."""
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def word_bpe() -> str:
+    """The tokenizer file of the packing query; found where it is installed."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+@register
+def op12_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), word_bpe()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read(spark, sf_dir, "embeddings"), label)
