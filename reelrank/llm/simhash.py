@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,34 +163,49 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return _labelled(prints, classes, near_pairs(classes, crowd))
 
 
-def _labelled(prints: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    # fingerprints are the nodes of the components, the smallest id of a component is its label
+def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the ``root`` of each fingerprint: fingerprints are the nodes of the components."""
     roots = components(links, "simhash-links")
-    of = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = of.groupBy("root").agg(F.min("least").alias("component_id"))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def _labelled(prints: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    of = _rooted(classes, links)
+    ids = of.groupBy("root").agg(F.min("least").alias("component_id"))  # the smallest id of a component is its label
     label = of.join(ids, "root").select("fp", "component_id")
     return prints.join(label, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` without those that copy a document of a smaller id.
+def row_key(docs: DataFrame) -> Column:
+    """128 bits of a row's values, nulls told from empty ones: equal for equal rows only."""
+    values = [*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"`{c}`").isNull() for c in docs.columns)]
+    return F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit("again"), *values).alias("b"))
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+               crowd: int = CROWD) -> DataFrame:
+    """Exactly one row of ``docs`` of every component of its rows: the one of the smallest id.
 
-    Rows with one id are one document: it goes if any of its rows copies a smaller id, else one of its rows stays.
-    Rows without an id have no place in the order of ids and stay.
+    Rows of one id may have different texts and are judged each by its own.  Of a component's rows with one id the
+    one of the smaller hash of its values stays; rows without an id come after all that have one; of rows equal in
+    every column one stays.
     """
-    found = group(docs, doc_id, text, shingle).where(F.col("doc_id").isNotNull())
     key = unused(docs, "key")
-    ids = stored(found.groupBy(F.col("doc_id").alias(key)).agg(
-        F.max(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count("*").alias("n")), "simhash-ids")
+    rows = docs.select(row_key(docs).alias("key"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    prints = stored(fingerprints(rows, "text", "fp", shingle), "simhash-fp")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    classes = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "simhash-classes")
+    of = stored(_rooted(classes, near_pairs(classes.select("fp"), crowd)), "simhash-roots")
+    winner = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias("key"))
+    # every distinct row of the table, how often it comes, and whether it stays
+    counts = prints.groupBy("key").agg(F.count("*").alias("n"))
+    ids = stored(counts.join(winner.withColumn("stays", F.lit(True)), "key", "left"), "simhash-ids")
     # hashed by shuffle at every size: what goes grows with the corpus, so it is never broadcast, and the texts,
     # which this deals out once, need no sort
-    gone = ids.where("copy").select(key).hint("shuffle_hash")
-    kept = docs.join(gone, F.col(f"`{doc_id}`") == F.col(key), "left_anti")
-    again = ids.where("NOT copy AND n > 1").select(key).hint("shuffle_hash")
-    if again.isEmpty():
-        return kept
-    match = F.col(f"`{doc_id}`") == F.col(key)
-    return kept.join(again, match, "left_anti").unionByName(
-        kept.join(again, match, "left_semi").dropDuplicates([doc_id]))
+    gone = ids.where("stays IS NULL").select(F.col("key").alias(key)).hint("shuffle_hash")
+    kept = docs.withColumn(key, row_key(docs)).join(gone, key, "left_anti")
+    again = ids.where("stays AND n > 1").select(F.col("key").alias(key)).hint("shuffle_hash")
+    if not again.isEmpty():
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

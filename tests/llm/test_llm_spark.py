@@ -181,9 +181,48 @@ def test_simhash_edges(odd, none, clash):
     assert simhash.group(none).count() == 0 and simhash.keep_first(none).count() == 0
     kept = simhash.keep_first(clash)
     assert kept.columns == clash.columns
-    first = dict(zip([r[0] for r in rows], brute.components(rows)))
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(d for d, c in first.items() if d is not None and d == c)
-    assert sum(r.doc_id is None for r in kept.collect()) == 2
+    one_of_each(odd, simhash.keep_first(odd))
+    one_of_each(odd, kept)
+
+
+def classes_of(rows):
+    """Rows ``(doc_id, text, ...)`` to the number of their component: rows, not ids, are its nodes."""
+    return brute.components([(n, brute.fingerprint(r[1])) for n, r in enumerate(rows)])
+
+
+def one_of_each(docs, kept):
+    """Exactly one row of every component stays, of its smallest id (rows without one last)."""
+    rows = [tuple(r)[:5] for r in docs.collect()]
+    groups = {}
+    for r, c in zip(rows, classes_of(rows)):
+        groups.setdefault(c, []).append(r)
+    got = [tuple(r)[:5] for r in kept.collect()]
+    assert len(got) == len(groups)
+    left = list(got)
+    for members in groups.values():
+        ids = [r[0] for r in members if r[0] is not None]
+        fits = [r for r in members if r[0] == (min(ids) if ids else None)]
+        hit = [r for r in left if r in fits]
+        assert hit, members
+        left.remove(hit[0])
+    assert not left
+
+
+def test_keep_first_by_rows(spark):
+    """Repeated ids of different texts, equal rows without an id, copies across ids: no text vanishes."""
+    a, b, c = "a b c d e f", "completely different words in this other text here", "yet another one that stands for itself alone"
+    rows = [(1, a), (1, b), (2, b), (3, c), (3, c), (3, c), (None, a), (None, "one row of no id at all"), (None, "one row of no id at all"),
+            (4, None), (5, ""), (None, None), (-7, c), (6, a + " "), (6, "sixth document with its own words entirely")]
+    docs = spark.createDataFrame([(i, t, None, "s", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    one_of_each(docs, simhash.keep_first(docs))
+    same = spark.createDataFrame([(i, t, None, "s", 0) for i, t in rows], SCHEMA)
+    one_of_each(same, simhash.keep_first(same))
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    many = [(rng.choice([None, *range(12)]), " ".join(rng.sample(words, 6)) if rng.random() < 0.5 else " ".join(words[:rng.randrange(3, 9)]),
+             None, "s", rng.randrange(2)) for _ in range(200)]
+    docs = spark.createDataFrame(many, SCHEMA)
+    one_of_each(docs, simhash.keep_first(docs))
 
 
 # ------------------------------------------------------------------------- PII
