@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from reelrank import schemas  # noqa: E402
 from reelrank.operators import content, latent, realtime, stats  # noqa: E402
 from reelrank.operators.factored import HEADS, FactoredSims  # noqa: E402
+from reelrank.operators.history import UserHistory  # noqa: E402
 from reelrank.plans import jobs  # noqa: E402
 from reelrank.plans.catalog import FIXTURE_GENRES  # noqa: E402
 from reelrank.session import build_session, scratch_path  # noqa: E402
@@ -76,12 +77,13 @@ def main() -> None:
     # the streaming job over the whole event table (file source, one trigger)
     src = scratch_path(spark, "bench_stream_in")
     fixtures.rating_messages(events.repartitionByRange("timestamp").sortWithinPartitions("timestamp")).write.text(src)
-    bucketed = tables.read_ratings(spark, paths["rating"], keep_layout=True)
+    timed("user_history", lambda: jobs.history_job(ratings, f"{root}/history", USER_BUCKETS))
+    history = UserHistory.read(spark, f"{root}/history", USER_BUCKETS)
 
     def stream():
-        q = jobs.realtime_job(spark, streaming.rating_stream(spark, "text", src), bucketed,
+        q = jobs.realtime_job(spark, streaming.rating_stream(spark, "text", src), history,
                               f"{root}/content", f"{root}/rt", scratch_path(spark, "bench_stream_ckpt"),
-                              trigger={"availableNow": True}, user_buckets=USER_BUCKETS)
+                              trigger={"availableNow": True}, buckets=USER_BUCKETS)
         q.awaitTermination()
     timed("stream_recs", stream)
     n_class_pairs = spark.read.parquet(out[HEADS]).count()

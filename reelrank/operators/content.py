@@ -16,12 +16,16 @@ Plan (all DataFrame/SQL, no UDF, nothing collected):
   normalised, terms ordered rarest first, and only the shortest prefix whose
   remaining suffix has norm <= threshold is indexed.  A pair above threshold
   shares a prefix term of both (Cauchy-Schwarz), so nothing is lost.  Each
-  candidate pair is met once (at its first shared prefix term) in a
-  per-term grid-salted join and scored there with both full vectors.
+  candidate pair is met once, at its first shared prefix term, in a per-term
+  grid-salted join of entries that carry two numbers: the term's weight and
+  the norm of the rest.  They bound the pair's cosine, and only pairs whose
+  bound reaches the threshold fetch the two vectors.
 * What is stored for the real-time job stays factored by class
   (``operators.factored``).  Movie pairs are expanded on demand only, by
-  chunks of members dealt out evenly (:meth:`ContentModel.pairs`).  With
-  ``k`` the per-movie lists are cut exactly without expanding all pairs.
+  chunks of members dealt out evenly (:meth:`ContentModel.pairs`), and
+  per-movie lists as numbered chunks of bounded length
+  (:meth:`ContentModel.lists`); with ``k`` they are cut exactly without
+  expanding all pairs.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 
 from reelrank import schemas
 from reelrank.functions.columns import java_split, sorted_recs
+from reelrank.operators.ranks import numbered
+from reelrank.session import written
 
 # Slack below the threshold for the prefix bound, so floating rounding in the
 # suffix norms can only make prefixes longer (more candidates), never shorter.
@@ -41,6 +47,9 @@ PREFIX_SLACK = 1e-6
 # Movies of one class expanded together.
 CHUNK = 64
 
+# Entries in a row of the list table.
+LIST_CHUNK = 256
+
 # Grid step of the candidate join: a term shared by c classes is split into a
 # ceil(c / SALT_ROWS)-square grid of cells, so its quadratic pair work spreads
 # over many tasks (about SALT_ROWS**2 pairs per cell) instead of one.
@@ -160,38 +169,36 @@ class ContentModel:
         return df.persist() if self.keep else df
 
     def _compute_prefix_entries(self) -> DataFrame:
-        """(ckey, term, before, vec, look): one row per prefix term of each class.
+        """(ckey, term, before, u, rest): one row per prefix term of each class.
 
         Terms are ordered rarest first (ties by term) -- one global order, so
         the prefix argument holds for every pair.  ``before`` lists the
-        class's prefix terms that precede ``term``; ``vec`` carries the full
-        normalised vector for the exact dot product and ``look`` the same by
-        term (a dense array in hash mode).
+        class's prefix terms that precede ``term``, ``u`` is the term's weight
+        and ``rest`` the norm of the vector after it.
         """
         bound = max(self.threshold - PREFIX_SLACK, 0.0)
         ordered = F.sort_array(F.transform("vec", lambda x: F.struct(x["df"], x["term"], x["u"])))
+        norm = lambda n: F.sqrt(F.aggregate(F.slice("p", n, F.size("p")), F.lit(0.0),
+                                            lambda acc, y: acc + y["u"] * y["u"]))
         suffix = F.transform("p", lambda x, i: F.struct(
-            x["term"].alias("term"),
-            F.aggregate(F.slice("p", i + 1, F.size("p")), F.lit(0.0),
-                        lambda acc, y: acc + y["u"] * y["u"]).alias("suffix")))
-        prefix_terms = F.transform(F.filter("s", lambda x: x["suffix"] > bound * bound), lambda x: x["term"])
-        per_class = (self.vectors
-                     .select("ckey", "vec", ordered.alias("p"))
-                     .select("ckey", "vec", suffix.alias("s"))
-                     .select("ckey", F.transform("vec", lambda x: F.struct(x["term"], x["u"])).alias("vec"),
-                             prefix_terms.alias("prefix"))
-                     .select("ckey", "vec", "prefix", F.map_from_entries("vec").alias("look")))
-        if self.num_features:  # hashed terms: a dense array is read by position
-            slots = F.sequence(F.lit(0), F.lit(self.num_features - 1))
-            per_class = per_class.select("ckey", "vec", "prefix", F.transform(
-                slots, lambda i: F.coalesce(F.try_element_at("look", i.cast("bigint")), F.lit(0.0))).alias("look"))
-        return (per_class
-                .select("ckey", "vec", "look", F.posexplode_outer("prefix").alias("pos", "term"), "prefix")
+            x["term"].alias("term"), x["u"].alias("u"), norm(i + 1).alias("with"), norm(i + 2).alias("rest")))
+        return (self.vectors
+                .select("ckey", ordered.alias("p"))
+                .select("ckey", F.filter(suffix, lambda x: x["with"] > bound).alias("s"))
+                .select("ckey", F.transform("s", lambda x: x["term"]).alias("prefix"), F.posexplode_outer("s").alias("pos", "s"))
                 .filter(F.col("pos").isNotNull())  # see genre_tokens
-                .select("ckey", "term", F.slice("prefix", 1, F.col("pos")).alias("before"), "vec", "look"))
+                .select("ckey", "s.term", F.slice("prefix", 1, F.col("pos")).alias("before"), "s.u", "s.rest"))
+
+    def _term_cells(self) -> DataFrame:
+        """The prefix entries with their term's grid size ``s``."""
+        e = self._prefix_entries()
+        grid = (e.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+                .select("term", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("s")))
+        return e.join(grid, "term").withColumn("own", F.pmod(F.xxhash64("ckey"), F.col("s")).cast("int"))
 
-    def _term_join(self) -> DataFrame:
-        """Self-join of prefix entries on a shared term, grid-salted per term.
+    def _term_join(self, least: float | None = None) -> DataFrame:
+        """Self-join of prefix entries on a shared term, grid-salted per term; with ``least`` only pairs whose cosine
+        can be above it (``most``).
 
         Each pair of classes sharing prefix terms is met once, at its first
         shared prefix term.  A term held by ``c`` classes is split into an
@@ -208,10 +215,7 @@ class ContentModel:
         spark = self.vectors.sparkSession
         parallelism = max(spark.sparkContext.defaultParallelism,
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
-        e = self._prefix_entries()
-        grid = (e.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
-                .select("term", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("s")))
-        e = e.join(grid, "term").withColumn("own", F.pmod(F.xxhash64("ckey"), F.col("s")).cast("int"))
+        e = self._term_cells()
         every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
         left = (e.select("*", F.col("own").alias("gr"), every.alias("gc"))
                 .repartition(parallelism, "term", "gr", "gc").alias("a"))
@@ -219,13 +223,26 @@ class ContentModel:
                  .repartition(parallelism, "term", "gr", "gc").alias("b"))
         cond = ((F.col("a.term") == F.col("b.term")) & (F.col("a.gr") == F.col("b.gr"))
                 & (F.col("a.gc") == F.col("b.gc")) & (F.col("a.ckey") < F.col("b.ckey")))
+        if least is not None:
+            cond = cond & (F.col("a.u") * F.col("b.u") + F.col("a.rest") * F.col("b.rest") > least)
         return (left.join(right, cond)
-                .filter(~F.arrays_overlap(F.col("a.before"), F.col("b.before"))))
+                .filter(~F.arrays_overlap(F.col("a.before"), F.col("b.before")))
+                .select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb")))
 
     def candidate_pairs(self) -> DataFrame:
         """(ca, cb) with ca < cb sharing a prefix term (exact prefix filter),
         each pair once."""
-        return self._term_join().select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"))
+        return self._term_join()
+
+    def surviving_pairs(self) -> DataFrame:
+        """The candidates whose cosine can reach the threshold: most end before a vector is fetched.
+
+        Where a pair meets, at its first shared prefix term, it shares no
+        earlier term at all, so its cosine is the product of the two weights
+        there plus what the rest of both vectors give: at most the product of
+        their norms (Cauchy-Schwarz).  The term entries carry these numbers.
+        """
+        return self._term_join(self.threshold - PREFIX_SLACK)
 
     # ---------------------------------------------------------- class pairs
     def class_pairs(self) -> DataFrame:
@@ -241,13 +258,18 @@ class ContentModel:
             self._class_pairs = self._compute_class_pairs().persist()
 
     def _compute_class_pairs(self) -> DataFrame:
-        # Candidates and verification in one join: a pair is met once (at its
-        # first shared prefix term) and scored there with both full vectors.
-        weight = ((lambda t: F.element_at(F.col("b.look"), t + 1)) if self.num_features else
-                  (lambda t: F.coalesce(F.try_element_at(F.col("b.look"), t), F.lit(0.0))))
-        dot = F.aggregate(F.col("a.vec"), F.lit(0.0), lambda acc, x: acc + x["u"] * weight(x["term"]))
-        scored = self._term_join().select(F.col("a.ckey").alias("ca"), F.col("b.ckey").alias("cb"),
-                                          dot.alias("score"))
+        # Survivors fetch the two vectors: one sparse, one by term (a dense array in hash mode).
+        vec = self.vectors.select("ckey", F.transform("vec", lambda x: F.struct(x["term"], x["u"])).alias("vec"))
+        look = vec.select("ckey", F.map_from_entries("vec").alias("look"))
+        if self.num_features:  # hashed terms: a dense array is read by position
+            slots = F.sequence(F.lit(0), F.lit(self.num_features - 1))
+            look = look.select("ckey", F.transform(
+                slots, lambda i: F.coalesce(F.try_element_at("look", i.cast("bigint")), F.lit(0.0))).alias("look"))
+        weight = ((lambda t: F.element_at(F.col("look"), t + 1)) if self.num_features else
+                  (lambda t: F.coalesce(F.try_element_at(F.col("look"), t), F.lit(0.0))))
+        dot = F.aggregate(F.col("vec"), F.lit(0.0), lambda acc, x: acc + x["u"] * weight(x["term"]))
+        scored = (self.surviving_pairs().join(vec.withColumnRenamed("ckey", "ca"), "ca")
+                  .join(look.withColumnRenamed("ckey", "cb"), "cb").select("ca", "cb", dot.alias("score")))
         # Both directions from one pass.  The threshold filter comes after
         # the explode on purpose: a filter on ``score`` placed before it is
         # pushed into the join condition and the (interpreted) dot product
@@ -257,11 +279,14 @@ class ContentModel:
                     F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "score"))).alias("p"))
                 .select("p.*")
                 .filter(~F.isnan("score") & (F.col("score") > self.threshold)))
-        selfs = (self.vectors.filter(F.col("n") >= 2)
-                 .select(F.col("ckey").alias("ca"), F.col("ckey").alias("cb"),
-                         F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x["u"] * x["u"]).alias("score"))
-                 .filter(~F.isnan("score") & (F.col("score") > self.threshold)))
-        return both.unionByName(selfs)
+        return both.unionByName(self.self_pairs())
+
+    def self_pairs(self) -> DataFrame:
+        """(ca, cb, score) of each class of two or more movies with itself."""
+        return (self.vectors.filter(F.col("n") >= 2)
+                .select(F.col("ckey").alias("ca"), F.col("ckey").alias("cb"),
+                        F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x["u"] * x["u"]).alias("score"))
+                .filter(~F.isnan("score") & (F.col("score") > self.threshold)))
 
     # ---------------------------------------------------------- movie pairs
     def pairs(self) -> DataFrame:
@@ -297,27 +322,71 @@ class ContentModel:
                  .withColumn("chunk", F.pmod(F.xxhash64("mid"), F.col("parts")).cast("int")))
         return sized.groupBy("ckey", "chunk", "parts").agg(F.collect_list("mid").alias("mids"))
 
-    def recs(self, k: int | None = None) -> DataFrame:
-        """(mid, recs array<struct<mid, score>>) sorted by score desc, mid asc.
+    # ---------------------------------------------------------- lists
+    def class_entries(self) -> DataFrame:
+        """(ca, place, mid, score): the list that the movies of a class share, the class's own movies included.
+
+        ``place`` (0-based; score desc, mid asc) is the number of movies in
+        better classes plus the place among the movies of equal score: the
+        movie's position in its class, or, where several classes tie, its
+        place among all their movies, numbered in runs of ids.  Members come
+        in chunks, so neither a list nor a class is ever in one group.
+        """
+        sizes = self.classes.select(F.col("ckey").alias("cb"), "n")
+        tie = Window.partitionBy("ca", "score")
+        placed = (self.class_pairs().join(sizes, "cb")
+                  .withColumn("upto", F.sum("n").over(Window.partitionBy("ca").orderBy(F.desc("score"))))
+                  .withColumn("tied", F.count(F.lit(1)).over(tie))
+                  .withColumn("before", F.col("upto") - F.sum("n").over(tie)))
+        placed = written(placed, "class_places")  # read twice
+        chunk = F.floor(F.col("pos") / CHUNK).cast("int")
+        chunks = (numbered(self.members, ["ckey"], "mid").groupBy(F.col("ckey").alias("cb"), chunk.alias("j"))
+                  .agg(F.sort_array(F.collect_list("mid")).alias("mids")))
+        parts = F.sequence(F.lit(0), (F.ceil(F.col("n") / CHUNK) - 1).cast("int"))
+        members = (placed.select("ca", "cb", "score", "before", "tied", F.explode(parts).alias("j")).join(chunks, ["cb", "j"])
+                   .select("ca", "score", "before", "tied", "j", F.posexplode("mids").alias("i", "mid")))
+        alone = members.where("tied = 1").select(
+            "ca", (F.col("before") + F.col("j") * CHUNK + F.col("i")).alias("place"), "mid", "score")
+        several = (numbered(members.where("tied > 1").select("ca", "score", "before", "mid"), ["ca", "score"], "mid")
+                   .select("ca", (F.col("before") + F.col("pos")).alias("place"), "mid", "score"))
+        return alone.unionByName(several)
+
+    def lists(self, size: int = LIST_CHUNK) -> DataFrame:
+        """(mid, chunk_no, first, recs): every similar movie of each movie in numbered chunks of at most ``size``.
+
+        A movie's list is its class's without itself.  ``first`` is the rank
+        (1-based) of a chunk's first entry; the movie's own place, which is
+        known from its score alone, moves the ranks behind it by one.
+        """
+        chunked = (self.class_entries().groupBy("ca", F.floor(F.col("place") / size).cast("int").alias("chunk_no"))
+                   .agg(F.sort_array(F.collect_list(F.struct("place", "mid", "score"))).alias("items")))
+        own = self.self_pairs().select("ca", F.col("score").alias("own_score"))
+        per_class = (self.classes.select(F.col("ckey").alias("ca"), F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
+                     .join(own, "ca", "left"))
+        mine = self.chunks().select(F.col("ckey").alias("ca"), F.col("chunk").alias("i"), F.col("mids").alias("own"))
+        dealt = (chunked.join(per_class, "ca")
+                 .select("ca", "chunk_no", "items", "own_score", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+                 .join(mine, ["ca", "i"])
+                 .select("chunk_no", "items", "own_score", F.explode("own").alias("mid")))
+        lead = F.col("items")[0]
+        passed = (F.col("own_score") > lead["score"]) | ((F.col("own_score") == lead["score"]) & (F.col("mid") < lead["mid"]))
+        others = F.transform(F.filter("items", lambda x: x["mid"] != F.col("mid")), lambda x: F.struct(x["mid"], x["score"]))
+        return (dealt.select("mid", "chunk_no", (lead["place"] + 1 - F.coalesce(passed, F.lit(False)).cast("long")).cast("int").alias("first"),
+                             others.alias("recs"))
+                .where(F.size("recs") > 0))
 
-        ``k=None`` keeps every similar movie, as the reference does; the list
-        of a movie is then as long as its similar set.  With ``k`` the cut is
-        exact and bounded: all movies of a class share one candidate list, so
-        per class take the first ``k+1`` members of each similar class, keep
-        the best ``k+1`` overall, and per movie drop itself and keep ``k``.
+    def recs(self, k: int | None = None) -> DataFrame:
+        """The similar movies of each movie, sorted by score desc, mid asc.
+
+        ``k=None`` keeps every similar movie, as the reference does, in
+        numbered chunks (:meth:`lists`).  With ``k``: (mid, recs
+        array<struct<mid, score>>), cut exactly: all movies of a class share
+        one candidate list, so per class take the first ``k+1`` members of
+        each similar class, keep the best ``k+1`` overall, and per movie drop
+        itself and keep ``k``.
         """
         if k is None:
-            # Every movie of a class has the class's list minus itself: sort
-            # the list once per class, then give it to each member and drop
-            # the member from it (a filter keeps the order).
-            mb = self.members.select(F.col("mid").alias("other_mid"), F.col("ckey").alias("cb"))
-            per_class = (self.class_pairs().join(mb, "cb")
-                         .groupBy("ca")
-                         .agg(sorted_recs(F.collect_list(F.struct(F.col("other_mid").alias("mid"), "score")))
-                              .alias("recs")))
-            return (self.members.join(per_class, self.members["ckey"] == per_class["ca"])
-                    .select("mid", F.filter("recs", lambda r: r["mid"] != F.col("mid")).alias("recs"))
-                    .filter(F.size("recs") > 0))
+            return self.lists()
         first_members = (self.members
                          .withColumn("r", F.row_number().over(Window.partitionBy("ckey").orderBy("mid")))
                          .filter(F.col("r") <= k + 1)
@@ -409,21 +478,22 @@ def content_sim_pairs(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_
 def content_movie_recs(movies: DataFrame, threshold: float = schemas.CONTENT_SIM_THRESHOLD,
                        num_features: int = schemas.HASHING_FEATURES, term_space: str = "hash",
                        k: int | None = None) -> DataFrame:
-    """(mid, recs): the similar movies of each movie, best first."""
+    """The similar movies of each movie, best first: all in chunks (mid, chunk_no, first, recs), or ``k`` in one list."""
     return content_model(movies, threshold, num_features, term_space, keep=False).recs(k)
 
 
 def similarity_entries(recs: DataFrame, mids: DataFrame | None = None) -> DataFrame:
-    """(mid, other_mid, score, rank) from a stored (mid, recs) list table.
+    """(mid, other_mid, score, rank) from a stored list table, in chunks or one row per movie.
 
     With ``mids`` (a ``mid`` column) only those movies' lists are exploded:
     the semi join runs on list rows, before any entry is produced.
     """
     if mids is not None:
         recs = recs.join(mids.select("mid").distinct(), "mid", "left_semi")
-    return (recs.select("mid", F.posexplode("recs").alias("pos", "r"))
+    first = F.col("first") if "first" in recs.columns else F.lit(1)
+    return (recs.select("mid", first.alias("first"), F.posexplode("recs").alias("pos", "r"))
             .select("mid", F.col("r.mid").alias("other_mid"), F.col("r.score").alias("score"),
-                    (F.col("pos") + 1).alias("rank")))
+                    (F.col("pos") + F.col("first")).alias("rank")))
 
 
 def tfidf_vectors(movies: DataFrame, num_features: int = schemas.HASHING_FEATURES) -> DataFrame:

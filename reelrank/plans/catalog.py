@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from reelrank import schemas, streaming
 from reelrank.operators import content, latent, realtime, stats
 from reelrank.operators.factored import FactoredSims
+from reelrank.operators.history import UserHistory
 from reelrank.plans.oracle import CONTENT_CTES, EXACT_CTES, REALTIME_CTES, with_ctes
 from reelrank.session import scratch_path
 from reelrank.sources import fixtures, tables, text
@@ -383,17 +384,17 @@ def q_stream_scores(spark, sf):
 
 @register("recs_upsert", _rt_sql(10, _FINAL))
 def q_recs_upsert(spark, sf):
-    """The events as two micro-batches split at the middle of their time span:
-    the second batch's lists replace the first's, user by user.  The result
-    must equal one batch over all events."""
+    """The events as two micro-batches split at the middle of their time span, both
+    written to the stored table: the second batch's lists replace the first's, user by
+    user.  The committed version must equal one batch over all events."""
     inp, sims = _rt_inputs(spark, sf)
     ev = inp.rating_events
     mid_ts = ev.select((F.min("timestamp").cast("bigint") + F.max("timestamp")) / 2).scalar()
     first, second = ev.filter(F.col("timestamp") <= mid_ts), ev.filter(F.col("timestamp") > mid_ts)
-    table = realtime.realtime_recs(first, inp.ratings, sims)
-    update = realtime.realtime_recs(second, inp.ratings.unionByName(first), sims, rated=inp.ratings)
-    merged = realtime.upsert_recs(table, update)
-    return stats.flatten_recs(merged, "uid").withColumn("score", F.round("score", 6))
+    table = streaming.UserLog(spark, scratch_path(spark, "recs_upsert"))
+    table.write(realtime.realtime_recs(first, inp.ratings, sims), 0)
+    table.write(realtime.realtime_recs(second, inp.ratings.unionByName(first), sims, rated=inp.ratings), 1)
+    return stats.flatten_recs(table.latest(), "uid").withColumn("score", F.round("score", 6))
 
 
 # ---------------------------------------------------------------- streaming
@@ -413,8 +414,10 @@ def q_stream_recs(spark, sf):
     src = scratch_path(spark, "stream_in")
     events = inp.rating_events.repartitionByRange("timestamp").sortWithinPartitions("timestamp")
     fixtures.rating_messages(events).write.text(src)
+    past = scratch_path(spark, "stream_history")
+    UserHistory.write(inp.ratings, past)
     sink, ckpt = scratch_path(spark, "stream_recs"), scratch_path(spark, "stream_ckpt")
-    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), inp.ratings, sims,
+    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), UserHistory.read(spark, past), sims,
                                        sink, ckpt, trigger={"availableNow": True})
     q.awaitTermination()
     return stats.flatten_recs(streaming.current_stream_recs(spark, sink), "uid").withColumn(

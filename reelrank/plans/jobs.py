@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelrank import schemas
 from reelrank.operators import content, latent, stats
 from reelrank.operators.factored import FactoredSims
+from reelrank.operators.history import BUCKETS, UserHistory
 from reelrank.session import scratch_path
 from reelrank.sources import tables, text
 
@@ -129,20 +130,28 @@ def content_job(movies: DataFrame, out_root: str, threshold: float = schemas.CON
     return out
 
 
-def realtime_job(spark: SparkSession, messages: DataFrame, ratings: DataFrame, content_root: str,
+def history_job(ratings: DataFrame, out_root: str, buckets: int = BUCKETS,
+                k: int = schemas.MAX_USER_RATINGS_NUM) -> dict[str, str]:
+    """What the real-time job reads of the stored ratings: seen sets and newest ratings per user, in ``buckets``
+    directories (replaced as a whole); run it when the rating table has changed."""
+    return UserHistory.write(ratings, out_root, buckets, k)
+
+
+def realtime_job(spark: SparkSession, messages: DataFrame, history: DataFrame | UserHistory, content_root: str,
                  out_root: str, checkpoint_location: str, trigger: dict | None = None, fmt: str = "parquet",
-                 user_buckets: int | None = None, threshold: float = schemas.CONTENT_SIM_THRESHOLD):
+                 threshold: float = schemas.CONTENT_SIM_THRESHOLD, buckets: int = BUCKETS, strict: bool = False):
     """Start the streaming recommender against the tables that ``content_job`` stored below ``content_root``
     (``threshold``: its similarity threshold); returns the running query (StreamRecs below ``out_root``).
 
     A micro-batch opens the first bands of the class lists, the members and
-    vectors of the movies it meets, and the stored ratings of its users: no
-    movie-pair table.  For large rating tables store them with
-    ``user_buckets`` and read them with ``keep_layout=True``: each micro-batch
-    then reads only the buckets, files and row groups of its users.
+    vectors of the movies it meets, and of the ``history`` that
+    ``history_job`` stored the directories of its users' buckets: no
+    movie-pair table, no rating table.  (A rating table given as ``history``
+    is scanned by every batch.)  Messages that do not parse go to a table of
+    their own, unless ``strict``.
     """
     from reelrank.streaming import start_realtime_query
 
     sims = FactoredSims.read(spark, content_root, threshold, fmt)
-    return start_realtime_query(spark, messages, ratings, sims, _path(out_root, STREAM_RECS),
-                                checkpoint_location, trigger, user_buckets=user_buckets)
+    return start_realtime_query(spark, messages, history, sims, _path(out_root, STREAM_RECS),
+                                checkpoint_location, trigger, buckets=buckets, strict=strict)

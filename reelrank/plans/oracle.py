@@ -88,10 +88,12 @@ REALTIME_CTES = [
     "AS rank FROM unseen) WHERE rank <= 20)",
     "hist AS MATERIALIZED (SELECT uid, mid, score, \"timestamp\" FROM rating WHERE uid IN (SELECT uid FROM rating_event) "
     "UNION ALL SELECT uid, mid, score, \"timestamp\" FROM rating_event)",
-    "recents AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY \"timestamp\" DESC, "
+    "recents AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY \"timestamp\" DESC, "
     "mid ASC, score DESC) AS rn FROM hist) WHERE rn <= 20)",
-    "cpairs AS (SELECT t.uid, t.mid, r.mid AS recent_mid, r.score AS recent_score, coalesce(s.score, 0.0) AS sim "
-    "FROM topsim t JOIN recents r ON t.uid = r.uid LEFT JOIN sims s ON s.mid = t.mid AND s.other_mid = r.mid)",
+    # similarities of the candidates' movies only, before they are looked up
+    "cpairs AS MATERIALIZED (SELECT t.uid, t.mid, r.mid AS recent_mid, r.score AS recent_score, coalesce(s.score, 0.0) AS sim "
+    "FROM topsim t JOIN recents r ON t.uid = r.uid LEFT JOIN (SELECT * FROM sims WHERE mid IN (SELECT mid FROM topsim)) s "
+    "ON s.mid = t.mid AND s.other_mid = r.mid)",
     "boost AS (SELECT uid, mid, list_reduce(list(sim * recent_score ORDER BY sim * recent_score), "
     "lambda x, y: x + y) / count(*) AS base, "
     "count(*) FILTER (WHERE recent_score > 3) AS incr, count(*) FILTER (WHERE recent_score <= 3) AS decr "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Time zone is pinned so month keys do not
 # depend on the machine; AQE re-plans joins from runtime sizes and splits
@@ -55,3 +55,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: made once for several reads, its lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

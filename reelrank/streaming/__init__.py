@@ -1,14 +1,14 @@
 """Structured Streaming form of the real-time recommender."""
 
-from reelrank.streaming.log import UserLog
+from reelrank.streaming.log import BatchTable, UserLog
 from reelrank.streaming.query import (
-    compact_stream_recs,
     current_stream_recs,
     parse_rating_messages,
     rating_stream,
+    rejected_messages,
     start_realtime_query,
     starting_offsets,
 )
 
-__all__ = ["UserLog", "compact_stream_recs", "current_stream_recs", "parse_rating_messages", "rating_stream",
+__all__ = ["BatchTable", "UserLog", "current_stream_recs", "parse_rating_messages", "rating_stream", "rejected_messages",
            "start_realtime_query", "starting_offsets"]

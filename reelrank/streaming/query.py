@@ -1,16 +1,19 @@
 """Real-time recommendations as a Structured Streaming query.
 
-    source (text files or Kafka, in arrival order) -> parse ``UID|MID|SCORE|TIMESTAMP``
+    source (text files or Kafka, in arrival order)
     -> foreachBatch, all set-wise in Spark:
+       parse ``UID|MID|SCORE|TIMESTAMP``; messages that do not parse go to the
+       Rejected table of the same batch;
        last event per user; recents = the batch's events, then the user's kept
        recents, then (users met for the first time) their stored ratings;
        scoring of the batch's users (operators.realtime)
-    -> Recents and StreamRecs logs, one partition per batch id (idempotent on replay)
+    -> Rejected, Recents and StreamRecs, tables with a committed version per
+       batch (streaming.log; idempotent on replay)
 
 Offsets live in the query's checkpoint, so a restarted query resumes where
-the last committed batch ended; a replayed batch reads what the batches before
-it left, rewrites its own partitions of the logs and nothing else.  No state
-store, no Python worker.
+the last committed batch ended; a replayed batch reads the version that the
+batch before it left and puts its own in place again.  No state store, no
+Python worker.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ from pyspark.sql import functions as F
 from reelrank import schemas
 from reelrank.operators import realtime
 from reelrank.operators.factored import FactoredSims
-from reelrank.sources.tables import user_bucket
-from reelrank.streaming.log import COMPACT_EVERY, UserLog
+from reelrank.operators.history import RatingHistory, UserHistory, list_rows, recents_as_lists, touched_buckets
+from reelrank.streaming.log import BUCKETS, FAN, BatchTable, UserLog
 
 
-def parse_rating_messages(messages: DataFrame, strict: bool = True) -> DataFrame:
-    """``value`` = ``UID|MID|SCORE|TIMESTAMP`` -> (uid, mid, score, timestamp); ``arrival`` is kept if there is one."""
+def parse_rating_messages(messages: DataFrame, strict: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """``value`` = ``UID|MID|SCORE|TIMESTAMP`` -> (uid, mid, score, timestamp); ``arrival`` is kept if there is one, and
+    the columns ``keep``."""
     parts = F.split(F.col("value"), r"\|", -1)
 
     def num(i: int, t: str):
@@ -36,7 +40,19 @@ def parse_rating_messages(messages: DataFrame, strict: bool = True) -> DataFrame
 
     return messages.select(num(0, "int").alias("uid"), num(1, "int").alias("mid"),
                            num(2, "double").alias("score"), num(3, "int").alias("timestamp"),
-                           *[c for c in messages.columns if c == "arrival"])
+                           *(keep or []), *[c for c in messages.columns if c == "arrival"])
+
+
+def split_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed events, and the messages (``value``) that are none: a field is missing, not a number or out of range.
+    Further fields are ignored, as in the reference."""
+    fields = parse_rating_messages(messages, strict=False, keep=["value"])
+    columns = schemas.RATING_COLUMNS
+    good = F.lit(True)
+    for c in columns:
+        good = good & F.col(c).isNotNull()
+    rest = [c for c in fields.columns if c == "arrival"]
+    return fields.where(good).select(*columns, *rest), fields.where(~good).select("value")
 
 
 def rating_stream(spark: SparkSession, fmt: str = "text", path: str | None = None,
@@ -66,59 +82,34 @@ def rating_stream(spark: SparkSession, fmt: str = "text", path: str | None = Non
 
 # ---------------------------------------------------------------- StreamRecs
 
-def write_stream_recs(recs: DataFrame, root: str, batch_id: int, compact_every: int = COMPACT_EVERY) -> None:
-    """Write one batch's lists (uid, recs) to the log at ``root``; writing a batch again replaces only its own rows."""
-    UserLog(recs.sparkSession, root, "recs", compact_every).write(recs, batch_id)
+def write_stream_recs(recs: DataFrame, root: str, batch_id: int, fan: int = FAN) -> None:
+    """Write one batch's lists (uid, recs) to the table at ``root``; writing a batch again replaces only its own rows."""
+    UserLog(recs.sparkSession, root, fan=fan).write(recs, batch_id)
 
 
 def current_stream_recs(spark: SparkSession, root: str) -> DataFrame:
-    """(uid, recs): the latest list per user (last write wins)."""
-    found = UserLog(spark, root, "recs").latest()
+    """(uid, recs): the latest list per user (last write wins), as the committed version has it."""
+    found = UserLog(spark, root).latest()
     return spark.createDataFrame([], f"uid int, recs array<{schemas.RECOMMENDATION}>") if found is None else found
 
 
-def compact_stream_recs(spark: SparkSession, root: str, before: int) -> None:
-    """Fold the batches below ``before`` into a snapshot (the query does so itself as it goes)."""
-    UserLog(spark, root, "recs").compact(before)
+def rejected_messages(spark: SparkSession, root: str) -> DataFrame:
+    """(value, batch_id): the messages of the query with sink ``root`` that did not parse."""
+    found = BatchTable(spark, f"{root.rstrip('/')}_rejected").rows()
+    return spark.createDataFrame([], "value string, batch_id long") if found is None else found
 
 
 # ---------------------------------------------------------------- micro-batch
 
-# Users of a batch whose ids are pushed into the scans of the user tables as a
-# literal list; a larger batch is read by a join alone.
-MAX_PUSHED_USERS = 5000
-
-_RECENTS = "array<struct<pos:int,mid:int,score:double,timestamp:int>>"
-
-
-def rows_of(table: DataFrame, users: DataFrame, ids: list[int] | None, user_buckets: int | None = None) -> DataFrame:
-    """The rows of ``table`` of the batch's users.
-
-    With ``ids`` the scan gets them as a filter: files and row groups of a
-    table sorted by ``uid`` are skipped by their bounds, and with
-    ``user_buckets`` whole partition directories by the users' buckets.
-    """
-    keyed = users
-    on = ["uid"]
-    if user_buckets and "uid_bucket" in table.columns:
-        keyed, on = users.withColumn("uid_bucket", user_bucket("uid", user_buckets)), ["uid_bucket", "uid"]
-        if ids is not None:
-            table = table.where(F.col("uid_bucket").isin(sorted({i % user_buckets for i in ids})))
-    if ids is not None:
-        table = table.where(F.col("uid").isin(ids))
-    return table.join(keyed, on, "left_semi")
-
-
 def merged_recents(events: DataFrame, kept: DataFrame | None, history: DataFrame, k: int) -> DataFrame:
     """(uid, pos, mid, score, timestamp): newest ``k`` per user: the batch's events in reverse order of arrival, then
     the recents kept from earlier batches, or else the stored ratings.  At most ``3 k`` rows of a user meet."""
     parts = [realtime.recent_ratings(events, k).withColumn("age", F.lit(0))]
-    stored = realtime.recent_ratings(history, k)
+    stored = history
     if kept is not None:
-        old = kept.select("uid", F.explode("recents").alias("r")).select("uid", "r.*")
         stored = stored.join(kept.select("uid"), "uid", "left_anti")
-        parts.append(old.withColumn("age", F.lit(1)))
-    parts.append(stored.withColumn("age", F.lit(2)))
+        parts.append(list_rows(kept).withColumn("age", F.lit(1)))
+    parts.append(stored.select("uid", "pos", "mid", "score", "timestamp").withColumn("age", F.lit(2)))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -127,43 +118,47 @@ def merged_recents(events: DataFrame, kept: DataFrame | None, history: DataFrame
             .select("uid", (F.col("place") - 1).alias("pos"), "mid", "score", "timestamp"))
 
 
-def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFrame | FactoredSims, sink_root: str,
-                           k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
+def realtime_batch_handler(spark: SparkSession, history: DataFrame | UserHistory, sims: DataFrame | FactoredSims,
+                           sink_root: str, k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
                            threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written",
-                           user_buckets: int | None = None, compact_every: int = COMPACT_EVERY):
-    """The ``foreachBatch`` function: score the users of one micro-batch of parsed events.
+                           buckets: int = BUCKETS, fan: int = FAN):
+    """The ``foreachBatch`` function: score the users of one micro-batch of messages (``value``) or parsed events.
 
-    ``ratings`` read with ``keep_layout=True`` from a table stored with
-    ``user_buckets`` carries ``uid_bucket``; pass the same ``user_buckets``.
+    ``history`` is what is stored of the users' ratings: the tables of
+    :class:`UserHistory`, of which a batch reads the directories of its users'
+    buckets, or the rating table itself, which every batch scans.
     """
-    if "uid_bucket" in ratings.columns and not user_buckets:
-        raise ValueError("ratings carry uid_bucket: pass user_buckets")
-    recs_log = UserLog(spark, sink_root, "recs", compact_every)
-    recents_log = UserLog(spark, f"{sink_root.rstrip('/')}_recents", "recents", compact_every)
+    held_ratings = RatingHistory(history, k) if isinstance(history, DataFrame) else history
+    recs_log = UserLog(spark, sink_root, buckets=buckets, fan=fan)
+    recents_log = UserLog(spark, f"{sink_root.rstrip('/')}_recents", buckets=buckets, fan=fan, value="recents")
+    rejected = BatchTable(spark, f"{sink_root.rstrip('/')}_rejected", fan=fan)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if "arrival" in batch.columns:  # lines of one file block share its place: their order in it decides
             batch = batch.withColumn("arrival", F.struct("arrival", F.monotonically_increasing_id().alias("line")))
         held = [batch.persist()]
         try:
+            if "value" in batch.columns:
+                batch, bad = split_messages(batch)
+                if not bad.isEmpty():
+                    rejected.write(bad, batch_id)
             if batch.isEmpty():
                 return
             last = realtime.last_events(batch).persist()
             held.append(last)
             users = last.select("uid")
-            few = [r.uid for r in users.limit(MAX_PUSHED_USERS + 1).collect()]  # bounded
-            ids = few if len(few) <= MAX_PUSHED_USERS and None not in few else None
-            history = rows_of(ratings, users, ids, user_buckets).select("uid", "mid", "score", "timestamp").persist()
-            kept = recents_log.rows(batch_id)
+            # the numbers of the users' buckets: bounded, whatever the number of users
+            touched = touched_buckets(users, buckets)
+            stored = touched if held_ratings.buckets == buckets else None
+            seen = held_ratings.seen(users, stored).persist()
+            kept = recents_log.latest(batch_id, touched)
             if kept is not None:
-                kept = (rows_of(kept, users, ids).groupBy("uid").agg(F.max_by("recents", "batch_id").alias("recents"))
-                        .persist())
+                kept = kept.join(users, "uid", "left_semi").persist()
                 held.append(kept)
-            recents = merged_recents(batch, kept, history, k).persist()
-            held += [history, recents]
-            recents_log.write(recents.groupBy("uid").agg(F.sort_array(F.collect_list(
-                F.struct("pos", "mid", "score", "timestamp"))).cast(_RECENTS).alias("recents")), batch_id)
-            recs = realtime.score_users(last, recents, sims, history, n, threshold, adjust, keep=held)
+            recents = merged_recents(batch, kept, held_ratings.recents(users, stored), k).persist()
+            held += [seen, recents]
+            recents_log.write(recents_as_lists(recents), batch_id)
+            recs = realtime.score_users(last, recents, sims, seen, n, threshold, adjust, keep=held)
             recs_log.write(recs, batch_id)
         finally:
             for df in held:
@@ -171,18 +166,21 @@ def realtime_batch_handler(spark: SparkSession, ratings: DataFrame, sims: DataFr
     return handle
 
 
-def start_realtime_query(spark: SparkSession, messages: DataFrame, ratings: DataFrame, sims: DataFrame | FactoredSims,
-                         sink_root: str, checkpoint_location: str, trigger: dict | None = None,
-                         k: int = schemas.MAX_USER_RATINGS_NUM, n: int = schemas.MAX_SIM_MOVIES_NUM,
-                         threshold: float = schemas.STREAM_SIM_THRESHOLD, adjust: str = "as_written",
-                         user_buckets: int | None = None, compact_every: int = COMPACT_EVERY):
+def start_realtime_query(spark: SparkSession, messages: DataFrame, history: DataFrame | UserHistory,
+                         sims: DataFrame | FactoredSims, sink_root: str, checkpoint_location: str,
+                         trigger: dict | None = None, k: int = schemas.MAX_USER_RATINGS_NUM,
+                         n: int = schemas.MAX_SIM_MOVIES_NUM, threshold: float = schemas.STREAM_SIM_THRESHOLD,
+                         adjust: str = "as_written", buckets: int = BUCKETS, fan: int = FAN, strict: bool = False):
     """Start the streaming query; returns the ``StreamingQuery``.
 
     ``trigger`` defaults to a 20 second processing-time cadence (the
-    reference's batch interval); tests pass ``{"availableNow": True}``.
+    reference's batch interval); tests pass ``{"availableNow": True}``.  A
+    message that does not parse goes to the Rejected table
+    (:func:`rejected_messages`) and the query goes on; with ``strict`` it
+    ends the query.
     """
-    handler = realtime_batch_handler(spark, ratings, sims, sink_root, k, n, threshold, adjust, user_buckets, compact_every)
-    writer = (parse_rating_messages(messages).writeStream.outputMode("append").foreachBatch(handler)
+    handler = realtime_batch_handler(spark, history, sims, sink_root, k, n, threshold, adjust, buckets, fan)
+    writer = ((parse_rating_messages(messages) if strict else messages).writeStream.outputMode("append").foreachBatch(handler)
               .option("checkpointLocation", checkpoint_location)
               .trigger(**(trigger or {"processingTime": "20 seconds"})))
     return writer.start()

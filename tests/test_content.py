@@ -132,3 +132,16 @@ def test_similarity_entries_explodes_only_requested_lists(spark):
     want = spark.createDataFrame([(1,), (1,), (3,)], "mid int")
     got = sorted(map(tuple, content.similarity_entries(recs, want).collect()))
     assert got == [(1, 2, 0.9, 1), (1, 3, 0.7, 2), (3, 1, 0.7, 1)]
+
+
+def test_bounds_end_most_candidates_and_lose_no_pair(spark):
+    """Every pair above the threshold survives the residual-norm bound; the candidates that end early are the majority."""
+    for space in ("hash", "exact"):
+        model = content.content_model(fixtures.load_inputs(spark, SF_SMALL).movies, term_space=space)
+        found = lambda df: {tuple(r) for r in df.select("ca", "cb").collect()}
+        candidates, survivors = found(model.candidate_pairs()), found(model.surviving_pairs())
+        verified = {p for p in found(model.class_pairs()) if p[0] < p[1]}
+        assert verified <= survivors <= candidates
+        assert model.candidate_pairs().count() == len(candidates)
+        assert len(survivors) < 0.8 * len(candidates), space
+        model.unpersist()

@@ -66,7 +66,9 @@ def test_factored_lists_of_a_hot_class_equal_the_expanded_ones(spark, tmp_dir):
     sims = FactoredSims.read(spark, tmp_dir, model.threshold)
     assert {r.pos for r in sims.members.where("cid = 0").collect()} == set(range(200))
     wanted = movies.select(F.col("mid").alias("uid"), F.col("mid").alias("src"), (F.col("mid") % 130 + 1).alias("limit"))
-    full = {r.mid: [(x.score, x.mid) for x in r.recs] for r in model.recs().collect()}
+    full: dict = {}
+    for r in model.recs().orderBy("mid", "chunk_no").collect():
+        full.setdefault(r.mid, []).extend((x.score, x.mid) for x in r.recs)
     got: dict = {}
     for r in sims.head(wanted).collect():
         got.setdefault(r.uid, []).append((r.sim, r.mid))
@@ -82,3 +84,28 @@ def test_factored_lists_of_a_hot_class_equal_the_expanded_ones(spark, tmp_dir):
     for r in scored:
         assert r.sim == stored.get((r.mid, r.recent_mid), 0.0)
     model.unpersist()
+
+
+def test_list_store_of_a_hot_class_is_chunked(spark, monkeypatch):
+    """A third of all movies in one class: no array beyond a chunk, ranks without gaps, the rows of the pairs."""
+    movies = hot_movies(spark, 900).unionByName(spark.createDataFrame(  # classes of equal similarity to others: ties
+        [(9000 + i, g) for i in range(40) for g in [f"t{i % 2}|common|shared"]], "mid int, genres string"))
+    model = content.content_model(movies)
+    stored = model.lists(size=50).persist()
+    assert stored.agg(F.max(F.size("recs"))).first()[0] <= 50
+    assert stored.where("mid = 0").count() >= 300 // 50
+    got: dict = {}
+    for r in content.similarity_entries(stored).orderBy("mid", "rank").collect():
+        got.setdefault(r.mid, []).append((r.rank, r.score, r.other_mid))
+    want: dict = {}
+    for r in model.pairs().collect():
+        want.setdefault(r.mid, []).append((r.score, r.other_mid))
+    assert got.keys() == want.keys()
+    for mid, pairs in want.items():
+        ordered = sorted(pairs, key=lambda x: (-x[0], x[1]))
+        assert got[mid] == [(i, *p) for i, p in enumerate(ordered, 1)]
+    # one movie's head is read from its first chunks alone
+    head = stored.where("mid = 3 AND first <= 60")
+    assert head.count() == 2
+    stored.unpersist()
+    model.unpersist()

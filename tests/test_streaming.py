@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from reelrank import streaming
 from reelrank.operators import content, realtime
 from reelrank.operators.factored import FactoredSims
-from reelrank.sources import fixtures, tables
-from reelrank.streaming.log import UserLog
-from reelrank.streaming.query import realtime_batch_handler, rows_of, write_stream_recs
+from reelrank.operators.history import UserHistory, touched_buckets
+from reelrank.sources import fixtures
+from reelrank.streaming.log import BatchTable, UserLog
+from reelrank.streaming.query import realtime_batch_handler, write_stream_recs
 from tests.conftest import SF_SMALL
 
 
@@ -40,8 +41,8 @@ def run(spark, src, ratings, sims, sink, ckpt, per_batch="1", **kw):
     q.awaitTermination()
 
 
-def test_stream_in_batches_equals_one_batch_also_over_compactions_and_a_restart(spark, tmp_dir):
-    """Three micro-batches, the query stopped after the first and started again, a snapshot made in between."""
+def test_stream_in_batches_equals_one_batch_also_over_folds_and_a_restart(spark, tmp_dir):
+    """Three micro-batches, the query stopped after the first and started again, runs folded in between."""
     inp = fixtures.load_inputs(spark, SF_SMALL)
     FactoredSims.of(content.content_model(inp.movies)).write(f"{tmp_dir}/content")
     sims = FactoredSims.read(spark, f"{tmp_dir}/content", 0.6)
@@ -49,12 +50,14 @@ def test_stream_in_batches_equals_one_batch_also_over_compactions_and_a_restart(
     want = lists(realtime.realtime_recs(inp.rating_events, inp.ratings, content.content_sim_pairs(inp.movies)))
     src, sink, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/recs", f"{tmp_dir}/ckpt"
     write_in_order(spark, src, events[:300])
-    run(spark, src, inp.ratings, sims, sink, ckpt, compact_every=1)
+    UserHistory.write(inp.ratings, f"{tmp_dir}/history", 8)
+    history = UserHistory.read(spark, f"{tmp_dir}/history", 8)
+    run(spark, src, history, sims, sink, ckpt, fan=2, buckets=8)
     write_in_order(spark, src, events[300:], files=2)
-    run(spark, src, inp.ratings, sims, sink, ckpt, compact_every=1)  # resumes: the first file is not read again
-    rows = UserLog(spark, sink, "recs").rows()
-    assert rows.agg(F.max("batch_id")).first()[0] == 2
-    assert spark.read.parquet(f"{sink}/snapshots").count() > 0
+    run(spark, src, history, sims, sink, ckpt, fan=2, buckets=8)  # resumes: the first file is not read again
+    table = UserLog(spark, sink)
+    assert table.rows().agg(F.max("batch_id")).first()[0] == 2
+    assert max(r.level for r in table.live()) > 0
     assert lists(streaming.current_stream_recs(spark, sink)) == want
 
 
@@ -67,11 +70,11 @@ def test_events_count_in_order_of_arrival(spark, tmp_dir):
     write_in_order(spark, src, [(5, 1, 4.0, 900), (5, 2, 5.0, 100)])  # 2 arrives last with the older time
     run(spark, src, ratings, sims, sink, f"{tmp_dir}/ckpt")
     assert [m for m, _ in lists(streaming.current_stream_recs(spark, sink))[5]] == [20]
-    kept = UserLog(spark, f"{sink}_recents", "recents").latest().first().recents
+    kept = UserLog(spark, f"{sink}_recents", value="recents").latest().first().recents
     assert [(r.pos, r.mid) for r in kept] == [(0, 2), (1, 1), (2, 21)]
     write_in_order(spark, src, [(5, 7, 1.0, 50)])
     run(spark, src, ratings, sims, sink, f"{tmp_dir}/ckpt")
-    kept = UserLog(spark, f"{sink}_recents", "recents").latest().first().recents
+    kept = UserLog(spark, f"{sink}_recents", value="recents").latest().first().recents
     assert [r.mid for r in kept] == [7, 2, 1, 21]
 
 
@@ -81,17 +84,17 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     write_stream_recs(recs, sink, 0)
     write_stream_recs(recs, sink, 1)
     write_stream_recs(recs, sink, 1)  # replay of batch 1
-    log = UserLog(spark, sink, "recs")
-    assert log.rows().count() == 2 and log.rows(before=1).count() == 1 and log.rows(before=0).count() == 0
+    log = UserLog(spark, sink)
+    assert log.rows().count() == 2 and log.rows(before=1).count() == 1 and log.rows(before=0) is None
     write_stream_recs(spark.createDataFrame([(1, [(6, 0.7)])], schema), sink, 2)
     assert lists(streaming.current_stream_recs(spark, sink)) == {1: [(6, 0.7)]}
 
 
 def test_replay_of_a_batch_through_the_handler(spark, tmp_dir):
-    """A batch handled twice, the second time after a later snapshot, leaves what it left the first time."""
+    """A batch handled twice, the second time after a fold, leaves what it left the first time."""
     inp = fixtures.load_inputs(spark, SF_SMALL)
     sims = content.content_sim_pairs(inp.movies).persist()
-    handle = realtime_batch_handler(spark, inp.ratings, sims, f"{tmp_dir}/recs", compact_every=1)
+    handle = realtime_batch_handler(spark, inp.ratings, sims, f"{tmp_dir}/recs", fan=2)
     events = [tuple(r) for r in inp.rating_events.orderBy("timestamp").collect()]
     batches = [spark.createDataFrame(events[i:i + 250], RATING) for i in (0, 250, 500, 750)]
     for i, b in enumerate(batches):
@@ -122,44 +125,200 @@ def test_starting_offsets_json(spark):
     assert json.loads(out.starting_offsets)["my-topic"]["10"] == 7
 
 
-def test_ratings_of_a_batch_are_read_by_bucket_and_id(spark, tmp_dir):
+def test_a_batch_of_many_users_reads_the_touched_buckets_alone(spark, tmp_dir):
+    """20,000 users of three buckets of 16: the other buckets' folders are not opened."""
+    ids = spark.range(400_000)
+    ratings = ids.select((F.col("id") % 100_000).cast("int").alias("uid"), (F.col("id") * 7919 % 5000).cast("int").alias("mid"),
+                         (F.col("id") % 5 + 1).cast("double").alias("score"), (F.col("id") % 1009).cast("int").alias("timestamp"))
+    UserHistory.write(ratings, f"{tmp_dir}/history", 16)
+    history = UserHistory.read(spark, f"{tmp_dir}/history", 16)
+    users = spark.range(110_000).where("id % 16 IN (1, 4, 9)").select(F.col("id").cast("int").alias("uid"))
+    users = users.persist()
+    assert users.count() >= 20_000
+    touched = touched_buckets(users, 16)
+    assert touched == [1, 4, 9]
+    seen, recents = history.seen(users, touched), history.recents(users, touched)
+    for df in (seen, recents):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "IN (1,4,9)" in plan.split("PartitionFilters")[1].split("]")[0]  # these folders alone are opened
+    want = ratings.join(users, "uid", "left_semi").select("uid", "mid").distinct()
+    assert seen.exceptAll(want).count() == 0 and seen.count() == want.count()
+    assert recents.exceptAll(realtime.recent_ratings(ratings.join(users, "uid", "left_semi"), 20)).count() == 0
+    users.unpersist()
+
+
+def test_seen_sets_of_a_hot_user_are_rows_of_bounded_size_and_delta_packed(spark, tmp_dir):
+    """One user with a third of all ratings: rows of at most PART ids, packed by the file format."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from reelrank.operators.history import PACKED, seen_sets
+
+    ids = spark.range(60_000)
+    ratings = ids.select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("int").alias("uid"),
+                         (F.col("id") % 30_011).cast("int").alias("mid"), F.lit(1.0).alias("score"), F.lit(1).alias("timestamp"))
+    sets = seen_sets(ratings, part=1000).persist()
+    assert sets.agg(F.max(F.size("ids"))).first()[0] <= 1000
+    hot = [x for r in sets.where("uid = 7").orderBy("part").collect() for x in r.ids]
+    assert hot == sorted({r.mid for r in ratings.where("uid = 7").select("mid").distinct().collect()})
+    flat = sets.select("uid", F.explode("ids").alias("mid"))
+    want = ratings.select("uid", "mid").distinct()
+    assert flat.exceptAll(want).count() == 0 and flat.count() == want.count()
+    sets.coalesce(1).sortWithinPartitions("uid", "part").write.options(**PACKED).parquet(f"{tmp_dir}/seen")
+    meta = pq.ParquetFile(glob.glob(f"{tmp_dir}/seen/*.parquet")[0]).metadata
+    column = next(meta.row_group(0).column(i) for i in range(meta.num_columns) if "ids" in meta.row_group(0).column(i).path_in_schema)
+    assert "DELTA_BINARY_PACKED" in column.encodings
+    assert column.total_uncompressed_size < 2.5 * want.count()
+    sets.unpersist()
+
+
+def test_stream_of_a_bucketed_history_equals_the_plain_one(spark, tmp_dir):
     inp = fixtures.load_inputs(spark, SF_SMALL)
-    paths = tables.store_base_tables(inp.movies, inp.ratings, inp.tags, f"{tmp_dir}/base", user_buckets=16)
-    ratings = tables.read_ratings(spark, paths["rating"], keep_layout=True)
-    assert "uid_bucket" in ratings.columns
-    assert tables.read_ratings(spark, paths["rating"]).columns == ["uid", "mid", "score", "timestamp"]
-    users = spark.createDataFrame([(3,), (19,)], "uid int")
-    found = rows_of(ratings, users, [3, 19], 16)
-    p = found._jdf.queryExecution().executedPlan().toString()
-    assert "(uid_bucket" in p.split("PartitionFilters")[1].split("]")[0]  # one directory
-    assert "PushedFilters: [In(uid" in p  # and row groups by the bounds of the ids
-    want = sorted(tuple(r) for r in inp.ratings.where("uid IN (3, 19)").collect())
-    for ids in ([3, 19], None):
-        got = rows_of(ratings, users, ids, 16).select("uid", "mid", "score", "timestamp")
-        assert sorted(tuple(r) for r in got.collect()) == want
-
-    src, sink = f"{tmp_dir}/in", f"{tmp_dir}/recs"
-    write_in_order(spark, src, [tuple(r) for r in inp.rating_events.orderBy("timestamp").collect()])
+    src, events = f"{tmp_dir}/in", [tuple(r) for r in inp.rating_events.orderBy("timestamp").collect()]
+    write_in_order(spark, src, events)
     sims = content.similarity_entries(content.content_movie_recs(inp.movies))
-    run(spark, src, ratings, sims, sink, f"{tmp_dir}/ckpt", user_buckets=16)
+    UserHistory.write(inp.ratings, f"{tmp_dir}/history", 16)
+    history = UserHistory.read(spark, f"{tmp_dir}/history", 16)
+    run(spark, src, history, sims, f"{tmp_dir}/recs", f"{tmp_dir}/ckpt", buckets=16)
     want = lists(realtime.realtime_recs(inp.rating_events, inp.ratings, sims))
+    assert lists(streaming.current_stream_recs(spark, f"{tmp_dir}/recs")) == want
+
+
+LISTS = "uid int, recs array<struct<mid:int,score:double>>"
+
+
+def one(spark, *rows):
+    return spark.createDataFrame([(u, [(m, m / 10)]) for u, m in rows], LISTS)
+
+
+def ids_of(df):
+    return {r.uid: r.recs[0].mid for r in df.collect()}
+
+
+def test_readers_see_the_committed_version_alone(spark, tmp_dir, monkeypatch):
+    """A batch that stops between its files and its manifest leaves the old version; the replay puts the new one in place."""
+    table = UserLog(spark, f"{tmp_dir}/t", buckets=4)
+    table.write(one(spark, (1, 10), (2, 20)), 0)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(table.files, "put", stop)
+    import pytest
+    with pytest.raises(RuntimeError, match="stopped"):
+        table.write(one(spark, (1, 11), (3, 30)), 1)
+    assert len(table.files.list(f"{tmp_dir}/t/data")) == 2  # the files are there, nobody reads them
+    reader = UserLog(spark, f"{tmp_dir}/t", buckets=4)
+    assert ids_of(reader.latest()) == {1: 10, 2: 20} and reader.rows().count() == 2
+    monkeypatch.undo()
+    reader.write(one(spark, (1, 12)), 1)
+    assert ids_of(reader.latest()) == {1: 12, 2: 20}
+    reader.write(one(spark, (1, 13)), 1)  # replayed after its commit: starts from batch 0 again
+    assert ids_of(reader.latest()) == {1: 13, 2: 20} and reader.rows().count() == 3
+    assert ids_of(reader.latest(before=1)) == {1: 10, 2: 20}
+
+
+def test_a_manifest_is_never_half_written_or_replaced(spark, tmp_dir):
+    files = UserLog(spark, f"{tmp_dir}/t").files
+    files.put(f"{tmp_dir}/m/a.json", "{}")
+    assert files.read(f"{tmp_dir}/m/a.json") == "{}" and files.list(f"{tmp_dir}/nothing") == {}
+    files.put(f"{tmp_dir}/m/b.json", "é" * 100_000)
+    assert files.read(f"{tmp_dir}/m/b.json") == "é" * 100_000
+    assert sorted(files.list(f"{tmp_dir}/m")) == ["a.json", "b.json"]  # nothing is left aside
+
+
+def test_folds_rewrite_the_due_buckets_and_keep_the_others(spark, tmp_dir):
+    """Three folds of bucket 1: the files of bucket 2, written once, stay as they are."""
+    import glob
+    import os
+
+    table = UserLog(spark, f"{tmp_dir}/t", buckets=4, fan=2)
+    table.write(one(spark, (1, 1), (2, 2)), 0)
+    stamp = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_dir}/t/data/*/bucket=2/*.parquet")}
+    before, folds = stamp(), 0
+    assert before
+    for b in range(1, 8):
+        table.write(one(spark, (1, 10 + b), (5, 50 + b)), b)
+        folds += any(n.startswith(f"run=f{b}-") for n in table.files.list(f"{tmp_dir}/t/data"))
+    assert folds >= 3 and stamp() == before
+    live = table.live()
+    assert [r.buckets for r in live if r.level == 0] == [(2,)]
+    levels = [r.level for r in live if 1 in r.buckets]
+    assert len(levels) == len(set(levels)) and max(levels) == 3  # below fan runs on each level
+    assert ids_of(table.latest()) == {1: 17, 2: 2, 5: 57}
+    assert ids_of(table.latest(buckets=[2])) == {2: 2}
+    assert ids_of(table.latest(before=4)) == {1: 13, 2: 2, 5: 53}
+
+
+def test_superseded_files_go_after_the_grace_period(spark, tmp_dir):
+    import time
+
+    table = UserLog(spark, f"{tmp_dir}/t", buckets=2, fan=2, grace=3600)
+    for b in range(6):
+        table.write(one(spark, (0, b), (1, b)), b)
+    many = len(table.files.list(f"{tmp_dir}/t/data"))
+    table.drop_superseded()
+    assert len(table.files.list(f"{tmp_dir}/t/data")) == many  # young
+    time.sleep(1.1)
+    table.grace = 1.0
+    table.drop_superseded()
+    left = {n.removeprefix("run=") for n in table.files.list(f"{tmp_dir}/t/data")}
+    named = {r.name for r in table.live()} | {r.name for r in table.live(before=5)}
+    assert left == named and len(left) < many
+    assert len(table._manifests()) == 2
+    assert ids_of(table.latest()) == {0: 5, 1: 5} and ids_of(table.latest(before=5)) == {0: 4, 1: 4}
+
+
+def test_bad_messages_go_aside_and_the_query_goes_on(spark, tmp_dir):
+    """Malformed lines, also a batch of nothing else: written out with their batch, once, and the lists are those of the rest."""
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    sims = content.similarity_entries(content.content_movie_recs(inp.movies))
+    events = [tuple(r) for r in inp.rating_events.orderBy("timestamp").limit(200).collect()]
+    src, sink, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/recs", f"{tmp_dir}/ckpt"
+    put = lambda lines: spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(src)
+    line = lambda e: "|".join(map(str, e))
+    put([line(e) for e in events[:100]] + ["1|2|x|3", "no message", "", "99999999999|1|1.0|1"])
+    run(spark, src, inp.ratings, sims, sink, ckpt)
+    put(["|||", "1|2"])
+    run(spark, src, inp.ratings, sims, sink, ckpt)
+    put([line(e) + "|more" for e in events[100:]])  # further fields are ignored
+    run(spark, src, inp.ratings, sims, sink, ckpt)
+    bad = sorted((r.batch_id, r.value) for r in streaming.rejected_messages(spark, sink).collect())
+    assert bad == [(0, ""), (0, "1|2|x|3"), (0, "99999999999|1|1.0|1"), (0, "no message"), (1, "1|2"), (1, "|||")]
+    want = lists(realtime.realtime_recs(spark.createDataFrame(events, RATING), inp.ratings, sims))
     assert lists(streaming.current_stream_recs(spark, sink)) == want
+    # a batch handled again rejects the same messages once
+    handle = realtime_batch_handler(spark, inp.ratings, sims, sink)
+    handle(spark.createDataFrame([("|||",), ("1|2",)], "value string"), 1)
+    assert BatchTable(spark, f"{sink}_rejected").rows().count() == 6
+
 
+def test_the_default_cadence_runs(spark, tmp_dir):
+    """Without a trigger of its own the query runs every 20 seconds, and a batch takes less."""
+    import time
 
-def test_compaction_keeps_the_latest_lists(spark, tmp_dir):
-    schema = "uid int, recs array<struct<mid:int,score:double>>"
-    log = f"{tmp_dir}/log"
-    write_stream_recs(spark.createDataFrame([(1, [(5, 0.5)]), (2, [(6, 0.6)])], schema), log, 0)
-    write_stream_recs(spark.createDataFrame([(1, [(7, 0.7)])], schema), log, 1)
-    streaming.compact_stream_recs(spark, log, 2)
-    assert lists(streaming.current_stream_recs(spark, log)) == {1: [(7, 0.7)], 2: [(6, 0.6)]}
-    write_stream_recs(spark.createDataFrame([(2, [(8, 0.8)]), (3, [(9, 0.9)])], schema), log, 2)
-    want = {1: [(7, 0.7)], 2: [(8, 0.8)], 3: [(9, 0.9)]}
-    assert lists(streaming.current_stream_recs(spark, log)) == want
-    streaming.compact_stream_recs(spark, log, 3)
-    streaming.compact_stream_recs(spark, log, 3)  # again: the same snapshot
-    assert spark.read.parquet(f"{log}/snapshots").select("version").distinct().count() == 2
-    assert lists(streaming.current_stream_recs(spark, log)) == want
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    FactoredSims.of(content.content_model(inp.movies)).write(f"{tmp_dir}/content")
+    sims = FactoredSims.read(spark, f"{tmp_dir}/content", 0.6)
+    src, sink = f"{tmp_dir}/in", f"{tmp_dir}/recs"
+    write_in_order(spark, src, [tuple(r) for r in inp.rating_events.limit(100).collect()])
+    q = streaming.start_realtime_query(spark, streaming.rating_stream(spark, "text", src), inp.ratings, sims, sink, f"{tmp_dir}/ckpt")
+    try:
+        until = time.time() + 90
+        while time.time() < until and not [p for p in q.recentProgress if p["numInputRows"]]:
+            time.sleep(0.5)
+        write_in_order(spark, src, [tuple(r) for r in inp.rating_events.limit(30).collect()])
+        while time.time() < until and len([p for p in q.recentProgress if p["numInputRows"]]) < 2:
+            time.sleep(0.5)
+        done = [p for p in q.recentProgress if p["numInputRows"]]
+    finally:
+        q.stop()
+    assert [p["numInputRows"] for p in done] == [100, 30]
+    assert all(p["batchDuration"] < 20_000 for p in done)
+    start = [time.mktime(time.strptime(p["timestamp"][:19], "%Y-%m-%dT%H:%M:%S")) for p in done]
+    assert (start[1] - start[0]) % 20 < 2 or (start[1] - start[0]) % 20 > 18
+    assert streaming.current_stream_recs(spark, sink).count() > 0
 
 
 def test_lenient_message_parse_gives_nulls(spark):
