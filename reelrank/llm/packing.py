@@ -6,6 +6,7 @@ signs into ``HASHED`` dimensions (damped counts, unit length), projected to
 cell's place on the Hilbert curve is the document's key.  Documents are dealt
 out by ranges of (key, id, row number) and sorted, so neighbours on the curve
 are neighbours in the order; rows of one key, such as copies, are split too.
+Only keys and counts are sorted; the ids join their places by row number.
 The place of a document's first token is the sum of the tokens before it: each
 range sums its own, and the ranges' totals (one number each) are summed over.
 
@@ -37,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,16 +53,31 @@ AXES = 4
 BITS = 12  # cells along an axis: 2**BITS
 SPREAD = 3.0  # standard deviations that the grid covers to either side; farther is the last cell
 MAX_KNOWN = 1_500_000
-TEXTS = 500  # texts whose words are held at once
+TEXTS = 500  # documents whose pieces are made at once
+TEXT_BYTES = 8 << 20  # text whose words are held at once (a longer document is held alone)
 TASK_TOKENS = 8 << 20
 TASK_ROWS = 1 << 18
-_SPACES = str.maketrans("\n\t\r", "   ")
 _PLAIN_END = 0x250
 _LINE = 2000  # pieces encoded in one call
 
 
 # ------------------------------------------------------------------ tokens
 
+def _gathered(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` (each up to its place in ``ends``) numbered ``at``, one after another, and their ends."""
+    starts = np.concatenate(([0], ends[:-1]))
+    n = (ends - starts)[at]
+    out = np.cumsum(n)
+    kind = np.int32 if max(len(flat), out[-1] if len(out) else 0) < 1 << 31 else np.int64
+    place = np.repeat((starts[at] - (out - n)).astype(kind), n)
+    place += np.arange(len(place), dtype=kind)
+    return flat[place], out
+
+
+def _strings(a: pa.Array) -> list[str]:
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
 class Words:
     """Encodes texts by their distinct words; the ids are those of the library on the whole text."""
 
@@ -70,14 +87,14 @@ class Words:
         self.whole = Tokenizer.from_str(file)
         spec = json.loads(file)
         self.type = np.uint16 if self.whole.get_vocab_size() <= 1 << 16 else np.uint32
-        self.words: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         special = [t["content"] for t in spec["added_tokens"] or []]
         self.cut = None
         pattern = self._known(spec)
-        if pattern and not any(set(t) & set(" \t\n\r") for t in special):
-            # a class of one property alone needs no brackets
-            self.cut = Cutter(pattern.replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}"))
+        if pattern and not any(set(t) & set(" \t\n\r\v\f") for t in special):
+            # a class of one property alone needs no brackets; a line end marks the end of a word
+            self.cut = Cutter(pattern.replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}") + r"|\n")
             self.other = re.compile("|".join([f"[^\0-{chr(_PLAIN_END - 1)}]", *map(re.escape, special)])).search
             self.plain = Tokenizer.from_str(file)
             self.plain.normalizer = normalizers.Sequence([])
@@ -101,39 +118,58 @@ class Words:
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.type).tobytes()
 
+    def _flat(self, known: dict[str, bytes], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``names`` one after another, and where each one's end."""
+        held = list(map(known.__getitem__, names))
+        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held))) // self.type().itemsize
+        return np.frombuffer(b"".join(held) or bytearray(), dtype=self.type), ends
+
     def _learn(self, words: list[str]) -> None:
         other = [w for w in words if self.other(w)]
         for w, e in zip(other, self.whole.encode_batch(other, add_special_tokens=False)):
             self.words[w] = self._ids(e.ids)
-        cut = {w: self.cut(w.lower()) for w in words if not self.other(w)}
-        new = list(set().union(*cut.values()) - self.pieces.keys())
+        if other:
+            known = set(other)
+            words = [w for w in words if w not in known]
+        # all words in one string, cut at once: their pieces, and a line end after each word
+        cut = pa.array(self.cut("\n".join([*words, ""]).lower()), pa.string()).dictionary_encode()
+        names = _strings(cut.dictionary)
+        self._learn_pieces([p for p in names if p != "\n" and p not in self.pieces])
+        self.pieces["\n"] = b""
+        at = cut.indices.to_numpy()
+        flat, ends = _gathered(*self._flat(self.pieces, names), at)
+        size, flat = self.type().itemsize, flat.tobytes()
+        of = (size * ends[at == names.index("\n")]).tolist() if words else []
+        self.words |= {w: flat[s:e] for w, s, e in zip(words, [0, *of], of)}
+
+    def _learn_pieces(self, new: list[str]) -> None:
         size = self.type().itemsize
         for a in range(0, len(new), _LINE):
             part = new[a:a + _LINE]
             ids = np.array(self.plain.encode(" ".join(part), add_special_tokens=False).ids, dtype=self.type)
-            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()  # each piece's last token is marked as such
+            ends = (size * (np.flatnonzero(self.last[ids]) + 1)).tolist()  # each piece's last token is marked as such
             if len(ends) != len(part):
                 self.pieces |= {p: self._ids(self.plain.encode(p, add_special_tokens=False).ids) for p in part}
                 continue
             flat = ids.tobytes()
-            self.pieces |= {p: flat[size * s:size * e] for p, s, e in zip(part, [0, *ends], ends)}
-        known = self.pieces
-        for w, p in cut.items():
-            self.words[w] = b"".join([known[x] for x in p])
+            self.pieces |= {p: flat[s:e] for p, s, e in zip(part, [0, *ends], ends)}
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null counts as empty."""
+        texts = texts.fill_null("")
         if self.cut is None:
-            return [np.array(e.ids, dtype=self.type) for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+            return [np.array(e.ids, dtype=self.type) for e in self.whole.encode_batch(texts.to_pylist(), add_special_tokens=False)]
         # these separators are white space to every part; other white space is left to the pattern
-        lists = [t.translate(_SPACES).split(" ") for t in texts]
-        asked = set().union(*lists)
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        names = _strings(words.dictionary)
         if len(self.words) > MAX_KNOWN or len(self.pieces) > MAX_KNOWN:
-            self.words, self.pieces = {"": b""}, {}
-        new = asked - self.words.keys()
-        if new:
-            self._learn(list(new))
+            self.words, self.pieces = {}, {}
         known = self.words
-        return [np.frombuffer(b"".join([known[w] for w in words]) or bytearray(), dtype=self.type) for words in lists]
+        self._learn([w for w in names if w not in known])
+        ids, ends = _gathered(*self._flat(known, names), words.indices.to_numpy())
+        bounds = np.concatenate(([0], ends))[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def _words(file: str) -> Words:
@@ -198,8 +234,13 @@ class Curve:
 
 # ------------------------------------------------------------------ the packing
 
+def id_type(file: str) -> str:
+    """Two bytes for each id where the vocabulary allows it, else four."""
+    return np.dtype(Words(file).type).newbyteorder("<").str
+
+
 def encoded(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
-    """``doc_id, key, n, ids``: the ids of each document with the end id (32-bit, little-endian), and its curve key."""
+    """``doc_id, key, n, ids``: the ids of each document with the end id (:func:`id_type`), and its curve key."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     get = shipped(docs.sparkSession, file)
 
@@ -207,43 +248,49 @@ def encoded(docs: DataFrame, file: str, doc_id: str = "doc_id", text: str = "tex
         words = _words(get())
         curve = Curve(words.whole.get_vocab_size())
         for batch in batches:
-            for a in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(a, TEXTS)
-                ids = words([t or "" for t in part.column(1).to_pylist()])
-                keys = curve.keys(ids)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+            a = 0
+            while a < batch.num_rows:
+                done = int(sizes[a - 1]) if a else 0
+                b = max(a + 1, int(np.searchsorted(sizes, done + TEXT_BYTES, side="right")))
+                part, a = batch.slice(a, b - a), b
+                ids = words(part.column(1))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(keys), pa.array([len(i) + 1 for i in ids], pa.int64()),
-                    pa.array([np.append(i, end).astype("<u4").tobytes() for i in ids], pa.binary())],
+                    part.column(0), pa.array(curve.keys(ids)), pa.array([len(i) + 1 for i in ids], pa.int64()),
+                    pa.array([np.append(i, words.type(end)).tobytes() for i in ids], pa.binary())],
                     names=["doc_id", "key", "n", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, key long, n long, ids binary")
 
 
-def ordered(documents: DataFrame) -> DataFrame:
-    """``documents`` along the curve, with ``place``: the number of tokens before each; written once."""
+def ordered(documents: DataFrame) -> tuple[DataFrame, int]:
+    """``doc_id, ids, n`` with ``place``, the number of tokens before the document along the curve; and all tokens.
+
+    Only (key, id, row, n) is sorted and summed; the ids, written once, are dealt out once to meet their place.
+    """
     rows = stored(documents.withColumn("row", F.monotonically_increasing_id()), "packing-tokens")
     total, n = rows.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
     tasks = documents.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, -(-total // TASK_TOKENS), -(-n // TASK_ROWS), min(tasks, n // 1000))
-    dealt = rows.repartitionByRange(int(parts), "key", "doc_id", "row").sortWithinPartitions("key", "doc_id", "row")
-    out = f"{dealt.select('doc_id', 'key', 'n', 'ids').schema.simpleString()[7:-1]},part:int,inside:long"
+    parts = int(max(1, -(-n // TASK_ROWS), min(tasks, n // 1000)))
+    dealt = rows.select("key", "doc_id", "row", "n").repartitionByRange(parts, "key", "doc_id", "row")
+    dealt = dealt.sortWithinPartitions("key", "doc_id", "row").select("row", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, part = 0, TaskContext.get().partitionId()
         for batch in batches:
-            n = batch.column(2).to_numpy()
+            n = batch.column(1).to_numpy()
             ends = before + np.cumsum(n)
             yield pa.RecordBatch.from_arrays([
-                *batch.columns, pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(ends - n)],
-                names=[*batch.schema.names, "part", "inside"])
+                batch.column(0), batch.column(1), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(ends - n)],
+                names=["row", "n", "part", "inside"])
             before = int(ends[-1]) if len(n) else before
 
-    sums = stored(dealt.select("doc_id", "key", "n", "ids").mapInArrow(run, out.replace(":", " ")), "packing-order")
-    # one row for each range of about TASK_TOKENS
+    sums = stored(dealt.mapInArrow(run, "row long, n long, part int, inside long"), "packing-order")
+    # one row for each range of TASK_ROWS documents
     ranges = sums.groupBy("part").agg(F.sum("n").alias("tokens")).withColumn("before", F.coalesce(F.sum("tokens").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    return sums.join(ranges, "part").select("doc_id", "key", "n", "ids", (F.col("before") + F.col("inside")).alias("place"))
+    places = sums.join(ranges, "part").select("row", (F.col("before") + F.col("inside")).alias("place"))
+    return rows.join(places.hint("shuffle_hash"), "row").select("doc_id", "ids", "n", "place"), total or 0
 
 
 def tail_cuts(total: int, length: int) -> list[int]:
@@ -281,9 +328,8 @@ def pack(docs: DataFrame, file: str, length: int = LENGTH, doc_id: str = "doc_id
     ``file`` is the text of a ``tokenizers`` JSON file; ``ids`` are 32-bit little-endian numbers.
     """
     spark = docs.sparkSession
-    along = ordered(encoded(docs, file, doc_id, text, end))
-    total = along.agg(F.sum("n")).first()[0] or 0
-    tail = tail_cuts(total, length)
+    along, total = ordered(encoded(docs, file, doc_id, text, end))
+    kind, tail = id_type(file), tail_cuts(total, length)
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,19 +338,18 @@ def pack(docs: DataFrame, file: str, length: int = LENGTH, doc_id: str = "doc_id
             for a in range(0, batch.num_rows, TEXTS):
                 out, at = [], []
                 for i in range(a, min(a + TEXTS, batch.num_rows)):
-                    flat = ids[i].as_py()
+                    flat = np.frombuffer(ids[i].as_py(), dtype=kind).astype("<u4").tobytes()
                     for s, e, sequence, offset in pieces_of(place[i], place[i] + n[i], length, tail):
                         first = s - place[i]
                         out.append((first, e - s, flat[4 * first:4 * (first + e - s)], n[i], sequence, offset))
                         at.append(i)
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+                types_ = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(at, pa.int64())),
-                    *[pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)]], names=names)
+                    *[pa.array([r[c] for r in out], t) for c, t in enumerate(types_)]], names=names)
 
-    kind = along.schema["doc_id"].dataType.simpleString()
-    return along.select("doc_id", "ids", "n", "place").mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return along.mapInArrow(
+        run, f"doc_id {along.schema['doc_id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,7 +223,7 @@ def test_words_equal_the_library():
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(3000)] + TEXTS[1:]
     words = packing.Words(queries.word_bpe())
     assert words.cut is not None
-    got = [[*i.tolist(), 1] for i in words(texts)]
+    got = [[*i.tolist(), 1] for i in words(pa.array(texts, pa.string()))]
     assert got == tokens(texts)
 
 
@@ -231,7 +232,7 @@ def test_words_start_again(monkeypatch):
     words = packing.Words(queries.word_bpe())
     for a in range(0, 400, 40):
         texts = [f"w{i} common x{i * i}" for i in range(a, a + 40)]
-        assert [[*i.tolist(), 1] for i in words(texts)] == tokens(texts)
+        assert [[*i.tolist(), 1] for i in words(pa.array(texts, pa.string()))] == tokens(texts)
 
 
 @pytest.mark.parametrize("axes,bits", [(2, 4), (3, 3), (4, 2)])
