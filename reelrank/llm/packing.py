@@ -52,9 +52,9 @@ HASHED = 256
 AXES = 4
 BITS = 12  # cells along an axis: 2**BITS
 SPREAD = 3.0  # standard deviations that the grid covers to either side; farther is the last cell
-MAX_KNOWN = 1_500_000
+MAX_KNOWN = 500_000
 TEXTS = 500  # documents whose pieces are made at once
-TEXT_BYTES = 8 << 20  # text whose words are held at once (a longer document is held alone)
+TEXT_BYTES = 4 << 20  # text whose words are held at once (a longer document is held alone)
 TASK_TOKENS = 8 << 20
 TASK_ROWS = 1 << 18
 _PLAIN_END = 0x250
