@@ -31,7 +31,8 @@ Templates, weights and places of anchors are literal tables (checked: at most
 
 Defined results: a null or empty text has no licence of its own; a null path
 is the empty path, in the root directory; rows with one path are one file, of
-all their lines; an empty table gives no rows.
+all their lines, and each row has its result row; an empty table gives no
+rows; of other columns only those in ``keep`` are read.
 """
 
 from __future__ import annotations
@@ -213,9 +214,9 @@ def ancestors(folder: Column) -> Column:
 
 
 def scan(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST,
-         templates: dict[str, str] | None = None) -> DataFrame:
-    """``path, own, cosine, inherited, from_dir, licence`` of every file."""
-    paths = files.select(F.coalesce(F.col(path), F.lit("")).alias("path")).distinct()
+         templates: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns ``keep`` and ``path, own, cosine, inherited, from_dir, licence``: one row for every row of ``files``."""
+    paths = files.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(path), F.lit("")).alias("path"))
     own = own_licences(files, path, text, least, templates)
     given = (own.where(F.col("path").rlike(LICENCE_FILE))
              .groupBy(directory(F.col("path")).alias("folder"))
@@ -228,14 +229,18 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", least: float
     joined = (paths.join(own, "path", "left").withColumn("dir", directory(F.col("path"))).join(nearest, "dir", "left"))
     missing = F.col("licence").isNull()
     return joined.select(
-        "path", F.col("licence").alias("own"), "cosine", F.when(missing, F.col("given")).alias("inherited"),
+        *keep, "path", F.col("licence").alias("own"), "cosine", F.when(missing, F.col("given")).alias("inherited"),
         F.when(missing, F.col("from_dir")).alias("from_dir"), F.coalesce("licence", "given").alias("licence"))
 
 
 def documents_as_files(docs: DataFrame) -> DataFrame:
-    """Documents as a tree of files: ``source/language/doc_id.txt``; a document of under 60 words that has a licence
-    marker is a licence file of its directory, ``LICENSE-doc_id``."""
+    """``doc_id, path, text``: documents as a tree of files, ``source/language/doc_id-digest.txt``.
+
+    The digest (of the text) tells rows of one id apart; a row without an id is named ``none``.  A document of under 60
+    words that has a licence marker is a licence file of its directory, ``LICENSE-doc_id-digest``.
+    """
     t = F.coalesce("text", F.lit(""))
     short = (F.size(F.split(F.trim(t), r"\s+")) < 60) & t.rlike(MARKERS)
-    name = F.when(short, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    own = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.substring(F.md5(t.cast("binary")), 1, 12))
+    name = F.when(short, F.concat(F.lit("LICENSE-"), own)).otherwise(F.concat(own, F.lit(".txt")))
     return docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), name).alias("path"), "text")

@@ -105,9 +105,8 @@ def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own, inherited and effective licence of every document, as a file of its source and language."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    found = licences.scan(licences.documents_as_files(docs))
-    doc_id = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
-    return found.select(doc_id.alias("doc_id"), "path", "own", F.round("cosine", 6).alias("cosine"), "inherited", "from_dir", "licence")
+    found = licences.scan(licences.documents_as_files(docs), keep=("doc_id",))
+    return found.select("doc_id", "path", "own", F.round("cosine", 6).alias("cosine"), "inherited", "from_dir", "licence")
 
 
 @register

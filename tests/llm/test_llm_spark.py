@@ -276,6 +276,21 @@ def test_licences(spark, none):
 
 
 
+def test_licence_query_gives_a_row_for_every_document(spark, tmp_dir):
+    """Repeated ids of different texts, equal rows, null and negative ids, clashing columns: no row is lost or renamed."""
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [(1, mit + "\n" + COPY, "en", "a"), (1, gpl + " " + COPY, "en", "a"), (1, "plain", "en", "a"), (1, "plain", "en", "a"), (-5, mit, "de", "b"),
+            (None, "nothing here", "de", "b"), (None, gpl, "fr", None), (7, None, None, None), (8, "", "de", "b")]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, path string, own string")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    got = queries.op6_licence_scan(spark, tmp_dir).collect()
+    assert sorted((r.doc_id for r in got), key=repr) == sorted((r[0] for r in rows), key=repr)
+    found = sorted(((r.doc_id, r.own, r.licence) for r in got), key=repr)
+    want = [(1, "GPL-3.0", "GPL-3.0"), (1, "MIT", "MIT"), (1, None, None), (1, None, None), (-5, "MIT", "MIT"), (None, None, "MIT"),
+            (None, "GPL-3.0", "GPL-3.0"), (7, None, None), (8, None, "MIT")]
+    assert found == sorted(want, key=repr)
+
+
 def test_licence_notices_are_found_as_units(spark):
     gpl = "{0} This program is free software; you can redistribute it and/or modify\n{0} it under the terms of the GNU General Public " \
           "License as published by\n{0} the Free Software Foundation; either version 2 of the License, or\n{0} any later version."
@@ -411,6 +426,36 @@ def test_host_verdicts(spark):
     assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == sorted(d for d, r in got.items() if r.kept)
 
 
+def test_rules_of_degree_decide_with_the_host(spark):
+    """A symbol-heavy, a line-repeating and a long-worded document go where their host fails that rule, and pass where it hardly does."""
+    odd_ones = {"sym": " ".join(f"wörd{i} ###$$$" for i in range(30)), "line": "\n".join([COPY] + ["again and again"] * 6),
+                "long": " ".join(f"averyveryverylongword{i}" for i in range(30))}
+    rows, want = [], {}
+    for name, text in odd_ones.items():
+        for i in range(400):
+            rows.append((len(rows), text if i == 0 else COPY, "spotless-" + name))
+            want[rows[-1][0]] = True
+        for i in range(40):
+            rows.append((len(rows), text if i < 10 else COPY, "mixed-" + name))
+            want[rows[-1][0]] = i >= 10
+    rows += [(len(rows) + i, odd_ones["sym"], "junk") for i in range(20)] + [(len(rows) + 20, COPY, "junk")]
+    want |= {r[0]: False for r in rows[-21:]}  # the host as a whole
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert {d: r.kept for d, r in got.items()} == want and not any(r.base_failed for r in got.values())
+    assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == sorted(d for d, k in want.items() if k)
+
+
+def test_rules_of_degree_on_labelled_documents(spark):
+    """Documents go that pass the base rules, none of them labelled good but for repeated lines."""
+    sf = SF_SMALL.replace("0.001", "0.01")
+    got = queries.op10_host_rules(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    more = got.where("NOT kept AND NOT base_failed").join(labels, "doc_id", "left")
+    n, good, bad = more.agg(F.count("*"), F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
+    assert n > 30 and bad > 10 and good <= 0.005 * labels.where("quality = 1").count()
+
+
 def test_quality_edges(odd, none, clash):
     got = quality.judge(odd)
     assert sorted(tuple(r[k] for k in quality.COUNTS) for r in got.collect()) == sorted(brute.quality(t) for _, t, *_ in ROWS)
