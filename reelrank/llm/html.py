@@ -2,11 +2,15 @@
 
 A page becomes a tree of elements (implied end tags closed, scripts and
 comments never entered).  Elements without prose (scripts, buttons, fields)
-and hidden ones are cut.  A name never cuts alone: an element named boilerplate
-(menus, headers, footers, sidebars, notices, adverts, forms, reader comments)
-goes if most of its text is links, or if all of one name is such words and the
-element has less text outside links than the rest of the page (than ten times
-the rest, if that holds an article); a larger one stays with half its density.
+and hidden ones are cut.  An element named boilerplate (menus, headers,
+footers, sidebars, notices, adverts, forms, reader comments) goes if most of
+its text is links.  If its tag or role says so, or all of one of its names is
+such words and words of plain structure (``site-footer``, ``ad-slot-top``,
+``comment-list``), it goes with all its text, unless next to nothing is left
+outside such elements (under 1/``HOLDS`` of it: a form or header around the
+whole page; never for reader comments): then it is like any other, and what is
+in it is judged with its own text outside named elements as the rest.  Another
+name with some such words (``share-enabled``) halves the density.
 What holds the article stays.  Every element gets its characters per tag,
 adjusted for the characters in links (composite text density).  The density
 sum of an element is the sum of its children's densities; the subtree of the
@@ -50,6 +54,13 @@ CUT_WORDS = frozenset(
     "cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice "
     "notices outbrain pager pagination popup promo promoted promotion related replies respond search share sharing "
     "sidebar sidebars signup social sponsor sponsored subscribe taboola toolbar widget widgets".split())
+# words of names that say nothing of the content
+PLAIN_WORDS = frozenset(
+    "area bar bars block blocks body bottom box boxes button buttons center col column container foot form global group "
+    "holder inner item items left link links list lists main message outer page panel primary right row section secondary "
+    "site slot slots thread threads top unit units wrap wrapper zone".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
+HOLDS = 20
 CUT_ROLES = frozenset("banner complementary contentinfo dialog form menu menubar navigation search".split())
 KEEP_TAGS = frozenset(("html", "body", "main", "article"))
 # an open element of the first kind ends where one of the second starts, within the elements of the third
@@ -92,10 +103,8 @@ class Node:
 
 
 def boilerplate(tag: str, attributes: str) -> tuple[bool, int]:
-    """Whether an element is cut whatever its text, and how it is named: 2 if all words of a class, an id, the role or
-    the tag stand for boilerplate, 1 if some words of a class or id do, else 0."""
-    if tag in KEEP_TAGS:
-        return False, 0
+    """Whether an element is cut whatever its text, and how it is named: 2 if the tag, the role or all words of a class or
+    an id stand for boilerplate (3: reader comments), 1 if some words of a class or id do, else 0."""
     if tag in CUT_TAGS:
         return True, 0
     hidden, named = False, 2 if tag in NAMED_TAGS else 0
@@ -106,12 +115,15 @@ def boilerplate(tag: str, attributes: str) -> tuple[bool, int]:
         elif name in ("class", "id"):
             for x in value.split():
                 found = _WORD.findall(_CAMEL.sub(" ", x).lower())
-                hits = sum(w in CUT_WORDS for w in found)
-                named = max(named, (hits > 0) + (0 < hits == len(found)))
+                if any(w in CUT_WORDS for w in found):
+                    whole = all(w in CUT_WORDS or w in PLAIN_WORDS for w in found)
+                    named = max(named, 1 + whole + (whole and any(w in COMMENT_WORDS for w in found)))
         elif name == "hidden":
             hidden |= not value.lower().startswith("until")
         elif name == "style":
             hidden |= bool(_NO_DISPLAY.search(unescape(value)))
+    if tag in KEEP_TAGS:  # a page or an article is no boilerplate, but a comment may be marked up as an article
+        return False, named if tag == "article" and named == 3 else 0
     return hidden, named
 
 
@@ -220,7 +232,7 @@ def _measure(nodes: list[Node], body: Node) -> float:
     for node in nodes:
         node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, share)
         if node.named:
-            node.density /= 2
+            node.density /= 2  # a name with some words of boilerplate
         if node.parent is not None:
             node.parent.sum += node.density
     return share
@@ -238,19 +250,27 @@ def _live(nodes: list[Node]) -> list[Node]:
 
 
 def _cut_named(live: list[Node]) -> list[Node]:
-    """The elements that stay once named ones that are link-heavy or small are cut."""
+    """The elements that stay once boilerplate by name is cut; parents are judged before what is in them."""
     if not any(x.named for x in live):
         return live
     plain = lambda x: x.chars - x.link_chars
-    rest, inside = plain(live[0]), set()
-    for x in live:  # text outside links and outside all elements with a name of boilerplate words
-        if x.named == 2 or x.parent is not None and id(x.parent) in inside:
-            rest -= plain(x) if x.parent is None or id(x.parent) not in inside else 0
-            inside.add(id(x))
-    if any(x.tag in ("article", "main") and x.chars and id(x) not in inside for x in live):
-        rest *= 10  # short articles have longer adverts beside them
+    # text outside links in each wholly named element (or the page) and outside such elements in it
+    own, holder = {id(live[0]): plain(live[0])}, {}
     for x in live:
-        x.cut = x.named > 0 and (2 * x.link_chars > x.chars or x.named == 2 and plain(x) < max(1, rest))
+        up = id(live[0]) if x.parent is None else holder[id(x.parent)]
+        if x.named >= 2 and x is not live[0]:
+            own[up] -= plain(x)
+            own[id(x)] = plain(x)
+            up = id(x)
+        holder[id(x)] = up
+    rest = own[id(live[0])]
+    for x in live:
+        if x.parent is not None and x.parent.cut:
+            x.cut = True
+        elif x.named:
+            x.cut = 2 * x.link_chars > x.chars or x.named == 3 and rest > 0 or x.named == 2 and HOLDS * rest >= max(1, plain(x))
+            if x.named >= 2 and not x.cut:
+                x.named, rest = 0, rest + own[id(x)]
     live = _live(live)
     _count(live)
     return live
@@ -292,13 +312,17 @@ def _dense(branches: list, limit: float, share: float) -> list[str]:
 
 
 def _hold_article(nodes: list[Node]) -> None:
-    """An element around the article is not boilerplate, and a header within it is part of it."""
+    """An element around the article is not boilerplate, and a header within it is part of it; articles in reader comments
+    are comments."""
     for node in nodes:
-        if node.tag in ("article", "main"):
-            x = node.parent
-            while x is not None:
-                x.cut, x.named = False, 0
+        if node.tag in ("article", "main") and node.named < 3:
+            above, x = [], node.parent
+            while x is not None and x.named < 3:
+                above.append(x)
                 x = x.parent
+            if x is None:
+                for x in above:
+                    x.cut, x.named = False, 0
     for node in nodes:
         if node.named and node.tag == "header":
             x = node.parent
@@ -342,15 +366,15 @@ def main_text(html: str | None) -> str:
 
 
 def extract(pages: DataFrame, html: str = "html", to: str = "text") -> DataFrame:
-    """``pages`` with the main text in column ``to`` in place of the html; no shuffle."""
-    rest = [c for c in pages.columns if c != html]
+    """``pages`` with the main text in column ``to`` in place of the html (and of a column of that name); no shuffle."""
+    rest = [c for c in pages.columns if c != html and c.lower() != to.lower()]
     fields = pages.select(*[F.col(f"`{c}`") for c in rest]).schema.fields
     schema = T.StructType([*fields, T.StructField(to, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (x.slice(a, 500) for x in batches for a in range(0, x.num_rows, 500)):
             texts = [main_text(h) for h in batch.column(batch.schema.get_field_index(html)).to_pylist()]
-            kept = [batch.column(i) for i, x in enumerate(batch.schema.names) if x != html]
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in rest]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=schema.names)
 
     return pages.mapInArrow(run, schema)

@@ -237,6 +237,87 @@ def test_hidden_link_heavy_and_small_named_elements_go(element):
     assert html.main_text(f"<body><a href='/'>l</a><article>{body}{element}{body}</article></body>") == " ".join(["word"] * 60)
 
 
+@pytest.mark.parametrize("attributes", [
+    "class='comment-list'", "class='comment-thread'", "class='sidebar-left'", "class='ad-slot-top'", "class='cookie-bar'", "id='site-footer'",
+    "id='comments'", "class='commentList'", "id='main-nav'", "class='related-links'", "class='widget_area-2'", "role='complementary'",
+])
+@pytest.mark.parametrize("longer", [1, 12])
+def test_boilerplate_by_whole_names_goes_with_all_its_text(attributes, longer):
+    """With and without an article, also where it has more text than the article itself, and inside the article."""
+    links = "<nav><ul>" + "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(9)) + "</ul></nav>"
+    paragraphs = "".join(f"<p>{f'word{i} ' * 40}</p>" for i in range(4))
+    want = " ".join(f"word{i}" for i in range(4) for _ in range(40))
+    extra = f"<div {attributes}>" + "".join(f"<p>{f'other{i} ' * 30}</p>" for i in range(4 * longer)) + "</div>"
+    for page in (f"<article>{paragraphs}</article>{extra}", f"<div>{paragraphs}</div>{extra}", f"{extra}<div>{paragraphs}</div>",
+                 f"<article>{paragraphs}{extra}</article>", f"<article>{extra}{paragraphs}</article>"):
+        got = html.main_text(f"<body>{links}{page}</body>")
+        assert "other" not in got and got.split() == want.split()
+
+
+def test_comments_marked_up_as_articles_go():
+    paragraphs = "".join(f"<p>{'word ' * 40}</p>" for _ in range(4))
+    said = "".join(f"<article class='comment'><p>{'reply ' * 50}</p></article>" for _ in range(9))
+    for page in (f"<main>{paragraphs}<section id='comments'>{said}</section></main>", f"<article>{paragraphs}</article><section id='comments'>{said}</section>",
+                 f"<div>{paragraphs}</div><ol class='comment-list'><li><article>{'reply ' * 300}</article></li></ol>"):
+        assert html.main_text(f"<body>{page}</body>") == " ".join(["word"] * 160)
+
+
+def test_a_form_around_the_page_is_no_form():
+    """What is in it is judged by its own: the article stays, the sidebar in it goes."""
+    paragraphs = "".join(f"<p>{'word ' * 40}</p>" for _ in range(4))
+    side = "<div id='sidebar'>" + "".join(f"<p>{'side ' * 9}</p>" for _ in range(3)) + "</div>"
+    assert html.main_text(f"<body><form id='aspnetForm'>{side}<div>{paragraphs}</div></form></body>") == " ".join(["word"] * 160)
+
+
+def plain_counts(node):
+    """Characters, tags, link characters and link tags below an element, straight from the definition."""
+    chars = tags = link_chars = link_tags = 0
+    for x in node.children:
+        if isinstance(x, str):
+            n = len(re.sub(r"\s", "", x))
+            chars, link_chars = chars + n, link_chars + n * (node.tag == "a")
+        else:
+            c, t, lc, lt = plain_counts(x)
+            chars, tags, link_tags = chars + c, tags + t + 1, link_tags + lt + (x.tag == "a")
+            link_chars += c if node.tag == "a" else lc
+    return chars, tags, link_chars, link_tags
+
+
+def plain_density(node, share):
+    import math
+
+    c, t, lc, lt = plain_counts(node)
+    if not c:
+        return 0.0
+    base = math.log(c / max(1, c - lc) * lc + lc * 0 + share * c + math.e)
+    return c / max(1, t) * math.log(max(math.e, c / max(1, lc) * max(1, t) / max(1, lt))) / math.log(base) if base > 1.01 else 0.0
+
+
+def test_densities_equal_their_definition_on_random_pages():
+    """Composite densities and density sums of every element of small random trees, recomputed one by one."""
+    r = random.Random(11)
+
+    def some(depth):
+        out = []
+        for _ in range(r.randint(0, 4)):
+            tag = r.choice(["div", "p", "a", "b", "section", "li", "span"])
+            inner = some(depth - 1) if depth and tag != "p" else "".join(r.choice("ab c") for _ in range(r.randint(0, 60)))
+            out.append(f"<{tag}>{inner}</{tag}>")
+        return "".join(out)
+
+    for _ in range(60):
+        root, nodes = html.parse(f"<body>{some(4)}</body>")
+        html._count(nodes)
+        body = next(x for x in nodes if x.tag == "body")
+        share = html._measure(nodes, body)
+        c, _, lc, _ = plain_counts(body)
+        assert share == pytest.approx(lc / c if c else 0.0)
+        for x in nodes:
+            assert (x.chars, x.tags, x.link_chars, x.link_tags) == plain_counts(x)
+            assert x.density == pytest.approx(plain_density(x, share))
+            assert x.sum == pytest.approx(sum(plain_density(y, share) for y in x.children if not isinstance(y, str)))
+
+
 def test_threshold_decides_every_side_branch():
     links = "<nav><ul>" + "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(9)) + "</ul></nav>"
     cards = "".join(f"<article><a href='/{i}'>Teaser {i} <i>of</i> <i>a</i> <i>story</i></a></article>" for i in range(3))
