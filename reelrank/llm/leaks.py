@@ -5,9 +5,10 @@ separates).  For an item of n words the windows of n words of a document are
 compared with it by their shingles of five words; a shingle weighs as many
 bytes as its words have.
 
-1. A window without any shingle of the items has similarity zero, so only
-   windows around a shared shingle are looked at.  This screen is exact and
-   leaves almost nothing of a clean corpus.
+1. A window and an item without a common shingle have similarity zero, so
+   only windows around a shared shingle are looked at, and only for the items
+   that have a shingle of the document.  This screen is exact and leaves almost
+   nothing of a clean corpus.
 2. The window's weighted SimHash is looked up in the index: item fingerprints
    are cut into eight blocks of eight bits, and fingerprints within
    ``radius`` bits agree to within ``radius // 8`` bits on a block at least, so
@@ -17,13 +18,16 @@ bytes as its words have.
    ``similarity`` or more is a leak.
 
 The index holds at most ``MAX_ITEMS`` items and ``MAX_BYTES`` of their text
-(checked); a larger benchmark is searched in several indexes, one pass each.
-Documents are read in place: no shuffle, no join.
+(checked); a larger benchmark is written by parts and searched in several
+indexes, one pass each.  Windows are looked up in runs of at most ``MAX_CELLS``
+windows times items, so memory does not grow with the text.  Documents are
+read in place: no shuffle, no join.
 
 Defined results: null or empty texts and items match nothing; an item of fewer
 than five words has one shingle, the whole, and matches only equal windows; a
 document shorter than an item is one window; repeated rows are judged one by
-one; equal items each match; an empty table gives no rows.
+one; equal items each match; an item without an id matches like any other, with
+a null id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,12 +42,14 @@ from pyspark.sql import types as T
 
 from reelrank.llm import words as W
 from reelrank.llm.tables import shipped
+from reelrank.session import scratch_path
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # at least 4 / 5
 RADIUS = 20
 MAX_ITEMS = 4096
 MAX_BYTES = 16 << 20
+MAX_CELLS = 1 << 21  # windows times items looked up at once
 _RUN = 4096  # windows whose bits are summed at once
 _SPACED = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
 _NEAR = np.array([[bin(a ^ b).count("1") for b in range(256)] for a in range(256)], dtype=np.uint8)
@@ -111,7 +117,7 @@ class Index:
             group["own"].append(own)
             group["fp"].append(prints(*own, np.zeros(1, dtype=np.int64), len(own[0]))[0])
             for x in set(own[0].tolist()):
-                self.by_size.setdefault(k, {}).setdefault(x, set()).add(n)
+                self.by_size.setdefault(k, {}).setdefault(x, {}).setdefault(n, []).append(len(group["ids"]) - 1)
         self.keys = {}
         for k, of in self.by_size.items():
             keys = np.array(sorted(of), dtype=np.uint64)
@@ -124,16 +130,20 @@ class Index:
             # near[b][v]: the items whose block b is within radius // 8 bits of v
             group["near"] = [_NEAR[:, blocks[:, b]] <= radius // 8 for b in range(8)]
 
-    def lookup(self, group: dict, fps: np.ndarray) -> list[tuple[int, int, int]]:
-        """``(window, item, bits)`` of all item fingerprints within the radius of a window's."""
-        parts = fps.astype(">u8").view(np.uint8).reshape(-1, 8)
-        some = np.zeros((len(fps), len(group["fp"])), dtype=bool)
-        for b in range(8):
-            some |= group["near"][b][parts[:, b]]
-        window, item = np.nonzero(some)
-        bits = np.bitwise_count(fps[window] ^ group["fp"][item])
-        ok = bits <= self.radius
-        return list(zip(window[ok].tolist(), item[ok].tolist(), bits[ok].tolist()))
+    def lookup(self, group: dict, fps: np.ndarray, items: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+        """``(window, item, bits)`` of the fingerprints of all items (or of ``items``) within the radius of a window's."""
+        items = np.arange(len(group["fp"])) if items is None else items
+        parts, out = fps.astype(">u8").view(np.uint8).reshape(-1, 8), []
+        near, step = [of[:, items] for of in group["near"]], max(1, MAX_CELLS // max(1, len(items)))
+        for a in range(0, len(fps), step):
+            some = np.zeros((len(fps[a:a + step]), len(items)), dtype=bool)
+            for b in range(8):
+                some |= near[b][parts[a:a + step, b]]
+            window, item = np.nonzero(some)
+            bits = np.bitwise_count(fps[a + window] ^ group["fp"][items[item]])
+            ok = bits <= self.radius
+            out += zip((a + window[ok]).tolist(), items[item[ok]].tolist(), bits[ok].tolist())
+        return out
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, float]]:
         """``(text, item_id, start_word, n_words, bits, similarity)``: the best window of each text and item."""
@@ -144,15 +154,21 @@ class Index:
             hashes = w.hashes(W.HASHES[0])
             owner = np.repeat(np.arange(b - a), np.diff(w.bounds))
             places: dict[tuple[int, int], list[int]] = {}
+            shared: dict[tuple[int, int], set[int]] = {}
             of_k = {}
             for k, (keys, likely) in self.keys.items():
                 h, weights = of_k[k] = _shingles(w, hashes, k)
                 at = np.flatnonzero(likely[h >> np.uint64(44)])
                 at = at[(owner[at] == owner[at + k - 1])]
                 spot = np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)
+                seen: set[tuple[int, int]] = set()
                 for p in at[keys[spot] == h[at]].tolist():
-                    for n in self.by_size[k][int(h[p])]:
-                        places.setdefault((int(owner[p]), n), []).append(p)
+                    i, x = int(owner[p]), int(h[p])
+                    for n, items in self.by_size[k][x].items():
+                        places.setdefault((i, n), []).append(p)
+                        if (i, x) not in seen:
+                            shared.setdefault((i, n), set()).update(items)
+                    seen.add((i, x))
             for (i, n), hits in sorted(places.items()):
                 group, first, last = self.lengths[n], int(w.bounds[i]), int(w.bounds[i + 1])
                 k, size = group["k"], min(n, last - first)
@@ -163,14 +179,15 @@ class Index:
                 np.add.at(marks, np.minimum(p, last - size) - first + 1, -1)
                 starts = np.flatnonzero(np.cumsum(marks)[:last - first]) + first
                 best: dict[int, tuple] = {}
-                for x, item, bits in self.lookup(group, prints(h, weights, starts, size - k + 1)):
+                asked = np.array(sorted(shared[i, n]))
+                for x, item, bits in self.lookup(group, prints(h, weights, starts, size - k + 1), asked):
                     s = int(starts[x])
                     low, all_ = similarity((h[s:s + size - k + 1], weights[s:s + size - k + 1]), group["own"][item])
                     if SIMILARITY[1] * low >= SIMILARITY[0] * all_:
                         got = (-low / all_, s - first, size, bits)
                         best[item] = min(best.get(item, got), got)
                 out += [(a + i, group["ids"][item], s, size, bits, -score) for item, (score, s, size, bits) in best.items()]
-        return sorted(out)
+        return sorted(out, key=lambda f: (f[0], f[1] is None, f[1] or 0, f[2:]))
 
 
 def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", radius: int = RADIUS,
@@ -179,9 +196,14 @@ def indexes(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     n, size = items.agg(F.count("*"), F.sum(F.octet_length("text").cast("long"))).first()
     parts = max(1, -(-n // max_items), -(-(size or 0) // max_bytes))
+    if parts > 1:  # dealt out once, not scanned for every part
+        path = scratch_path(benchmark.sparkSession, "benchmark")
+        (items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("int"))
+         .write.partitionBy("part").parquet(path))
+        items = benchmark.sparkSession.read.schema("item_id long, text string, part int").parquet(path)
     for part in range(parts if n else 0):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
-        yield Index(sorted((r[0] if r[0] is not None else -1, r[1]) for r in rows.collect()), radius)
+        rows = items.where(F.col("part") == part).select("item_id", "text") if parts > 1 else items
+        yield Index(sorted(map(tuple, rows.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])), radius)
 
 
 def _pieces(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:

@@ -195,6 +195,27 @@ def test_index_finds_all_within_the_radius():
     assert got == brute.leaks(docs, items)
 
 
+def test_a_very_long_text_against_many_items_of_one_length():
+    """200,000 words that share a shingle with each of 4,096 items at 100 places: memory stays small, leaks are found."""
+    import tracemalloc
+
+    common = "one two three four five"
+    items = [(i if i else None, f"{common} item{i} has seven words more a{i} b{i} c{i}") for i in range(4096)]
+    index = leaks.Index(items)
+    r = random.Random(3)
+    words = [f"w{r.randrange(5000)}" for _ in range(200_000)]
+    for at in range(0, 200_000, 2000):
+        words[at:at + 5] = common.split()
+    words[100_003:100_003] = items[77][1].split()
+    words[50_003:50_003] = items[0][1].split()
+    tracemalloc.start()
+    got = index.search([" ".join(words)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(f[1], f[5]) for f in got] == [(77, 1.0), (None, 1.0)]
+    assert peak < 500 << 20
+
+
 def test_hamming_blocks_guarantee():
     import numpy as np
 
