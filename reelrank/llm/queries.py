@@ -34,7 +34,7 @@ def byte_bpe() -> bpe.Vocabulary:
 def op1_url_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     pages = read(spark, sf_dir, "pages")
-    return urls.judge(pages, urls.train(urls.weak_labels(pages))).select("page_id", "host", "path", "rule", "verdict")
+    return urls.judge(pages, urls.train(urls.known_urls(spark))).select("page_id", "host", "path", "rule", "verdict")
 
 
 @register

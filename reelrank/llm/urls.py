@@ -1,8 +1,9 @@
 """URL filter: host and path rules, else logistic regression on hashed character n-grams of host and path.
 
-The model is trained on the driver on a small labelled URL table, at most
-``max_rows`` of it (the first by a hash of the url, so the choice does not
-depend on the order of rows).  Scoring hashes the n-grams of a whole batch of
+The model is trained on the driver on a small labelled URL table, by default
+the one kept with the package, at most ``max_rows`` of it (the first by a hash
+of the url, so the choice does not depend on the order of rows).  So a url's
+verdict does not depend on the pages judged with it.  Scoring hashes the n-grams of a whole batch of
 urls with array arithmetic and adds up weights; rules are column expressions.
 No shuffle but the top-``max_rows`` of the labelled table.
 
@@ -19,23 +20,22 @@ from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelrank.llm import words as W
 from reelrank.llm.tables import shipped
+from reelrank.llm.url_table import ALLOW, BLOCK
 
 NGRAMS = (3, 4, 5)
 BITS = 18
 MAX_ROWS = 4000
-STEPS = 200
-RATE = 1.0
-PENALTY = 1e-3
-
-# Words of a host that mark it in the small labelled table; the model learns from whole urls that have them.
-BAD_WORDS = ("ads", "adserver", "bets", "betting", "casino", "escort", "lottery", "payday", "pharma", "pills",
-             "poker", "porn", "spam", "viagra", "warez", "xxx")
+STEPS = 1500
+RATE = 10.0
+BAD_SHARE = 0.3  # weight of the urls to block in training: most urls of a crawl are to be allowed
+PENALTY = 1e-5
+_DIGITS = bytes(48 if 48 <= c <= 57 else c for c in range(256))  # numbers in a url say nothing of it
 
 # (verdict, host, path) of the rules; a rule's name is its host and path
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -58,10 +58,10 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def features(hosts: list[bytes], paths: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, feature)`` of every hashed n-gram of ``^host$`` and ``^path$``; host and path grams differ."""
+    """``(row, feature)`` of every hashed n-gram of ``^host$`` and ``^path$``; host and path grams differ, digits do not."""
     rows, found = [], []
     for part, texts in enumerate((hosts, paths)):
-        texts = [b"^" + t + b"$" for t in texts]
+        texts = [b"^" + t.translate(_DIGITS) + b"$" for t in texts]
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         owner = np.repeat(np.arange(len(texts)), sizes)
         letters = W.mix(np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.uint64) + np.uint64(1 + 256 * part))
@@ -88,27 +88,27 @@ class Model:
 
     def fit(self, hosts: list[bytes], paths: list[bytes], labels: np.ndarray, steps: int = STEPS, rate: float = RATE,
             penalty: float = PENALTY) -> Model:
-        """Full-batch gradient descent on the mean log loss, both classes of equal weight."""
+        """Full-batch gradient descent on the mean log loss, each class with its share of the weight."""
         bad = int(labels.sum())
         if not 0 < bad < len(labels):
             return self
-        share = np.where(labels > 0, 0.5 / bad, 0.5 / (len(labels) - bad))
+        share = np.where(labels > 0, BAD_SHARE / bad, (1 - BAD_SHARE) / (len(labels) - bad))
         row, f = features(hosts, paths, self.bits)
+        used, f = np.unique(f, return_inverse=True)  # other weights stay zero
         each = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(hosts)), 1))
-        self.bias = 0.0
+        weights, self.bias = np.zeros(len(used)), 0.0
         for _ in range(steps):
-            s = self.bias + np.bincount(row, self.weights[f], minlength=len(hosts)) * each
+            s = self.bias + np.bincount(row, weights[f], minlength=len(hosts)) * each
             error = (labels - 1 / (1 + np.exp(-s))) * share
-            self.weights += rate * (np.bincount(f, (error * each)[row], minlength=1 << self.bits) - penalty * self.weights)
+            weights += rate * (np.bincount(f, (error * each)[row], minlength=len(used)) - penalty * weights)
             self.bias += rate * error.sum()
+        self.weights[used] = weights
         return self
 
 
-def weak_labels(pages: DataFrame, url: str = "url", bad_words: tuple[str, ...] = BAD_WORDS) -> DataFrame:
-    """A labelled URL table ``(url, label)`` from known words: 1 if a part of the host is one of them."""
-    host, _ = host_and_path(F.col(url))
-    return pages.select(F.col(url).alias("url"), F.arrays_overlap(
-        F.split(host, r"[.\-]"), F.lit(list(bad_words))).cast("int").alias("label")).where("url IS NOT NULL")
+def known_urls(spark: SparkSession) -> DataFrame:
+    """The labelled URL table ``(url, label)`` of the package: 1 for urls to block."""
+    return spark.createDataFrame([*((u, 1) for u in BLOCK), *((u, 0) for u in ALLOW)], "url string, label int")
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
