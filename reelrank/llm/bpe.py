@@ -10,7 +10,8 @@ table comes from the driver (a fixed vocabulary file).  No shuffle.
 
 Defined results: a null text is empty and has no ids; repeated rows give equal
 rows; unpaired surrogates cannot occur in UTF-8 columns; ids that the
-vocabulary lacks fail on decoding; an empty table gives no rows.
+vocabulary lacks fail on decoding; columns with the names of the results are
+replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,13 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from reelrank.llm.tables import shipped
+from reelrank.llm.tables import shipped, without
 
 MAX_KNOWN = 200_000
 ROWS = 250  # texts whose pieces are held at once
 _NONE = np.int32(1 << 30)
 _WIDTHS = (8, 12, 16, 24, 32, 64)
-_TABLE_BITS = 19
 _PLAIN_END = 0x250  # code points below this one have settled classes in every Unicode version
 
 
@@ -86,11 +86,10 @@ class Vocabulary:
         pairs = [(self.ranks[t[:i]] << 32 | self.ranks[t[i:]], rank) for t, rank in self.ranks.items()
                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         # an open table: a pair sits at its hash or soon after; the longest way is known
-        self.table = np.full(1 << _TABLE_BITS, -1, dtype=np.int64)
-        self.table_ranks = np.full(1 << _TABLE_BITS, _NONE, dtype=np.int32)
+        self.bits = max(8, (4 * len(pairs)).bit_length())  # at most half full, at any number of pairs
+        self.table = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.table_ranks = np.full(1 << self.bits, _NONE, dtype=np.int32)
         self.steps = 0
-        if 2 * len(pairs) > len(self.table):
-            raise ValueError(f"{len(pairs)} pairs are too many for the table")
         keys, ranks = np.array([p[0] for p in pairs], dtype=np.int64), np.array([p[1] for p in pairs], dtype=np.int32)
         at, left = self._place(keys), np.arange(len(keys))
         while len(left):  # of the pairs that want a free place one gets it, the others go on to the next
@@ -102,10 +101,9 @@ class Vocabulary:
             at[left] = (at[left] + 1) & (len(self.table) - 1)
             self.steps += 1
 
-    @staticmethod
-    def _place(key: np.ndarray) -> np.ndarray:
+    def _place(self, key: np.ndarray) -> np.ndarray:
         h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids; a large number if they make no token (or one is below zero)."""
@@ -256,20 +254,21 @@ def _decoder(load: Callable[[], Vocabulary], ids: str, to: str):
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", keep_text: bool = False) -> DataFrame:
     """``docs`` with the ids of column ``text`` in column ``ids`` (the text itself goes unless ``keep_text``)."""
-    drop = None if keep_text else text
+    drop, docs = None if keep_text else text, without(docs, ids, keep=text)
     run = _encoder(shipped(docs.sparkSession, vocabulary), text, ids, drop)
     return docs.mapInArrow(run, _with(docs, [T.StructField(ids, T.ArrayType(T.IntegerType()))], drop))
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``coded`` with the bytes that its ids stand for in column ``to``."""
+    coded = without(coded, to, keep=ids)
     run = _decoder(shipped(coded.sparkSession, vocabulary), ids, to)
     return coded.mapInArrow(run, _with(coded, [T.StructField(to, T.BinaryType())]))
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", to: str = "decoded") -> DataFrame:
     """:func:`encode`, then :func:`decode` of its ids, in one pass of the same workers."""
-    load = shipped(docs.sparkSession, vocabulary)
+    load, docs = shipped(docs.sparkSession, vocabulary), without(docs, ids, to, keep=text)
     first, second = _encoder(load, text, ids, text), _decoder(load, ids, to)
     schema = _with(docs, [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(to, T.BinaryType())], text)
     return docs.mapInArrow(lambda batches: second(first(batches)), schema)

@@ -18,14 +18,15 @@ base span, the best segmentation has it and its probability is at least
 long one are made for ``CHUNK_PIECES`` pieces at a time, once for the sums from
 the left and once for those from the right, and only its sums stay.
 
-The field is trained on at most ``MAX_ISLANDS`` islands of the corpus (the
-first by a hash) whose labels are the base spans, and on copies of those
+The field is trained on at most ``MAX_ISLANDS`` islands of the corpus of at
+most ``MAX_ISLAND_CHARS`` characters (the first by a hash) whose labels are the base spans, and on copies of those
 islands with noise characters after their tokens.  Islands that are noisy
 themselves are left out, as the base patterns cannot label them.
 
 Texts are searched whole, in place, without a shuffle.  Defined results: a
 null or empty text has no spans; repeated rows give equal rows; with no island
-to train on nothing is added; an empty table gives no rows.
+to train on nothing is added; a column with the name of the result is replaced;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelrank.llm.tables import shipped
+from reelrank.llm.tables import shipped, without
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_PIECES = 24
@@ -63,6 +64,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ISLAND = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*(?:[^\S\n]{1,2}[^\s0-9@]*+[0-9@]\S*)*")
 _PIECE = re.compile(r"[0-9]+|[^\W\d_]+|.", re.S)
+_RUN = re.compile(r"[0-9]+|[^\W\d_]+")
 _NOISE = frozenset("#*$%&|<>!?~^=")
 
 
@@ -376,6 +378,22 @@ def train(docs: DataFrame, text: str = "text", max_islands: int = MAX_ISLANDS) -
     return Field().train([tuple(x) for x in samples.values()])
 
 
+def _may_hold(island: str) -> bool:
+    """False only if no span of the island can be a candidate: these have an at sign, or four digits or more with no
+    letter between."""
+    if "@" in island:
+        return True
+    digits = 0
+    for p in _RUN.findall(island):
+        if "0" <= p[0] <= "9":
+            digits += len(p)
+            if digits >= 4:
+                return True
+        elif any(map(str.isalpha, p)):
+            digits = 0
+    return False
+
+
 def more_spans(text: str, base: list[tuple[str, int, int]], field: Field, known: dict) -> list[tuple[str, int, int]]:
     """Entities that the field adds to the base spans of a text."""
     out = []
@@ -383,7 +401,7 @@ def more_spans(text: str, base: list[tuple[str, int, int]], field: Field, known:
     starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     for m in _ISLAND.finditer(text):
         a, b = m.span()
-        if any(x <= a and b <= y + 1 for x, y in taken if x < b and y > a) or not re.search(r"@|(?:[0-9]\D{0,6}){4}", m[0]):
+        if any(x <= a and b <= y + 1 for x, y in taken if x < b and y > a) or not _may_hold(m[0]):
             continue
         if b - a > 4 * MAX_ISLAND_CHARS:
             entities = field.long_entities(m[0])
@@ -420,6 +438,7 @@ def _spans_of(batches, shared, column) -> Iterator[tuple[pa.RecordBatch, list, l
 
 def find(docs: DataFrame, field: Field, text: str = "text", to: str = "spans") -> DataFrame:
     """``docs`` with the spans of the text, by kind and start, in column ``to`` in place of the text; no shuffle."""
+    docs = without(docs, to, keep=text)
     rest = [f for f in docs.schema.fields if f.name != text]
     schema = T.StructType([*rest, T.StructField(to, T.ArrayType(SPAN))])
     shared = shipped(docs.sparkSession, field)

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelrank.session import scratch_path
 
@@ -34,6 +35,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(df: DataFrame, *names: str, keep: str | None = None) -> DataFrame:
+    """``df`` without columns of these names (Spark ignores case), which a result's own columns replace; ``keep`` stays."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c == keep or c.lower() not in gone])
+
+
 def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """A call for tasks that gives ``value``; sent once to each executor, with the classes of this package.
 

@@ -520,6 +520,20 @@ def test_pipeline(spark):
         assert b"".join(v.tokens[i] for i in got[d].ids).decode() == text and got[d].n_tokens == len(got[d].ids)
 
 
+def test_results_replace_columns_of_their_names(spark, odd):
+    """``text``, ``spans``, ``ids`` and ``decoded`` in the input, in any case, do not clash with the results."""
+    extra = odd.select("*", F.lit(1).alias("Spans"), F.lit("x").alias("ids"), F.lit("y").alias("Decoded"))
+    found = pii.find(extra, pii.Field())
+    assert [c for c in found.columns if c.lower() == "spans"] == ["spans"] and found.count() == len(ROWS)
+    coded = bpe.round_trip(extra, queries.byte_bpe())
+    assert sorted(c.lower() for c in coded.columns).count("ids") == 1 and sorted(c.lower() for c in coded.columns).count("decoded") == 1
+    assert sorted(bytes(r.decoded).decode() for r in coded.collect()) == sorted(r[1] or "" for r in ROWS)
+    assert bpe.decode(bpe.encode(extra, queries.byte_bpe()), queries.byte_bpe()).count() == len(ROWS)
+    pages = odd.withColumn("html", F.concat(F.lit("<p>"), F.col("text")))
+    got = html.extract(pages)
+    assert got.columns.count("text") == 1 and "html" not in got.columns and got.count() == len(ROWS)
+
+
 def test_stages_on_odd_tables(spark, odd, none, clash):
     for table in (none, odd, clash):
         docs = table

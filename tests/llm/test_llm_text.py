@@ -133,6 +133,16 @@ def test_long_islands_are_decoded_whole():
     assert len(set(map(frozenset, spans.values()))) == 1
 
 
+def test_no_island_with_a_candidate_is_skipped():
+    """The quick look at an island is exact: digits far apart, other scripts' digits and letters, signs between."""
+    r = random.Random(6)
+    for _ in range(4000):
+        text = "".join(r.choice(["1", "23", "a", "é", "²", "Ⅷ", "٣", "漢", ".", "-", "#", "#######", " ", "@", "_"]) for _ in range(r.randint(1, 14))).strip()
+        if pii.Island(text).candidates:
+            assert pii._may_hold(text), text
+    assert pii._may_hold("1" + "#" * 40 + "2" + "*" * 9 + "34") and not pii._may_hold("12ab34cd56") and not pii._may_hold("1.2.3")
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head>
 <body class="with-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <!-- <p>no</p> --><div class="ad">Buy now</div><div id="sidebar"><p>Side words of some length here</p></div>
