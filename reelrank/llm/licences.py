@@ -1,6 +1,7 @@
 """Licence scan: sparse TF-IDF cosine of header lines and licence files to templates, then inheritance by directory.
 
-All on DataFrame functions.  Units of a text are compared with templates:
+All on DataFrame functions.  The texts are read once; what follows reads a
+written table of the paths and of the texts with a marker.  Units of a text are compared with templates:
 
 - lines with a marker word (licence files: all lines with a word), with
   ``TEMPLATES``;
@@ -17,8 +18,10 @@ terms weigh most, so a unit that shares only common words stays far away).  A
 unit's terms, and then its products with all templates, are summed by unit: two
 small shuffles on keys that no file dominates.  A template counts only where
 the unit has its decisive terms (``DECISIVE``: versions, Creative Commons
-kinds).  The file's licence is the template of the largest cosine, if that is
-at least ``least``; of equal ones the first by name.
+kinds).  A unit that denies a licence (``not released under``) counts for none.
+The file's licence is the template of the largest cosine, if that is at least
+``least``; of equal ones the first by name, but a licence whose text holds that
+of another wins where both are found (``CONTAINS``).
 
 A directory's licence is the one of its licence files (the largest cosine,
 then the first path).  Files without a licence of their own take it from the
@@ -45,6 +48,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.llm.tables import stored
+
 LEAST = 0.6
 MAX_TERMS = 5000
 TERM = r"[a-z0-9][a-z0-9.+-]*[a-z0-9+]|[a-z0-9]"
@@ -84,6 +89,10 @@ NOTICES = TEMPLATES | {
                           "REPRODUCTION, AND DISTRIBUTION",
     "BSD-3-Clause (text)": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
                            "promote products derived from this software without specific prior written permission.",
+    "BSL-1.0 (title)": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "BSL-1.0 (text)": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+                      "and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, "
+                      "execute, and transmit the Software",
     "CC0-1.0 (title)": "Creative Commons Legal Code CC0 1.0 Universal",
     "GPL-2.0 (notice)": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
                         "General Public License as published by the Free Software Foundation; either version 2 of the License",
@@ -103,6 +112,7 @@ ANCHORS = MARKERS + "|^(permission|unencumbered|gnu)$"
 DECISIVE = {
     "AGPL-3.0": (("3", "3.0", "v3", "v3.0"), ("affero", "agpl")),
     "Apache-2.0": (("2.0", "2", "v2", "v2.0"), ("apache",)),
+    "BSL-1.0": (("boost", "organization"),),
     "CC-BY-4.0": (("4.0",), ("by", "attribution")),
     "CC-BY-NC-4.0": (("4.0",), ("by-nc", "noncommercial")),
     "CC-BY-SA-4.0": (("4.0",), ("by-sa", "sharealike")),
@@ -113,6 +123,11 @@ DECISIVE = {
     "MIT": (("mit", "charge"),),
     "MPL-2.0": (("2.0", "2", "v2", "v2.0"), ("mozilla", "mpl")),
 }
+#: Licences whose text holds that of another: a file with both has the first.
+CONTAINS = {"BSD-3-Clause": "BSD-2-Clause"}
+#: A unit that says so names a licence only to deny it.
+NEGATED = r"(?i)(^|[^a-z])(not|never|nor|neither|isn.t|wasn.t)\s+([a-z]+\s+){0,2}(licen[cs]ed|released|covered|governed|available|distributed|dedicated)([^a-z]|$)"
+_AHEAD = 4  # words before a span that can deny it
 SPDX = r"(?i)spdx-licen[cs]e-identifier:[\s(]*([a-z0-9][a-z0-9.+-]*)"
 
 
@@ -179,8 +194,11 @@ def _spans(marked: DataFrame, templates: dict[str, str]) -> DataFrame:
         x["anchor"].alias("anchor"), (x["at"] - first(x["at"])).alias("at"),
         F.slice("words", first(x["at"]) + 1, F.lit(2 * wide + 1)).alias("words")))).alias("a")).select("path", "a.*")
     start = F.greatest(F.col("at") - F.col("ahead"), F.lit(0))
-    return (windows.join(F.broadcast(table), "anchor").select("path", F.array_join(
-        F.slice("words", start + 1, F.col("at") - F.col("ahead") + F.col("n") - start), " ").alias("unit")).distinct())
+    end = F.col("at") - F.col("ahead") + F.col("n")
+    said = F.greatest(start - _AHEAD, F.lit(0))
+    joined = lambda a, b: F.array_join(F.slice("words", a + 1, b - a), " ")
+    return (windows.join(F.broadcast(table), "anchor").where(~joined(said, end).rlike(NEGATED))
+            .select("path", joined(start, end).alias("unit")).distinct())
 
 
 def own_licences(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST,
@@ -189,7 +207,8 @@ def own_licences(files: DataFrame, path: str = "path", text: str = "text", least
     marked = files.select(F.coalesce(F.col(path), F.lit("")).alias("path"), F.col(text).alias("text")).where(
         F.col("text").rlike(MARKERS) | F.col("path").rlike(LICENCE_FILE))
     wanted = lambda x: x.rlike(MARKERS) | (F.col("path").rlike(LICENCE_FILE) & x.rlike("[A-Za-z0-9]"))
-    lines = marked.select("path", F.explode(F.filter(F.split("text", "\n"), wanted)).alias("unit")).distinct()
+    lines = (marked.select("path", F.explode(F.filter(F.split("text", "\n"), wanted)).alias("unit"))
+             .where(~F.col("unit").rlike(NEGATED)).distinct())
     named = marked.select("path", F.explode(F.regexp_extract_all("text", F.lit(SPDX), 1)).alias("id")).distinct()
     ids = {x.lower(): x for x in map(plain_name, templates or NOTICES)}
     plain = F.regexp_replace("id", r"(?i)(-only|-or-later|\+|[.+-]+)$", "")
@@ -197,8 +216,15 @@ def own_licences(files: DataFrame, path: str = "path", text: str = "text", least
         *[F.when(F.lower(plain) == x, F.lit(name)) for x, name in sorted(ids.items())], plain).alias("licence"))
     best = (_scored(lines, templates or TEMPLATES, least).unionByName(_scored(_spans(marked, templates or NOTICES), templates or NOTICES, least))
             .unionByName(spdx))
-    return (best.groupBy("path").agg(F.min(F.struct((-F.col("cosine")).alias("order"), "licence")).alias("m"))
-            .select("path", F.regexp_replace("m.licence", r" \(.*\)$", "").alias("licence"), (-F.col("m.order")).alias("cosine")))
+    best = best.withColumn("licence", F.regexp_replace("licence", r" \(.*\)$", ""))
+    whole = {part: F.max(F.when(F.col("licence") == name, F.col("cosine"))) for name, part in CONTAINS.items()}
+    best = best.groupBy("path").agg(F.min(F.struct((-F.col("cosine")).alias("order"), "licence")).alias("m"),
+                                    *[x.alias(f"whole_{part}") for part, x in whole.items()])
+    licence, cosine = F.col("m.licence"), -F.col("m.order")
+    for name, part in CONTAINS.items():
+        both = (licence == part) & F.col(f"`whole_{part}`").isNotNull()
+        licence, cosine = F.when(both, F.lit(name)).otherwise(licence), F.when(both, F.col(f"`whole_{part}`")).otherwise(cosine)
+    return best.select("path", licence.alias("licence"), cosine.alias("cosine"))
 
 
 def directory(path: Column) -> Column:
@@ -216,8 +242,12 @@ def ancestors(folder: Column) -> Column:
 def scan(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST,
          templates: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns ``keep`` and ``path, own, cosine, inherited, from_dir, licence``: one row for every row of ``files``."""
-    paths = files.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(path), F.lit("")).alias("path"))
-    own = own_licences(files, path, text, least, templates)
+    # one pass over the texts: paths, and the texts of the few files that may name a licence
+    at, t = F.coalesce(F.col(path), F.lit("")), F.col(text)
+    files = stored(files.select(*[F.col(f"`{c}`") for c in keep], at.alias("path"), F.when(
+        t.rlike(MARKERS) | at.rlike(LICENCE_FILE), t).alias("licence_text")), "licence-files")
+    paths = files.select(*[F.col(f"`{c}`") for c in keep], "path")
+    own = own_licences(files.where("licence_text IS NOT NULL"), "path", "licence_text", least, templates)
     given = (own.where(F.col("path").rlike(LICENCE_FILE))
              .groupBy(directory(F.col("path")).alias("folder"))
              .agg(F.min(F.struct((-F.col("cosine")).alias("order"), "path", "licence")).alias("m"))

@@ -69,7 +69,7 @@ f AS (SELECT doc_id, t, concat_ws('/', coalesce(source, ''), coalesce(lang, ''),
              THEN 'LICENSE-' || name ELSE name || '.txt' END) AS path
       FROM (SELECT *, concat_ws('-', coalesce(CAST(doc_id AS VARCHAR), 'none'), substring(md5(t), 1, 12)) AS name FROM d)),
 ln AS (SELECT DISTINCT path, l FROM (SELECT path, unnest(string_split(t, chr(10))) AS l FROM f)
-       WHERE {_MARK % 'l'} OR ({_FILE % 'path'} AND regexp_matches(l, '[A-Za-z0-9]'))),
+       WHERE ({_MARK % 'l'} OR ({_FILE % 'path'} AND regexp_matches(l, '[A-Za-z0-9]'))) AND NOT regexp_matches(l, '{licences.NEGATED}')),
 tm AS (SELECT path, l, term, count(*) AS tf FROM (
          SELECT path, l, unnest(regexp_extract_all(lower(l), '({licences.TERM})', 1)) AS term FROM ln) GROUP BY ALL),
 known(term, idf, ws) AS (VALUES {_VALUES}),

@@ -309,6 +309,77 @@ def test_licences(spark, none):
 
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+BSD_HEAD = """Copyright (c) 2021, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_TAIL = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+BOOST_FILE = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including
+the above license grant, this restriction and the following disclaimer,
+must be included in all copies of the Software.
+"""
+
+
+def test_whole_licence_files_are_told_apart(spark):
+    """BSD of two and three clauses, Boost and MIT, as whole files and in one paragraph; a denied licence is none."""
+    want = {"a/LICENSE": (MIT_FILE, "MIT"), "b/LICENSE": (BSD_HEAD + BSD_TAIL, "BSD-2-Clause"),
+            "c/LICENSE": (BSD_HEAD + BSD_THIRD + BSD_TAIL, "BSD-3-Clause"), "d/LICENSE_1_0.txt": (BOOST_FILE, "BSL-1.0"),
+            "e/x.c": ("/* " + BOOST_FILE.split("\n\n", 1)[1].replace("\n", " ") + " */", "BSL-1.0"),
+            "f/x.c": ("// " + (BSD_HEAD + BSD_THIRD).replace("\n", " "), "BSD-3-Clause"),
+            "g/x.py": ("# This file is not released under the MIT License.", None),
+            "h/x.py": ("some words before, and it was never licensed under the Apache License, Version 2.0. More words follow here", None),
+            "i/x.py": ("# Not a toy. Released under the MIT License.", "MIT")}
+    files = spark.createDataFrame([(p, t) for p, (t, _) in want.items()], "path string, text string")
+    got = {r.path: r.own for r in licences.scan(files).collect()}
+    assert got == {p: lic for p, (_, lic) in want.items()}
+
+
 def test_licence_query_gives_a_row_for_every_document(spark, tmp_dir):
     """Repeated ids of different texts, equal rows, null and negative ids, clashing columns: no row is lost or renamed."""
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
