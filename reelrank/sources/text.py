@@ -63,7 +63,7 @@ def parse_ratings(lines: DataFrame, strict: bool = True, keep_line: bool = False
     )
 
 
-_TAG_LINE = r"^([^,]*),([^,]*),(.*),([^,]*)$"
+_TAG_LINE = r"(?s)^([^,]*),([^,]*),(.*),([^,]*)\z"  # a tag may hold any character, separators of lines included
 
 
 def parse_tags(lines: DataFrame, strict: bool = True, keep_line: bool = False) -> DataFrame:

@@ -76,3 +76,9 @@ def test_lenient_parse_splits_out_bad_rows(spark):
     good, bad = text.split_invalid(parsed, "rating")
     assert [r.uid for r in good.collect()] == [1]
     assert sorted(r.line for r in bad.collect()) == ["2,3,4.0", "x,31,2.5,1"]
+
+
+def test_a_tag_may_hold_line_separators_of_unicode(spark):
+    lines = spark.createDataFrame([("1,2,fun\u2028and\u0085more, really,9",), ("3,4,,7",)], "value string")
+    rows = [tuple(r) for r in text.parse_tags(lines).orderBy("uid").collect()]
+    assert rows == [(1, 2, "fun\u2028and\u0085more, really", 9), (3, 4, "", 7)]
