@@ -70,3 +70,24 @@ def test_array_work_is_not_repeated_by_inferred_filters(spark):
     for df in (content.hashed_tf(movies), content.genre_tokens(movies)):
         p = plan(df)
         assert "DataFilters: [(size(" not in p and "Filter (size(" not in p
+
+
+def test_the_tokenizer_is_not_repeated(spark):
+    """No filter of the plan holds the tokenizer, as the size test that Spark infers for a plain explode would, and the
+    movies are dealt over the tasks before it."""
+    movies = fixtures.load_inputs(spark, SF_SMALL).movies
+    for df in (content.idf_weights(movies), content.tfidf_weights(movies), content.tfidf_weights(movies, term_space="exact")):
+        tree = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in tree.splitlines() if "Filter" in line and ("regexp_replace" in line or "lambda" in line)]
+        assert "RoundRobinPartitioning" in plan(df)
+    stored = content.tfidf_vectors(movies)
+    assert "regexp_replace" not in plan(stored) and "movie_terms" in "".join(stored.inputFiles())
+
+
+def test_unseen_candidates_shuffle_classes_not_movies(spark, tmp_dir):
+    inp = fixtures.load_inputs(spark, SF_SMALL)
+    model = content.content_model(inp.movies)
+    FactoredSims.of(model).write(tmp_dir)
+    sims = FactoredSims.read(spark, tmp_dir, model.threshold)
+    p = plan(realtime.unseen_candidates(realtime.last_events(inp.rating_events), sims, inp.ratings))
+    assert "LeftAnti" not in p and not re.search(r"hashpartitioning\(uid#\d+L?, mid#\d+", p)
