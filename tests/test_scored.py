@@ -1,0 +1,32 @@
+"""Scoring by class: each side is read once, and a product is made once for each class of a user."""
+
+from pyspark.sql import functions as F
+
+from reelrank.operators import content
+from reelrank.operators.factored import FactoredSims
+
+MOVIES = [(1, "a|b"), (2, "a|b"), (3, "a|b"), (4, "a|b|c"), (5, "d|e"), (6, "")]
+
+
+def _sims(spark):
+    movies = spark.createDataFrame(MOVIES, "mid int, genres string")
+    return FactoredSims.of(content.content_model(movies, term_space="exact")), movies
+
+
+def test_each_side_is_read_once(spark):
+    sims, _ = _sims(spark)
+    cands = spark.range(10).select(F.lit(1).alias("uid"), F.col("id").cast("int").alias("mid"))
+    recents = spark.range(11).select(F.lit(1).alias("uid"), F.col("id").cast("int").alias("recent_mid"), F.lit(3.0).alias("recent_score"))
+    plan = sims.scored(cands, recents).where("sim > 0.7")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 10,") == 1 and plan.count("Range (0, 11,") == 1
+
+
+def test_every_pair_has_its_stored_similarity(spark):
+    sims, movies = _sims(spark)
+    stored = {(r.mid, r.other_mid): r.score for r in content.content_sim_pairs(movies, term_space="exact").collect()}
+    assert stored
+    cands = spark.createDataFrame([(u, m) for u in (1, 2) for m in (1, 2, 3, 4, 5, 6, 99)], "uid int, mid int")
+    rated = [(1, 1, 4.0), (1, 1, 2.0), (1, 2, 3.5), (1, 5, 1.0), (1, 77, 5.0), (2, 4, 3.0)]
+    recents = spark.createDataFrame(rated, "uid int, recent_mid int, recent_score double")
+    got = sorted(tuple(r) for r in sims.scored(cands, recents).collect())
+    assert got == sorted((u, m, r, s, stored.get((m, r), 0.0)) for u, r, s in rated for m in (1, 2, 3, 4, 5, 6, 99))
